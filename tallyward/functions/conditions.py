@@ -22,8 +22,8 @@ def segment(cases: Sequence[tuple[Column, object]], default: object = None) -> C
 
 def label(col, mapping: Mapping[str, object], default: object = None) -> Column:
     """Code to label (or sort position); an unknown code gives ``default``."""
-    c = _c(col)
-    return segment([(c == code, value) for code, value in mapping.items()], default)
+    codes = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
+    return F.coalesce(F.try_element_at(codes, _c(col)), F.lit(default))
 
 
 def band(col, edges: Sequence[float], labels: Sequence[str], top: float | None = None,

@@ -1,8 +1,8 @@
 """Whole-word search of many aliases in many texts.
 
-``match_terms`` turns the theta join into equi joins: each text is cut into runs of
-word characters and separators, and every stretch of up to ``max_words`` word runs
-becomes a join key. An alias that starts and ends with a word character occurs as a
+``match_terms`` turns the theta join into equi joins: every stretch of up to
+``max_words`` runs of word characters, with the separators between them, becomes a join
+key of its text. An alias that starts and ends with a word character occurs as a
 whole word exactly when it equals such a stretch. Other aliases find candidates
 through their core (or first symbol) and are then tested on the text itself, so the
 result equals the regex form for every alias.
@@ -18,23 +18,17 @@ from pyspark.sql import functions as F
 from tallyward.functions.text import literal_regex
 
 
-def _runs(text: Column, word: str) -> Column:
-    return F.regexp_extract_all(text, F.lit(f"[{word}]+|[^{word}]+"), F.lit(0))
-
-
 def _word_stretches(text: Column, word: str, max_words: int) -> Column:
-    """All distinct stretches of 1..max_words word runs, separators included."""
-    runs = _runs(text, word)
-    start = F.when(text.rlike(f"^[{word}]"), 1).otherwise(2)
-    starts = F.when(F.size(runs) >= start, F.sequence(start, F.size(runs), F.lit(2)))
-    starts = F.coalesce(starts, F.array().cast("array<int>"))
+    """All distinct stretches of 1..max_words word runs, separators included.
+
+    A look-ahead at the start of each run captures the stretch without consuming it, so
+    overlapping stretches all come out of one regex pass per length.
+    """
+    run, gap = f"[{word}]+", f"[^{word}]+"
 
     def stretch(words: int) -> Column:
-        length = 2 * words - 1
-        inside = F.filter(starts, lambda i: i + length - 1 <= F.size(runs))
-        if words == 1:
-            return F.transform(inside, lambda i: F.get(runs, i - 1))
-        return F.transform(inside, lambda i: F.array_join(F.slice(runs, i, length), ""))
+        pattern = f"(?<![{word}])(?=({run}" + f"{gap}{run}" * (words - 1) + f")(?![{word}]))"
+        return F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
 
     return F.array_distinct(F.concat(*[stretch(n) for n in range(1, max_words + 1)]))
 
