@@ -57,25 +57,25 @@ line_facts AS (
     AS outcomes, bool_or(l_returnflag = 'R') AS death FROM lineitem GROUP BY 1),
 checked AS (
   SELECT o.*, coalesce(n, 0) AS n, coalesce(outcomes, 0) AS outcomes, coalesce(death, false) AS death,
-    CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' THEN ['invalid json'] ELSE list_filter([
+    CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' THEN 'invalid json' ELSE concat_ws('; ',
       CASE WHEN o_totalprice < 9000 THEN 'missing primaryid' END,
       CASE WHEN o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'P' THEN 'missing fda_dt' END,
       CASE WHEN o_orderpriority = '5-LOW' THEN 'invalid fda_dt' END,
       CASE WHEN n IS NULL THEN 'no drugs' END, CASE WHEN n > 0 AND ps = 0 THEN 'no primary suspect drug' END,
-      CASE WHEN n IS NULL THEN 'no reactions' END], e -> e IS NOT NULL) END AS errors
+      CASE WHEN n IS NULL THEN 'no reactions' END) END AS errors
   FROM orders o LEFT JOIN line_facts ON l_orderkey = o_orderkey)
 """
 
 
 @query("intake_errors", f"""WITH {MESSAGES_SQL}
-SELECT array_to_string(errors, '; ') AS error, count(*) AS n FROM checked WHERE len(errors) > 0 GROUP BY 1""")
+SELECT errors AS error, count(*) AS n FROM checked WHERE errors != '' GROUP BY 1""")
 def intake_errors(t: Tables) -> DataFrame:
     return intake.dead_letters(checked(t)).groupBy("error").agg(F.count("*").alias("n"))
 
 
 @query("intake_batches", f"""WITH {MESSAGES_SQL}
-SELECT year(o_orderdate) AS batch, count(*) AS messages, count(*) FILTER (len(errors) = 0) AS valid,
-  count(*) FILTER (len(errors) > 0) AS invalid, round(count(*) FILTER (len(errors) > 0) / count(*), 6) AS invalid_rate
+SELECT year(o_orderdate) AS batch, count(*) AS messages, count(*) FILTER (errors = '') AS valid,
+  count(*) FILTER (errors != '') AS invalid, round(count(*) FILTER (errors != '') / count(*), 6) AS invalid_rate
 FROM checked GROUP BY 1""")
 def intake_batches(t: Tables) -> DataFrame:
     rows = checked(t).withColumn("batch", F.year("o_orderdate").cast("bigint"))
@@ -137,7 +137,7 @@ SELECT md5(CAST(o_orderkey AS VARCHAR)) AS event_id, CAST(o_orderdate AS DATE) A
   CAST(o_custkey AS VARCHAR) AS caseid, coalesce(b.product_id, i.product_id) AS product_id, n AS drug_count,
   n AS reaction_count, outcomes > 0 AS is_serious, death AS is_death, 'b1' AS batch_id
 FROM checked JOIN suspects ON l_orderkey = o_orderkey LEFT JOIN aliases b ON b.alias = name
-LEFT JOIN aliases i ON i.alias = ingr WHERE len(errors) = 0""")
+LEFT JOIN aliases i ON i.alias = ingr WHERE errors = ''""")
 def intake_stream(t: Tables) -> DataFrame:
     staged = intake.stage_events(loaded_events(t))
     return intake.enrich_stream(staged, aliases(t)).select(

@@ -58,10 +58,14 @@ def open_stream(spark: SparkSession, source: str, schema: str = "", max_per_trig
 
 
 def parse(df: DataFrame, schema: str = EVENT_SCHEMA, value: str = "value") -> DataFrame:
-    """The message with a struct ``event``; text that is not one JSON object is marked corrupt."""
+    """The message with a struct ``event``; text that is not one JSON object is marked corrupt.
+
+    Exploding a one-element array makes the struct a fixed input of what follows. As a plain
+    column it would be parsed again for every field that a later filter looks at.
+    """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     event = F.from_json(F.col(value), f"{schema}, {CORRUPT} STRING", options)
-    return df.withColumn("event", event)
+    return df.select("*", F.explode(F.array(event)).alias("event"))
 
 
 def report_rules(event: str = "event") -> list[tuple[Column, str]]:
