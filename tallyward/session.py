@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -42,6 +43,13 @@ def local_session(cores: int | str = 8, app: str = "tallyward") -> SparkSession:
     return tune(spark)
 
 
+@cache
+def _folder_of_this_machine() -> str:
+    folder = tempfile.mkdtemp(prefix="tallyward-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path below ``spark.checkpoint.dir``, reachable by every executor.
 
@@ -51,7 +59,5 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="tallyward-")
-        atexit.register(shutil.rmtree, base, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _folder_of_this_machine()
     return f"{base.rstrip('/')}/tallyward/{purpose}-{uuid.uuid4().hex}"
