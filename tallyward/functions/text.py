@@ -15,14 +15,21 @@ def literal_regex(text: str) -> str:
     return "\\Q" + text.replace("\\E", "\\E\\\\E\\Q") + "\\E"
 
 
+# The Unicode white space characters.
+WHITESPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def trim_all(col) -> Column:
     """Trim every kind of whitespace (Spark's ``trim`` removes blanks only)."""
-    return F.regexp_replace(_c(col), r"(?U)^\s+|\s+$", "")
+    return F.btrim(_c(col), F.lit(WHITESPACE))
 
 
 def clean_name(col) -> Column:
-    """Upper-case key of a name: trailing dots and outer whitespace dropped, empty to null."""
-    no_dots = F.regexp_replace(_c(col), r"\.+\s*$", "")
+    """Upper-case key of a name: trailing dots and outer whitespace dropped, empty to null.
+
+    Dots go only from the very end (before trailing whitespace), as one block.
+    """
+    no_dots = F.rtrim(F.rtrim(_c(col), F.lit(WHITESPACE)), F.lit("."))
     return F.nullif(F.upper(trim_all(no_dots)), F.lit(""))
 
 

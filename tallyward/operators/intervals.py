@@ -6,33 +6,34 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def overlaps_previous(df: DataFrame, key: str, start: str, end: str, slice_seconds: int = 86_400,
+def overlaps_previous(df: DataFrame, key: str, start: str, end: str, slice_seconds: int = 3600,
                       name: str = "overlapped_previous_run") -> DataFrame:
     """Was an earlier-started interval of the same key still open at ``start``?
 
-    True when another interval has a smaller start and an end after this start; a
-    null end never counts. The running maximum of ``end`` answers that in one pass.
-    Each key is cut into time slices: a slice is scanned on its own and receives the
-    maximum of all earlier slices, so a hot key is spread over many tasks.
+    True when another interval has a smaller start and an end after this start; a null end
+    never counts. The answer depends on key and start alone, so intervals are first reduced
+    to the latest end per start. Over these the running maximum answers in one pass: each
+    key is cut into time slices, and a slice gets the maximum of all earlier slices. A hot
+    key is spread over its slices and copies of one start collapse before they are sorted.
     """
-    micros = F.unix_micros(F.col(start).cast("timestamp"))
-    end_micros = F.unix_micros(F.col(end).cast("timestamp"))
-    sliced = df.withColumns({
-        "__s": micros, "__e": end_micros,
-        "__slice": F.floor(micros / F.lit(slice_seconds * 1_000_000)).cast("bigint")})
+    points = df.where(F.col(key).isNotNull() & F.col(start).isNotNull()).groupBy(
+        F.col(key).alias("__key"), F.unix_micros(F.col(start).cast("timestamp")).alias("__s")
+    ).agg(F.max(F.unix_micros(F.col(end).cast("timestamp"))).alias("__e")).withColumn(
+        "__slice", F.floor(F.col("__s") / F.lit(slice_seconds * 1_000_000)))
 
-    history = Window.partitionBy(key).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        sliced.groupBy(key, "__slice").agg(F.max("__e").alias("__e"))
-        .select(F.col(key).alias("__key"), F.col("__slice").alias("__at"),
-                F.max("__e").over(history).alias("__carried"))
-    )
-    inside = Window.partitionBy(key, "__slice").orderBy("__s").rangeBetween(Window.unboundedPreceding, -1)
+    history = Window.partitionBy("__key").orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = points.groupBy("__key", "__slice").agg(F.max("__e").alias("__e")).select(
+        "__key", "__slice", F.max("__e").over(history).alias("__carried"))
+    inside = Window.partitionBy("__key", "__slice").orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
     seen = F.greatest(F.max("__e").over(inside), F.col("__carried"))
+    late = (
+        points.join(carried, ["__key", "__slice"], "inner")
+        .withColumn("__seen", seen).where(F.col("__seen") > F.col("__s"))
+        .select("__key", "__s", F.lit(True).alias("__late"))
+    )
+    begins = F.unix_micros(F.col(start).cast("timestamp"))
     return (
-        sliced.join(carried, F.col(key).eqNullSafe(F.col("__key"))
-                    & F.col("__slice").eqNullSafe(F.col("__at")), "left")
-        .withColumn("__seen", seen)
-        .withColumn(name, F.coalesce(F.col(key).isNotNull() & (F.col("__seen") > F.col("__s")), F.lit(False)))
-        .drop("__s", "__e", "__slice", "__key", "__at", "__carried", "__seen")
+        df.join(late, (F.col(key) == F.col("__key")) & (begins == F.col("__s")), "left")
+        .withColumn(name, F.coalesce("__late", F.lit(False)))
+        .drop("__key", "__s", "__late")
     )

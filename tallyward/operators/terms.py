@@ -27,6 +27,8 @@ def _word_stretches(text: Column, word: str, max_words: int) -> Column:
     run, gap = f"[{word}]+", f"[^{word}]+"
 
     def stretch(words: int) -> Column:
+        if words == 1:
+            return F.regexp_extract_all(text, F.lit(run), F.lit(0))
         pattern = f"(?<![{word}])(?=({run}" + f"{gap}{run}" * (words - 1) + f")(?![{word}]))"
         return F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
 
@@ -44,51 +46,52 @@ def boundary_pattern_column(alias, word: str = "A-Z0-9") -> Column:
     return F.concat(F.lit(f"(^|[^{word}])\\Q"), quoted, F.lit(f"\\E([^{word}]|$)"))
 
 
-def longest_alias_words(aliases: DataFrame, word: str = "A-Z0-9") -> int:
-    """Word runs in the longest alias (one number, read from the alias table)."""
-    words = F.size(F.regexp_extract_all("alias", F.lit(f"[{word}]+"), F.lit(0)))
-    return max(aliases.agg(F.max(words)).first()[0] or 1, 1)
+def _alias_table(aliases: DataFrame, word: str) -> DataFrame:
+    """Distinct aliases, whether both ends are word characters, and the key that finds them.
 
+    The key is the alias itself, or its core for one that starts or ends with a symbol,
+    or its first symbol when it has no word character at all.
+    """
+    core = F.regexp_replace("alias", f"^[^{word}]+|[^{word}]+$", "")
+    return (
+        aliases.where(F.col("alias") != "").select("alias", "product_id").distinct()
+        .withColumn("__whole", F.col("alias").rlike(f"^[{word}](.*[{word}])?$"))
+        .withColumn("__key", F.when(core != "", core).otherwise(F.substring("alias", 1, 1)))
+        .withColumn("__words", F.size(F.regexp_extract_all("alias", F.lit(f"[{word}]+"), F.lit(0))))
+    )
 
-def match_terms(df: DataFrame, key: str, text: str, aliases: DataFrame,
-                word: str = "A-Z0-9", max_words: int | None = None) -> DataFrame:
+
+def match_terms(df: DataFrame, key: str, text: str, aliases: DataFrame, word: str = "A-Z0-9") -> DataFrame:
     """Rows ``(key, product_id, best_alias_length)`` for each alias found in ``text``.
 
-    The text is upper-cased; aliases are upper case already. ``max_words`` must cover
-    the longest alias and is read from the alias table when not given.
+    The text is upper-cased; aliases are upper case already. One row about the alias table
+    (its longest entries) is read first, so that only stretches some alias can equal are
+    cut and the second path is planned only when there are aliases that need it.
     """
-    max_words = max_words or longest_alias_words(aliases, word)
-    names = aliases.select("alias", "product_id").distinct().withColumns({
-        "__whole": F.col("alias").rlike(f"^[{word}](.*[{word}])?$"),
-        "__core": F.regexp_replace("alias", f"^[^{word}]+|[^{word}]+$", ""),
-    })
+    names = _alias_table(aliases, word)
+    words = F.col("__words")
+    facts = names.agg(
+        F.max(F.when(F.col("__whole"), words)).alias("whole"),
+        F.max(F.when(~F.col("__whole"), words)).alias("odd"),
+        F.bool_or(~F.col("__whole") & (words == 0)).alias("symbols")).first()
     texts = df.where(F.col(text).isNotNull()).select(F.col(key), F.upper(F.col(text)).alias("__text"))
     upper = F.col("__text")
-    stretches = _word_stretches(upper, word, max_words)
 
-    regular = names.where("__whole").select("alias", "product_id")
-    found = (
-        texts.select(key, F.explode(stretches).alias("__term"))
-        .join(regular, F.col("__term") == F.col("alias"), "inner")
-        .select(key, "product_id", "alias")
-    )
-
-    # Aliases that start or end with a symbol: candidates by core or first symbol.
-    odd = names.where("NOT __whole AND alias != ''").select(
-        "alias", "product_id",
-        F.when(F.col("__core") != "", F.col("__core")).otherwise(F.substring("alias", 1, 1)).alias("__cand"))
-    symbols = F.array_distinct(F.regexp_extract_all(upper, F.lit(f"[^{word}]"), F.lit(0)))
-    candidates = (
-        texts.select(key, F.explode(F.array_union(stretches, symbols)).alias("__term"))
-        .join(odd, F.col("__term") == F.col("__cand"), "inner")
-        .select(key, "product_id", "alias")
-    )
-    verified = (
-        candidates.join(texts, key, "inner")
-        .where(F.rlike("__text", boundary_pattern_column("alias", word)))
-        .select(key, "product_id", "alias")
-    )
-    return longest_match(found.unionByName(verified), [key, "product_id"], "alias")
+    def hits(terms: Column, side: DataFrame) -> DataFrame:
+        exploded = texts.select(key, F.explode(terms).alias("__term"))
+        return exploded.join(side, F.col("__term") == F.col("__key"), "inner").select(key, "product_id", "alias")
+
+    found = hits(_word_stretches(upper, word, facts["whole"] or 1), names.where("__whole"))
+    if facts["odd"] is not None:
+        parts = [_word_stretches(upper, word, facts["odd"])] if facts["odd"] else []
+        if facts["symbols"]:
+            parts.append(F.array_distinct(F.regexp_extract_all(upper, F.lit(f"[^{word}]"), F.lit(0))))
+        candidates = hits(F.concat(*parts), names.where("NOT __whole"))
+        found = found.unionByName(
+            candidates.join(texts, key, "inner")
+            .where(F.rlike("__text", boundary_pattern_column("alias", word)))
+            .select(key, "product_id", "alias"))
+    return longest_match(found, [key, "product_id"], "alias")
 
 
 def match_terms_regex(df: DataFrame, key: str, text: str, aliases: Sequence[tuple[str, str]],
@@ -111,14 +114,14 @@ def longest_match(df: DataFrame, by: Sequence[str], text: str, name: str = "best
 
 
 def match_or_search(df: DataFrame, key: str, brand: str, text: str, aliases: DataFrame,
-                    word: str = "A-Z", max_words: int | None = None) -> DataFrame:
+                    word: str = "A-Z") -> DataFrame:
     """Product by exact brand; only rows without one are searched by description.
 
     The longest alias wins, then the smaller product id. Here digits end a word.
     """
     exact = aliases.select(F.col("alias").alias("__brand"), F.col("product_id").alias("__exact"))
     keyed = df.join(exact, F.col(brand) == F.col("__brand"), "left").drop("__brand")
-    hits = match_terms(keyed.where(F.col("__exact").isNull()), key, text, aliases, word, max_words)
+    hits = match_terms(keyed.where(F.col("__exact").isNull()), key, text, aliases, word)
     best = hits.groupBy(key).agg(
         F.min_by("product_id", F.struct(-F.col("best_alias_length"), F.col("product_id"))).alias("__found"))
     return (

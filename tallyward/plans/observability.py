@@ -9,7 +9,7 @@ from tallyward.functions import day, ratio, scan_cost
 from tallyward.operators.intervals import overlaps_previous
 
 
-def ingestion_runs(runs: DataFrame, slice_seconds: int = 86_400) -> DataFrame:
+def ingestion_runs(runs: DataFrame, slice_seconds: int = 3600) -> DataFrame:
     """Runs with their date and the flag of runs that began inside an earlier run of the source."""
     flagged = overlaps_previous(runs, "source", "started_at", "finished_at", slice_seconds)
     return flagged.withColumn("run_date", day("started_at"))

@@ -32,9 +32,9 @@ def test_partial_iso_date(spark):
 
 
 def test_clean_name(spark):
-    items = ["Rituximab.", "x ..", "\ta b\t", "...", "", None, "a.b", " é. "]
+    items = ["Rituximab.", "x ..", "\ta b\t", "...", "", None, "a.b", " é. ", "x . .", "\xa0x.. .\n", "\u3000"]
     assert values(spark, items, "STRING", fn.clean_name("c")) == [
-        "RITUXIMAB", "X", "A B", None, None, None, "A.B", "É"]
+        "RITUXIMAB", "X", "A B", None, None, None, "A.B", "É", "X .", "X..", None]
 
 
 def test_title_and_lists(spark):
