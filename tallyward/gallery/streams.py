@@ -224,3 +224,12 @@ def stream_dedup(t: Tables) -> DataFrame:
         "parquet").outputMode("append").option("checkpointLocation", f"{base}/checkpoint").trigger(
         availableNow=True).start(f"{base}/table").awaitTermination()
     return t.spark.read.parquet(f"{base}/table").groupBy("event_type").agg(F.count("*").alias("n"))
+
+
+@query("order_in_key", "SELECT user_id, 1 AS partitions, count(*) AS n FROM events GROUP BY 1")
+def order_in_key(t: Tables) -> DataFrame:
+    """All events of a user land in one partition, in offset order."""
+    ordered = intake.order_in_key(t.events.select("user_id", "event_id"), "user_id", "event_id")
+    placed = ordered.select("user_id", F.spark_partition_id().alias("p"))
+    return placed.groupBy("user_id", "p").agg(F.count("*").alias("n")).groupBy("user_id").agg(
+        F.count("*").alias("partitions"), F.sum("n").alias("n"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.functions import classify, matches
+from tallyward.functions import classify, contains_at, matches
 from tallyward.gallery import Tables, query
 from tallyward.gallery.readings import (
     AS_OF,
@@ -113,6 +113,12 @@ def classify_text(t: Tables) -> DataFrame:
     return t.part.select(classify("p_name", rules).alias("category")).groupBy("category").agg(F.count("*").alias("n"))
 
 
+@query("term_positions", """SELECT p_brand, instr(p_name, 'i') AS at, count(*) AS n FROM part GROUP BY 1, 2""")
+def term_positions(t: Tables) -> DataFrame:
+    return t.part.withColumn("at", contains_at("p_name", F.lit("i"))).groupBy("p_brand", "at").agg(
+        F.count("*").alias("n"))
+
+
 def customer_history(t: Tables) -> DataFrame:
     """Two snapshots: nation 5 joins later, furniture buyers in debt leave, builders gain, names change."""
     base = t.customer.select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")

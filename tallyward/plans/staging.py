@@ -103,6 +103,7 @@ def stage_recalls(df: DataFrame, reasons: Sequence[tuple[str, str]] = tuple(rule
         "brand_names", "generic_names")
 
 
+# The column groups of the wide spending files.
 SPENDING_STEMS = {
     "Tot_Spndng": "total_spending_usd", "Tot_Dsg_Unts": "dosage_units", "Tot_Clms": "claims",
     "Tot_Benes": "beneficiaries", "Outlier_Flag": "is_outlier",

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 logger = logging.getLogger(__name__)
 
+# The columns of a run record.
 RUN_SCHEMA = (
     "run_id STRING, source STRING, status STRING, started_at TIMESTAMP, finished_at TIMESTAMP, "
     "duration_sec DOUBLE, rows_loaded BIGINT, files_written BIGINT, bytes_written BIGINT, target STRING, "

@@ -125,11 +125,16 @@ def batch_metrics(checked: DataFrame, topic: str, group: str, lag: int = 0, seco
 
 
 def route(checked: DataFrame, batch_id: str, sinks: Mapping[str, str], fields: Sequence[str], topic: str,
-          group: str, started: float, keep: Sequence[str] = ("partition", "offset")) -> None:
-    """Valid rows to the table, the rest to the dead letters, counts to the metrics."""
+          group: str, started: float, keep: Sequence[str] = ("partition", "offset"), key: str | None = None) -> None:
+    """Valid rows to the table, the rest to the dead letters, counts to the metrics.
+
+    With ``key`` the rows of a case are written together and in offset order.
+    """
     checked.persist()
     try:
         loaded = valid_rows(checked, fields, keep).withColumn("loaded_at", F.current_timestamp())
+        if key:
+            loaded = order_in_key(loaded, key, "offset")
         write_batch(loaded, batch_id, sinks["valid"])
         write_batch(dead_letters(checked), batch_id, sinks["dead"])
         write_batch(batch_metrics(checked, topic, group, 0, time.monotonic() - started), batch_id, sinks["metrics"])
@@ -145,12 +150,13 @@ def order_in_key(df: DataFrame, key: str, offset: str) -> DataFrame:
 def intake_batch(sinks: Mapping[str, str], fields: Sequence[str], required: Sequence[str],
                  rules: Sequence[tuple[Column, str]], schema: str = EVENT_SCHEMA, topic: str = "intake",
                  group: str = "loader", prefix: str = "batch",
-                 keep: Sequence[str] = ("partition", "offset")) -> Callable[[DataFrame, int], None]:
+                 keep: Sequence[str] = ("partition", "offset"),
+                 key: str | None = None) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function of the intake. The batch number makes a replay harmless."""
     def run(batch: DataFrame, number: int) -> None:
         started = time.monotonic()
         checked = validate(parse(batch, schema), required, rules)
-        route(checked, f"{prefix}-{number:08d}", sinks, fields, topic, group, started, keep)
+        route(checked, f"{prefix}-{number:08d}", sinks, fields, topic, group, started, keep, key)
 
     return run
 

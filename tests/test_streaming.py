@@ -86,7 +86,7 @@ def test_stream_equals_batch_and_replay_is_harmless(spark, tmp_path):
     batch.repartition(4).write.parquet(source)
     sinks = {k: str(tmp_path / k) for k in ("valid", "dead", "metrics")}
     fields = ["event_id", "received_at", "caseid", "primaryid"]
-    work = intake.intake_batch(sinks, fields, intake.REQUIRED_FIELDS, intake.report_rules())
+    work = intake.intake_batch(sinks, fields, intake.REQUIRED_FIELDS, intake.report_rules(), key="caseid")
     schema = "topic STRING, partition BIGINT, offset BIGINT, key STRING, value STRING"
     stream = intake.open_stream(spark, "parquet", schema, max_per_trigger=1, path=source)
     intake.start(stream, work, str(tmp_path / "cp"), once=True).awaitTermination()
