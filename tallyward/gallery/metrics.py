@@ -6,17 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.gallery import Tables, query
-from tallyward.gallery.readings import RUNS_SQL, products, runs
+from tallyward.gallery.readings import RECALLS_SQL, RUNS_SQL, SEEDS_SQL, products, runs
+from tallyward.gallery.readings import reports as reports_of
 from tallyward.gallery.safety import CASES_SQL, SIGNALS_SQL, cases, signals
 from tallyward.gallery.spending import SPENDING_SQL, mart
 from tallyward.gallery.trials import TRIALS_SQL, marts
 from tallyward.gallery.trials import recalls as recall_mart
-from tallyward.gallery.readings import RECALLS_SQL, SEEDS_SQL
-from tallyward.functions import scan_cost
 from tallyward.operators.joins import star
 from tallyward.operators.reshape import date_dim
 from tallyward.plans import reports
+from tallyward.plans.checks import check_tables
 from tallyward.plans.measures import measure, registry
+from tallyward.plans.observability import run_results
+from tallyward.plans.safety import latest_cases
 from tallyward.plans.spending import product_dimension
 from tallyward.sources.lake import materialise
 
@@ -190,13 +192,14 @@ def run_measures(t: Tables) -> DataFrame:
 
 def check_results(t: Tables) -> DataFrame:
     """Lines as logged results: the order is the invocation, the flag the outcome."""
-    return t.lineitem.select(
+    logged = t.lineitem.select(
         F.col("l_orderkey").cast("string").alias("invocation_id"), "l_linestatus",
         F.when(F.col("l_linenumber") <= 4, "test").otherwise("model").alias("resource_type"),
         F.when(F.col("l_returnflag") == "R", "fail").otherwise("pass").alias("status"),
         F.floor("l_extendedprice").alias("bytes_processed"),
         (F.floor("l_extendedprice") * 100_000_000).alias("bytes_billed"),
-    ).withColumn("estimated_cost_usd", scan_cost("bytes_billed").cast("decimal(18,4)"))
+        F.col("l_shipdate").alias("run_started_at"))
+    return run_results(logged).withColumn("estimated_cost_usd", F.col("estimated_cost_usd").cast("decimal(18,4)"))
 
 
 @query("test_measures", """SELECT l_linestatus, count(DISTINCT l_orderkey) AS invocations,
@@ -212,6 +215,23 @@ def test_measures(t: Tables) -> DataFrame:
     return _rounded(measure(names, check_results(t), ["l_linestatus"]))
 
 
+@query("mart_checks", f"""{CASES_SQL}, results AS (
+  SELECT 'latest_cases' AS table_name, 'unique:caseid' AS test_name, count(*) - count(DISTINCT caseid) AS failures FROM latest
+  UNION ALL SELECT 'latest_cases', 'not_null:caseid', count(*) FILTER (caseid IS NULL) FROM latest
+  UNION ALL SELECT 'latest_cases', 'unique:primaryid', count(*) - count(DISTINCT primaryid) FROM latest
+  UNION ALL SELECT 'latest_cases', 'not_null:primaryid', count(*) FILTER (primaryid IS NULL) FROM latest
+  UNION ALL SELECT 'safety_cases', 'unique:safety_case_key', count(*) - count(DISTINCT safety_case_key) FROM cases
+  UNION ALL SELECT 'safety_cases', 'not_null:safety_case_key', count(*) FILTER (safety_case_key IS NULL) FROM cases
+  UNION ALL SELECT 'safety_cases', 'not_null:product_id', count(*) FILTER (product_id IS NULL) FROM cases
+  UNION ALL SELECT 'safety_cases', 'relationships:product_id', count(*) FROM cases
+    WHERE product_id NOT IN (SELECT product_id FROM products WHERE approval_year > 2000))
+SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM results""")
+def mart_checks(t: Tables) -> DataFrame:
+    """The standard tests of two marts, against a product list that lacks the older products."""
+    known = products(t).where("approval_year > 2000")
+    return check_tables({"latest_cases": latest_cases(reports_of(t)), "safety_cases": case_fact(t)}, known)
+
+
 # --- report queries --------------------------------------------------------------------------
 
 @query("report_top_brands", f"""{SPENDING_SQL}

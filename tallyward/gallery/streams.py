@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyward.gallery import Tables, query
 from tallyward.gallery.readings import SEEDS_SQL, aliases, raw_drugs
 from tallyward.operators.nesting import nest
+from tallyward.plans import observability
 from tallyward.plans.measures import measure
 from tallyward.plans.reports import batches_over_time
 from tallyward.session import shared_folder
@@ -85,11 +86,12 @@ def intake_batches(t: Tables) -> DataFrame:
 
 def stream_batches(t: Tables) -> DataFrame:
     """Lines as batch records: one per order date, with lag and throughput."""
-    return t.lineitem.groupBy(F.to_date("l_shipdate").alias("batch_ts"), "l_linestatus").agg(
+    batches = t.lineitem.groupBy(F.to_date("l_shipdate").alias("batch_ts"), "l_linestatus").agg(
         F.count("*").alias("messages"), F.count_if(F.col("l_returnflag") == "R").alias("invalid"),
         F.max("l_linenumber").cast("bigint").alias("consumer_lag"),
         F.sum(F.col("l_quantity").cast("bigint")).alias("throughput_msg_per_sec"),
     ).withColumn("valid", F.col("messages") - F.col("invalid"))
+    return observability.stream_batches(batches)
 
 
 _BATCH_SQL = """WITH b AS (SELECT CAST(l_shipdate AS DATE) AS batch_ts, l_linestatus, count(*) AS messages,
@@ -121,7 +123,7 @@ def loaded_events(t: Tables) -> DataFrame:
     fields = ["event_id", "source_quarter", "received_at", *intake.CASE_FIELDS, "patient", "drugs", "reactions", "outcomes"]
     valid = intake.valid_rows(checked(t), fields).withColumnsRenamed(
         {"partition": "kafka_partition", "offset": "kafka_offset"}).withColumns({
-            "received_at": F.to_timestamp("received_at"), "batch_id": F.lit("b1")})
+            "received_at": F.try_to_timestamp("received_at"), "batch_id": F.lit("b1")})
     first = valid.withColumn("loaded_at", F.col("received_at") + F.expr("interval 90500 milliseconds"))
     again = valid.where("kafka_partition = 0").withColumns({
         "loaded_at": F.col("received_at") + F.expr("interval 1 hour"), "batch_id": F.lit("b2")})

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable, Mapping, Sequence
 
@@ -124,8 +125,21 @@ def batch_metrics(checked: DataFrame, topic: str, group: str, lag: int = 0, seco
         F.round(F.col("messages") / F.lit(max(seconds, 0.001)), 1).alias("throughput_msg_per_sec"))
 
 
+def consumer_lag(progress: Mapping | None) -> int:
+    """Messages still waiting, from the progress record of a query on a topic (``query.lastProgress``)."""
+    total = 0
+    for source in (progress or {}).get("sources", []):
+        done, newest = (
+            json.loads(part) if isinstance(part := source.get(name) or {}, str) else part
+            for name in ("endOffset", "latestOffset"))
+        for topic, partitions in newest.items():
+            total += sum(max(int(at) - int(done.get(topic, {}).get(p, 0)), 0) for p, at in partitions.items())
+    return total
+
+
 def route(checked: DataFrame, batch_id: str, sinks: Mapping[str, str], fields: Sequence[str], topic: str,
-          group: str, started: float, keep: Sequence[str] = ("partition", "offset"), key: str | None = None) -> None:
+          group: str, started: float, keep: Sequence[str] = ("partition", "offset"), key: str | None = None,
+          lag: int = 0) -> None:
     """Valid rows to the table, the rest to the dead letters, counts to the metrics.
 
     With ``key`` the rows of a case are written together and in offset order.
@@ -137,7 +151,7 @@ def route(checked: DataFrame, batch_id: str, sinks: Mapping[str, str], fields: S
             loaded = order_in_key(loaded, key, "offset")
         write_batch(loaded, batch_id, sinks["valid"])
         write_batch(dead_letters(checked), batch_id, sinks["dead"])
-        write_batch(batch_metrics(checked, topic, group, 0, time.monotonic() - started), batch_id, sinks["metrics"])
+        write_batch(batch_metrics(checked, topic, group, lag, time.monotonic() - started), batch_id, sinks["metrics"])
     finally:
         checked.unpersist()
 
@@ -151,12 +165,15 @@ def intake_batch(sinks: Mapping[str, str], fields: Sequence[str], required: Sequ
                  rules: Sequence[tuple[Column, str]], schema: str = EVENT_SCHEMA, topic: str = "intake",
                  group: str = "loader", prefix: str = "batch",
                  keep: Sequence[str] = ("partition", "offset"),
-                 key: str | None = None) -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` function of the intake. The batch number makes a replay harmless."""
+                 key: str | None = None, lag: Callable[[], int] = lambda: 0) -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` function of the intake. The batch number makes a replay harmless.
+
+    ``lag`` is asked once per batch, for example ``lambda: consumer_lag(query.lastProgress)``.
+    """
     def run(batch: DataFrame, number: int) -> None:
         started = time.monotonic()
         checked = validate(parse(batch, schema), required, rules)
-        route(checked, f"{prefix}-{number:08d}", sinks, fields, topic, group, started, keep, key)
+        route(checked, f"{prefix}-{number:08d}", sinks, fields, topic, group, started, keep, key, lag())
 
     return run
 

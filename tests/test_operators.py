@@ -236,3 +236,16 @@ def test_freshness(spark, as_of, status):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 1),)], "ts TIMESTAMP")
     assert quality.freshness(df, "ts", as_of, 2, 7).first().status == status
     assert quality.freshness(df.limit(0), "ts", as_of, 2, 7).first().status == "error"
+
+
+def test_standard_checks_cover_all_kinds(spark):
+    from tallyward.plans.checks import check_tables, standard_checks
+
+    products = spark.createDataFrame([("P1",)], "product_id STRING")
+    suite = [c for checks in standard_checks(products).values() for c in checks]
+    kinds = {k: sum(c.kind == k for c in suite) for k in {c.kind for c in suite}}
+    assert kinds == {"unique": 20, "not_null": 26, "accepted_values": 3, "relationships": 5, "expression_is_true": 2,
+                     "unique_combination": 2}
+    runs = spark.createDataFrame([("r",), ("r",), (None,)], "run_id STRING")
+    assert {r.test_name: r.failures for r in check_tables({"ingestion_runs": runs}, products).collect()} == {
+        "unique:run_id": 1, "not_null:run_id": 1}

@@ -142,3 +142,9 @@ def test_stream_dedup_within_the_horizon(spark, tmp_path, horizon, expected):
     intake.dedup_stream(stream, "id", "ts", horizon).writeStream.format("parquet").option(
         "checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start(out).awaitTermination()
     assert spark.read.parquet(out).count() == expected
+
+
+def test_consumer_lag_sums_partitions():
+    progress = {"sources": [{"endOffset": {"t": {"0": 5, "1": 9}}, "latestOffset": '{"t": {"0": 7, "1": 9, "2": 4}}'}]}
+    assert intake.consumer_lag(progress) == 6
+    assert intake.consumer_lag(None) == 0
