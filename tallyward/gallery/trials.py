@@ -20,7 +20,8 @@ from tallyward.gallery.readings import (
 )
 from tallyward.operators import history, terms
 from tallyward.plans import trials
-from tallyward.sources.lake import materialise
+from tallyward.session import shared_folder
+from tallyward.sources.lake import materialise, read_history, write_history
 
 WORD_ROWS = """
     ('THE', 'W1'), ('AND', 'W2'), ('UND', 'W3'), ('OF THE', 'W4'), ('EN', 'W5'), ('ET', 'W6'), ('IT. THE', 'W7'),
@@ -119,7 +120,7 @@ def term_positions(t: Tables) -> DataFrame:
         F.count("*").alias("n"))
 
 
-def customer_history(t: Tables) -> DataFrame:
+def customer_snapshots(t: Tables) -> tuple[DataFrame, DataFrame]:
     """Two snapshots: nation 5 joins later, furniture buyers in debt leave, builders gain, names change."""
     base = t.customer.select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
     joined = F.col("c_nationkey") != 5
@@ -129,8 +130,16 @@ def customer_history(t: Tables) -> DataFrame:
         .withColumn("c_acctbal", F.when(F.col("c_mktsegment") == "BUILDING", F.col("c_acctbal") + 100)
                     .otherwise(F.col("c_acctbal")))
         .withColumn("c_name", F.upper("c_name")))
-    start = history.start_history(first, "2024-01-01")
-    return history.scd2_merge(start, second, "c_custkey", ["c_acctbal", "c_mktsegment"], "2024-02-01")
+    return first, second
+
+
+CHECKED = ["c_acctbal", "c_mktsegment"]
+
+
+def customer_history(t: Tables) -> DataFrame:
+    first, second = customer_snapshots(t)
+    return history.scd2_merge(
+        history.start_history(first, "2024-01-01"), second, "c_custkey", CHECKED, "2024-02-01")
 
 
 HISTORY_SQL = """WITH s1 AS (SELECT c_custkey, c_name, c_mktsegment, c_acctbal FROM customer WHERE c_nationkey != 5),
@@ -157,3 +166,15 @@ def scd2(t: Tables) -> DataFrame:
        "AND (valid_to IS NULL OR valid_to > DATE '2024-01-15')")
 def scd2_as_of(t: Tables) -> DataFrame:
     return history.as_of(customer_history(t), "2024-01-15")
+
+
+@query("scd2_table", f"{HISTORY_SQL} SELECT * FROM history")
+def scd2_table(t: Tables) -> DataFrame:
+    """The same history kept as a table; the second snapshot is loaded twice."""
+    path = shared_folder(t.spark, "customer-history")
+    first, second = customer_snapshots(t)
+    write_history(history.start_history(first, "2024-01-01"), path)
+    for _ in range(2):
+        current = history.open_versions(read_history(t.spark, path))
+        write_history(history.scd2_step(current, second, "c_custkey", CHECKED, "2024-02-01"), path)
+    return read_history(t.spark, path)

@@ -132,18 +132,28 @@ def match_or_search(df: DataFrame, key: str, brand: str, text: str, aliases: Dat
 
 
 def exists_substring(df: DataFrame, terms: DataFrame, key: str, term: str, text: str,
-                     name: str = "is_related") -> DataFrame:
+                     name: str = "is_related", list_size: int = 1000) -> DataFrame:
     """Does any term of the row's key occur inside the row's text (ignoring case)?
 
-    The distinct terms of a key travel as one array beside its rows, so no pair of row
-    and term is ever materialised. Terms of a key are few by construction: a term list
-    filtered by a minimum share has at most (items per case / share) members.
+    Each distinct key and text meets the terms of its key as arrays of about ``list_size``
+    terms, so pairs of row and term are never materialised and no array grows with the
+    data: a key with a long list has several arrays.
     """
-    lists = terms.groupBy(F.col(key).alias("__key")).agg(F.collect_set(F.lower(term)).alias("__terms"))
-    lower = F.lower(F.col(text))
-    hit = F.exists("__terms", lambda t: F.instr(lower, t) > 0)
+    known = terms.where(F.col(key).isNotNull()).select(
+        F.col(key).alias("__key"), F.lower(term).alias("__term")).distinct()
+    sizes = known.groupBy("__key").agg(F.count(F.lit(1)).alias("__n"))
+    part = F.expr(f"pmod(xxhash64(__term), (__n + {list_size} - 1) div {list_size})")
+    lists = known.join(sizes, "__key").groupBy("__key", part.alias("__part")).agg(
+        F.collect_list("__term").alias("__terms"))
+    lower = F.lower("__text")
+    hits = (
+        df.select(F.col(key).alias("__key"), F.col(text).alias("__text")).distinct()
+        .join(lists, "__key", "inner")
+        .where(F.exists("__terms", lambda t: F.instr(lower, t) > 0))
+        .select("__key", "__text", F.lit(True).alias("__hit")).distinct()
+    )
     return (
-        df.join(lists, F.col(key) == F.col("__key"), "left")
-        .withColumn(name, F.coalesce(hit, F.lit(False)))
-        .drop("__key", "__terms")
+        df.join(hits, (F.col(key) == F.col("__key")) & (F.col(text) == F.col("__text")), "left")
+        .withColumn(name, F.coalesce("__hit", F.lit(False)))
+        .drop("__key", "__text", "__hit")
     )

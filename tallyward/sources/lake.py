@@ -100,6 +100,25 @@ def materialise(df: DataFrame, name: str, kind: str = "table", cluster_by: Seque
     return spark.read.schema(df.schema).parquet(target)
 
 
+def write_history(versions: DataFrame, path: str) -> None:
+    """Store open versions and those closed by the last snapshot in a table by closing date.
+
+    Only the open partition and that of the new closing date are replaced; older closed
+    versions are never read or written again. The rows are written aside first because
+    they come from the table they replace.
+    """
+    ready = materialise(versions, "history")
+    (
+        ready.withColumn("closed_on", F.coalesce(F.col("valid_to").cast("string"), F.lit("open")))
+        .hint("rebalance", "closed_on").write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy("closed_on").parquet(path)
+    )
+
+
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("closed_on")
+
+
 def layer_volumes(spark: SparkSession, tables: Sequence[tuple[str, str, str, str]]) -> DataFrame:
     """Rows, files, bytes and last change per ``(layer, table, type, path)``, from file metadata."""
     parts = []

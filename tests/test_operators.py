@@ -7,6 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from tallyward.sources.lake import read_history, write_history
 from tallyward.operators import aggregates, attribution, dedup, history, intervals, joins, nesting, quality, ranking, reshape, terms
 
 
@@ -93,9 +94,10 @@ def test_exists_substring(spark):
         [("P1", "Multiple Sclerosis Relapse"), ("P1", "Headache"), ("P2", "Multiple Sclerosis"), (None, "x"), ("P1", "Asthma")],
         "p STRING, r STRING")
     known = spark.createDataFrame([("P1", "multiple sclerosis"), ("P1", "ASTHMA"), (None, "x")], "p STRING, term STRING")
-    out = terms.exists_substring(pairs, known, "p", "term", "r")
-    assert rows(out) == sorted([("P1", "Multiple Sclerosis Relapse", True), ("P1", "Headache", False),
-                                ("P2", "Multiple Sclerosis", False), (None, "x", False), ("P1", "Asthma", True)], key=repr)
+    for size in (1, 1000):
+        out = terms.exists_substring(pairs, known, "p", "term", "r", list_size=size)
+        assert rows(out) == sorted([("P1", "Multiple Sclerosis Relapse", True), ("P1", "Headache", False),
+                                    ("P2", "Multiple Sclerosis", False), (None, "x", False), ("P1", "Asthma", True)], key=repr)
 
 
 def test_overlap_equals_self_join(spark):
@@ -128,6 +130,21 @@ def test_scd2_cases_and_idempotence(spark):
     assert len(history.as_of(once, "2024-01-31").collect()) == 4
 
 
+def test_history_table_rewrites_open_rows_only(spark, tmp_path):
+    path = str(tmp_path / "history")
+    first = spark.createDataFrame([(1, 1), (2, 2), (3, 3)], "k INT, v INT")
+    second = spark.createDataFrame([(1, 1), (2, 9)], "k INT, v INT")
+    third = spark.createDataFrame([(1, 5), (2, 9)], "k INT, v INT")
+    whole = history.start_history(first, "2024-01-01")
+    for snapshot, day in ((second, "2024-02-01"), (second, "2024-02-01"), (third, "2024-03-01")):
+        whole = history.scd2_merge(whole, snapshot, "k", ["v"], day)
+    write_history(history.start_history(first, "2024-01-01"), path)
+    for snapshot, day in ((second, "2024-02-01"), (second, "2024-02-01"), (third, "2024-03-01")):
+        table = read_history(spark, path)
+        write_history(history.scd2_step(history.open_versions(table), snapshot, "k", ["v"], day), path)
+    assert rows(read_history(spark, path).select(*whole.columns)) == rows(whole)
+
+
 def test_nest_splits_large_groups_without_loss(spark):
     parent = spark.createDataFrame([(1,), (2,), (3,)], "k INT")
     items = [(1, 2, "x"), (1, 1, "y")] + [(2, 7, "same")] * 25 + [(2, i, "z") for i in range(20)]
