@@ -33,10 +33,22 @@ def upsert_by_key(frames: Sequence[DataFrame], key: str, tie: Sequence[Column] =
     return latest_by(merged, [key], [F.col("__source").desc(), *tie]).drop("__source")
 
 
+def first_with_count(df: DataFrame, by: Sequence[str], order: Sequence[Column], columns: Sequence[str],
+                     name: str = "group_count") -> DataFrame:
+    """``columns`` of the first row per group and the size of the group, in one aggregation.
+
+    ``order`` sorts ascending; negate a number to sort it the other way.
+    """
+    first = F.min_by(F.struct(*columns), F.struct(*order))
+    return df.groupBy(*by).agg(first.alias("__first"), F.count(F.lit(1)).alias(name)).select(
+        *by, "__first.*", name)
+
+
 def with_group_count(df: DataFrame, by: Sequence[str], name: str = "group_count") -> DataFrame:
     """Every row with the number of rows of its group.
 
-    A count and a join instead of a window: no task has to hold a whole group.
+    A count and a join instead of a window: no task has to hold a whole group. ``df`` is
+    read twice, so pass a table rather than a long chain of work.
     """
     counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias(name))
     keys = [F.col(c).alias(f"__{c}") for c in by]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.functions import classify, due_within, label, months_between_cal
-from tallyward.operators.dedup import latest_by, with_group_count
+from tallyward.operators.dedup import first_with_count
 from tallyward.operators.reshape import members
 from tallyward.operators.terms import match_or_search, match_terms
 from tallyward.plans import rules
@@ -23,8 +23,9 @@ def study_products(studies: DataFrame, aliases: DataFrame) -> DataFrame:
 
 def primary_products(matched: DataFrame) -> DataFrame:
     """Longest match per study, with the number of products before the choice."""
-    counted = with_group_count(matched, ["nct_id"], "product_count")
-    return latest_by(counted, ["nct_id"], [F.col("best_alias_length").desc(), F.col("product_id").asc()])
+    return first_with_count(
+        matched, ["nct_id"], [-F.col("best_alias_length"), F.col("product_id")], ["product_id", "best_alias_length"],
+        "product_count")
 
 
 def clinical_trials(studies: DataFrame, matched: DataFrame, products: DataFrame, as_of: str,

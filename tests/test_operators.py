@@ -39,6 +39,12 @@ def test_group_count_keeps_null_groups(spark):
     assert rows(dedup.with_group_count(df, ["k"])) == sorted([("a", 1, 2), ("a", 2, 2), (None, 3, 1)], key=repr)
 
 
+def test_first_with_count(spark):
+    df = spark.createDataFrame([("a", 1, "x"), ("a", 3, "z"), ("a", 3, "y"), ("b", 0, "q")], "k STRING, n INT, v STRING")
+    out = dedup.first_with_count(df, ["k"], [-F.col("n"), F.col("v")], ["v", "n"])
+    assert rows(out) == [("a", "y", 3, 3), ("b", "q", 0, 1)]
+
+
 ALIASES = [("BRAND", "P1", False), ("GENERIC", "P2", True), ("SHARED", "P3", False)]
 
 
