@@ -5,6 +5,6 @@ from tallyward.session import local_session
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(cores=4, app="tallyward-tests")
+    session = local_session(cores=8, app="tallyward-tests")
     yield session
     session.stop()
