@@ -65,7 +65,7 @@ def read_fixed(spark: SparkSession, path: str, columns: Sequence[str], sep: str
     fields = F.split("line", literal_regex(sep), -1)
     lines = raw.where((F.trim("line") != "") & (F.col("line") != (header["line"] if header else "")))
     parsed = lines.withColumn("f", fields)
-    # Compare sizes as numbers only once: a trailing separator adds one empty field.
+    # A trailing separator adds one empty field, which is not a field too many.
     trailing = (F.size("f") == width + 1) & (F.get(F.col("f"), F.lit(width)) == "")
     good = (F.size("f") <= width) | trailing
     labels = [n if n.strip() else f"_c{i}" for i, n in enumerate(names)]
