@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -43,21 +39,24 @@ def local_session(cores: int | str = 8, app: str = "tallyward") -> SparkSession:
     return tune(spark)
 
 
-@cache
-def _folder_of_this_machine() -> str:
-    folder = tempfile.mkdtemp(prefix="tallyward-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    return folder
+_written: list[tuple[SparkSession, str]] = []
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh path below ``spark.checkpoint.dir``, reachable by every executor.
+    """A fresh path that every executor reaches: below ``spark.checkpoint.dir``, where unset below the warehouse.
 
-    Only a local session without that setting gets a folder of this machine.
+    ``clear_layers`` removes what was written; without it the folders stay for later sessions.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = _folder_of_this_machine()
-    return f"{base.rstrip('/')}/tallyward/{purpose}-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{base.rstrip('/')}/tallyward/{purpose}-{uuid.uuid4().hex}"
+    _written.append((spark, path))
+    return path
+
+
+def clear_layers(spark: SparkSession) -> None:
+    """Remove the folders handed out to this session; frames read from them can no longer be used."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for owner, path in [x for x in _written if x[0] is spark]:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
+        _written.remove((owner, path))

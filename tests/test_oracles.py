@@ -9,9 +9,12 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 import compare  # noqa: E402
 
 import __spark_entry__ as entry_module  # noqa: E402
+from tallyward import gallery  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
+# The queries of the reference's own operators; those of tallyward.llm have their tests in tests/llm.
+gallery.load()
+QUERIES, ORACLES = gallery.QUERIES, gallery.ORACLES
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test data")
 
 # Nested-loop and cross joins, row-wise Python and one-task windows have no place in a plan.
