@@ -46,8 +46,8 @@ _P_INV = pow(_P, -1, 1 << 64)
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
-_FOLD = np.arange(256, dtype=np.uint8)
-_FOLD[65:91] += 32
+FOLD = np.arange(256, dtype=np.uint8)
+FOLD[65:91] += 32
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -101,7 +101,7 @@ def words_of(flat: np.ndarray, starts: np.ndarray, fold: bool = False) -> tuple[
     cuts = np.flatnonzero(edge)
     runs = ~space[cuts[:-1]]
     begin, end = cuts[:-1][runs], cuts[1:][runs]
-    letters = (_FOLD[flat] if fold else flat).astype(np.uint64)
+    letters = (FOLD[flat] if fold else flat).astype(np.uint64)
     letters += np.uint64(1)
     letters *= _power(_P, size)
     total = np.zeros(size + 1, np.uint64)

@@ -2,21 +2,45 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable
+from functools import cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import chat, mixing, url_rules
+from tallyward.llm import bpe, chat, mixing, token_shards, url_rules
 from tallyward.llm.common import pick
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+@cache
+def _archive() -> str:
+    """The package as a zip file, which Spark hands to all executors: their Python tasks import it."""
+    root = Path(__file__).resolve().parents[1]
+    path = Path(tempfile.mkdtemp(prefix="tallyward-code-")) / "tallyward.zip"
+    with zipfile.ZipFile(path, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    return str(path)
+
+
+def ship(spark: SparkSession) -> None:
+    if not any(name.endswith("/tallyward.zip") for name in spark.sparkContext.listFiles):
+        spark.sparkContext.addPyFile(_archive())
+
+
 def query(name: str, sql: str | None = None):
     def add(work):
-        QUERIES[name] = work
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            ship(spark)
+            return work(spark, folder)
+
+        QUERIES[name] = run
         if sql:
             ORACLES[name] = sql
         return work
@@ -28,6 +52,28 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+# The vocabulary file of the queries; the operators take its path as a parameter.
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+# -- op1 ---------------------------------------------------------------------------------------------------------
+
+@query("op1_bpe_round_trip")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.round_trip(table(spark, folder, "documents"), vocabulary())
+
+
+# -- op5 ---------------------------------------------------------------------------------------------------------
+
+@query("op5_token_shards")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    shards = token_shards.write_shards(table(spark, folder, "documents"), vocabulary(), 49_408)
+    return token_shards.read_shards(shards)
+
+
 # -- op2 ---------------------------------------------------------------------------------------------------------
 
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
