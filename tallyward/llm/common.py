@@ -84,6 +84,17 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat[offsets[0]:offsets[-1]] if len(offsets) else flat[:0], offsets - offsets[0]
 
 
+def span_codes(flat: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte ranges: a rolling hash by prefix sums, then mixed. An empty range is 0."""
+    size = len(flat)
+    letters = flat.astype(np.uint64)
+    letters += np.uint64(1)
+    letters *= _power(_P, size)
+    total = np.zeros(size + 1, np.uint64)
+    np.cumsum(letters, out=total[1:])
+    return mix((total[end] - total[begin]) * _power(_P_INV, size + 1)[begin])
+
+
 def words_of(flat: np.ndarray, starts: np.ndarray, fold: bool = False) -> tuple[np.ndarray, ...]:
     """Words of joined texts: first byte, end, 64-bit hash, and per text the number of its first word.
 
@@ -101,13 +112,7 @@ def words_of(flat: np.ndarray, starts: np.ndarray, fold: bool = False) -> tuple[
     cuts = np.flatnonzero(edge)
     runs = ~space[cuts[:-1]]
     begin, end = cuts[:-1][runs], cuts[1:][runs]
-    letters = (FOLD[flat] if fold else flat).astype(np.uint64)
-    letters += np.uint64(1)
-    letters *= _power(_P, size)
-    total = np.zeros(size + 1, np.uint64)
-    np.cumsum(letters, out=total[1:])
-    code = mix((total[end] - total[begin]) * _power(_P_INV, size)[begin])
-    return begin, end, code, np.searchsorted(begin, starts)
+    return begin, end, span_codes(FOLD[flat] if fold else flat, begin, end), np.searchsorted(begin, starts)
 
 
 def windows(code: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:

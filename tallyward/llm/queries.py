@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import bpe, chat, mixing, token_shards, url_rules
+from tallyward.llm import bpe, chat, mixing, quality, token_shards, url_rules
 from tallyward.llm.common import pick
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,6 +107,14 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return verdicts.select("page_id", "host", "path", "rule", "verdict")
 
 
+# -- op6 ---------------------------------------------------------------------------------------------------------
+
+@query("op6_quality_rules")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return quality.judge(documents, quality.fit_references(documents))
+
+
 # -- op7 ---------------------------------------------------------------------------------------------------------
 
 CHAT_SQL = r"""
