@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import bpe, chat, mixing, quality, secrets, token_shards, url_rules
+from tallyward.llm import bpe, chat, group_join, mixing, quality, secrets, token_shards, url_rules
 from tallyward.llm.common import pick
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -162,6 +162,14 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
         "formatted_chars")
 
 
+# -- op8 ---------------------------------------------------------------------------------------------------------
+
+@query("op8_jaccard_join")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return group_join.jaccard_classes(table(spark, folder, "documents")).select(
+        "doc_id", "n_shingles", "component_id")
+
+
 # -- op10 --------------------------------------------------------------------------------------------------------
 
 @query("op10_mix_sources")
