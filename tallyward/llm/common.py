@@ -134,7 +134,7 @@ def ramp(lengths: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - lengths, lengths)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Batches cut so that their texts have about ``most`` bytes; a longer single text is a batch of its own."""
     for batch in batches:
         flat, starts = text_bytes(batch.column(batch.schema.get_field_index(column)))
