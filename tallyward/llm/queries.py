@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import bpe, chat, group_join, mixing, quality, secrets, token_shards, url_rules
+from tallyward.llm import bpe, chat, embedding_join, group_join, mixing, quality, secrets, token_shards, url_rules
 from tallyward.llm.common import pick
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,6 +66,13 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(table(spark, folder, "documents"), vocabulary())
 
 
+# -- op3 ---------------------------------------------------------------------------------------------------------
+
+@query("op3_embedding_dedup")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_join.near_vectors(table(spark, folder, "embeddings"))
+
+
 # -- op4 ---------------------------------------------------------------------------------------------------------
 
 @query("op4_secret_scan")
