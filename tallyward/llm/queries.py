@@ -11,7 +11,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import bpe, chat, embedding_join, group_join, mixing, quality, secrets, token_shards, url_rules
+from tallyward.llm import (
+    bpe, chat, embedding_join, group_join, mixing, quality, secrets, suffix_tree, token_shards, url_rules)
 from tallyward.llm.common import pick
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -177,6 +178,13 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id")
 
 
+# -- op9 ---------------------------------------------------------------------------------------------------------
+
+@query("op9_suffix_tree")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_tree.score(table(spark, folder, "documents"))
+
+
 # -- op10 --------------------------------------------------------------------------------------------------------
 
 @query("op10_mix_sources")
