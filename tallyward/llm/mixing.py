@@ -62,17 +62,43 @@ def mix(documents: DataFrame, quality: DataFrame | None = None, weights: tuple[i
     A source is cut into buckets by ranges of the key, about ``ROWS_PER_BUCKET`` rows each: the prefix sums of whole
     buckets come from one row per bucket, and only the bucket in which the rest ends is sorted row by row.
     """
+    return _mixed(documents, quality, weights, seed).drop("text_hash")
+
+
+def draw(documents: DataFrame, columns: tuple[str, ...], **options) -> DataFrame:
+    """The named columns of every document, once for each time that ``mix`` takes it.
+
+    Rows that repeat an id, a source and a text share their draws; which of them is repeated makes no difference
+    unless they differ in another column.
+    """
+    times = _mixed(documents, **options).where("epochs > 0").groupBy("doc_id", "source", "text_hash").agg(
+        F.sum("epochs").alias("__times"))
+    times = times.toDF("__id", "__source", "__hash", "__times")
+    rows = pick(documents, *columns).withColumn("__text", _text_hash())
+    rows = rows.join(times, F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source"))
+                     & (F.col("__text") == F.col("__hash")))
+    one = Window.partitionBy("doc_id", "source", "__text").orderBy(F.lit(1))
+    rows = rows.withColumn("__row", F.row_number().over(one)).where("__row = 1")
+    return rows.withColumn("__copy", F.explode(F.expr("sequence(1, __times)"))).select(*columns)
+
+
+def _text_hash() -> Column:
+    return F.coalesce(F.xxhash64("text"), F.lit(0))
+
+
+def _mixed(documents: DataFrame, quality: DataFrame | None = None, weights: tuple[int, ...] = (1, 2, 3),
+           seed: int = 7) -> DataFrame:
     rows = pick(documents, "doc_id", "source", "text").select(
         "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.coalesce(F.xxhash64("text"), F.lit(0)).alias("__text"))
+        _text_hash().alias("text_hash"))
     if quality is not None:
         best = pick(quality, "doc_id", "quality").dropna().groupBy("doc_id").agg(F.max("quality").alias("__good"))
         rows = rows.join(best, "doc_id", "left")
     else:
         rows = rows.withColumn("__good", F.lit(None).cast("int"))
     rate = F.when(F.col("__good") > 0, 2.0).when(F.col("__good") <= 0, 0.5).otherwise(1.0)
-    key = sampling_key(rate, F.lit(seed), F.col("doc_id"), F.col("source"), F.col("__text"))
-    rows = stage(rows.select("doc_id", "source", "size", key.alias("key")), "mix-rows")
+    key = sampling_key(rate, F.lit(seed), F.col("doc_id"), F.col("source"), F.col("text_hash"))
+    rows = stage(rows.select("doc_id", "source", "text_hash", "size", key.alias("key")), "mix-rows")
 
     totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
     goals = source_targets(totals, weights)
@@ -94,7 +120,7 @@ def mix(documents: DataFrame, quality: DataFrame | None = None, weights: tuple[i
                          "left").drop("__source", "__bucket")
     whole = F.col("before") + F.col("bucket_size") <= F.col("rest")
     none = F.col("before") >= F.col("rest")
-    columns = ["doc_id", "source", "size", "source_size", "target", "epochs"]
+    columns = ["doc_id", "source", "text_hash", "size", "source_size", "target", "epochs"]
     settled = placed.where(whole | none).select(*columns, whole.alias("drawn"))
     in_bucket = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size").rowsBetween(
         Window.unboundedPreceding, -1)
@@ -103,5 +129,5 @@ def mix(documents: DataFrame, quality: DataFrame | None = None, weights: tuple[i
     cut = cut.select(*columns, (reached <= F.col("rest")).alias("drawn"))
     out = settled.unionAll(cut)
     epochs = F.col("epochs") + F.col("drawn").cast("long")
-    return out.select("doc_id", "source", "size", "source_size", "target", epochs.alias("epochs"),
+    return out.select("doc_id", "source", "text_hash", "size", "source_size", "target", epochs.alias("epochs"),
                       (F.col("size") * epochs).alias("taken"))

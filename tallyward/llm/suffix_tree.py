@@ -19,10 +19,10 @@ from pyspark.sql import functions as F
 
 from tallyward.llm.common import FOLD, mix, partitions, pick, slices, span_codes, stage, text_bytes, words_of
 
-DEPTH = 4
-MOST_STATES = 50_000
+DEPTH = 5
+MOST_STATES = 100_000
 PRIOR = 2.0  # weight of the next shorter context in a smoothed distribution, in observations
-DIVERGENCE = 4.0  # a state gains this many nats for each symbol it predicts
+DIVERGENCE = 2.0  # a state gains this many nats for each symbol it predicts
 
 START, WORD_END, TEXT_END, UNKNOWN = 0x110000, 0x110001, 0x110002, 0x110003
 N_CODE_POINTS = 0x110000
