@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyward.llm.common import WORD, pick, stage
 
 MOST_EPOCHS = 3
-ROWS_PER_BUCKET = 10_000
+ROWS_PER_BUCKET = 1_000
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
