@@ -74,7 +74,7 @@ def draw(documents: DataFrame, columns: tuple[str, ...], **options) -> DataFrame
     times = _mixed(documents, **options).where("epochs > 0").groupBy("doc_id", "source", "text_hash").agg(
         F.sum("epochs").alias("__times"))
     times = times.toDF("__id", "__source", "__hash", "__times")
-    rows = pick(documents, *columns).withColumn("__text", _text_hash())
+    rows = pick(documents, *dict.fromkeys(("doc_id", "source", "text", *columns))).withColumn("__text", _text_hash())
     rows = rows.join(times, F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source"))
                      & (F.col("__text") == F.col("__hash")))
     one = Window.partitionBy("doc_id", "source", "__text").orderBy(F.lit(1))

@@ -59,7 +59,8 @@ def _contexts(symbols: np.ndarray, place: np.ndarray) -> list[np.ndarray]:
 
 
 def _step(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-    return mix(context ^ mix(symbol.astype(np.uint64) + np.uint64(77)))
+    # Not symmetric: a context and a symbol of swapped values differ.
+    return mix(context * np.uint64(_BASE) + mix(symbol.astype(np.uint64) + np.uint64(77)))
 
 
 _START_CONTEXTS = [int(c[0].astype(np.int64)) for c in _contexts(np.array([TEXT_END]), np.array([0]))[:2]]
