@@ -52,10 +52,10 @@ _powers: dict[int, np.ndarray] = {}
 
 
 def _power(base: int, n: int) -> np.ndarray:
-    """base**0 ... base**(n-1) modulo 2**64, kept and doubled when longer ones are needed."""
+    """base**0 ... base**(n-1) modulo 2**64, kept until longer ones are needed."""
     have = _powers.get(base)
     if have is None or len(have) < n:
-        size = max(1 << 16, 1 << (n - 1).bit_length())
+        size = (n + (1 << 20) - 1) >> 20 << 20
         have = np.full(size, base, np.uint64)
         have[0] = 1
         np.multiply.accumulate(have, out=have)
@@ -134,7 +134,7 @@ def ramp(lengths: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - lengths, lengths)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Batches cut so that their texts have about ``most`` bytes; a longer single text is a batch of its own."""
     for batch in batches:
         flat, starts = text_bytes(batch.column(batch.schema.get_field_index(column)))

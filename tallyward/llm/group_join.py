@@ -313,7 +313,7 @@ def jaccard_classes(documents: DataFrame, width: int = 5, percent: int = 80) ->
 def keep_first(documents: DataFrame, columns: tuple[str, ...], **options) -> DataFrame:
     """The named columns of one document of each component (the one of smallest doc_id)."""
     kept = jaccard_classes(documents, **options).where("first").select(F.col("doc_id").alias("__id")).distinct()
-    rows = pick(documents, *columns).join(kept, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    rows = pick(documents, *dict.fromkeys(("doc_id", "text", *columns))).join(kept, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
     # Rows that repeat an id and its text are one document.
     again = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(1))
-    return rows.withColumn("__again", F.row_number().over(again)).where("__again = 1").drop("__again")
+    return rows.withColumn("__again", F.row_number().over(again)).where("__again = 1").select(*columns)
