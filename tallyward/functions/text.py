@@ -34,8 +34,11 @@ def clean_name(col) -> Column:
 
 
 def title(col) -> Column:
-    """Trimmed term with each blank-separated word capitalised."""
-    return F.initcap(trim_all(col))
+    """Trimmed term in lower case with a capital after everything that is no letter, digit or mark."""
+    # A bell stands before each word, so that one split finds the word starts; it is no part of a term.
+    words = F.split(F.regexp_replace(F.lower(trim_all(col)), r"(?<![\p{L}\p{N}\p{M}])(?=[\p{L}])", "\x07"), "\x07")
+    return F.array_join(F.transform(words, lambda w: F.concat(F.upper(F.left(w, F.lit(1))), F.substring(
+        w, 2, 1 << 30))), "")
 
 
 def first_item(col, sep: str = "|") -> Column:

@@ -30,18 +30,30 @@ def report_lines(t: Tables) -> DataFrame:
 @query("fixed_file", """SELECT pt, drug_rec_act, caseid, count(*) AS n FROM (
   SELECT 'É" ' || p_name AS pt, CASE WHEN l_linenumber != 7 THEN 'NA' END AS drug_rec_act, CAST(NULL AS VARCHAR) AS caseid
   FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_returnflag != 'R') GROUP BY 1, 2, 3
-UNION ALL SELECT 'rejected', NULL, NULL, count(*) FROM lineitem WHERE l_returnflag = 'R'""")
+UNION ALL SELECT 'rejected', NULL, NULL, count(*) FROM lineitem WHERE l_returnflag = 'R'
+UNION ALL SELECT p_name, NULL, CAST(p_size AS VARCHAR), count(*) FROM part GROUP BY 1, 3
+UNION ALL SELECT 'unexpected column brand', NULL, NULL, 1""")
 def fixed_file(t: Tables) -> DataFrame:
-    """The text file read back to the fixed schema, with the rows it had to reject."""
+    """Files with different headers read back to the fixed schema, with the rows that had to be rejected.
+
+    The second file has its columns in another order, lacks one and has one too many.
+    """
     path = shared_folder(t.spark, "reac-text")
-    report_lines(t).select(F.col("line").alias(" PrimaryID $CASEID$pt$drug_rec_act$")).write.options(
+    t.part.select(F.concat_ws("$", "p_name", "p_brand", F.col("p_size").cast("string"), F.lit("9")).alias(
+        "PT$brand$CaseId$primaryid")).coalesce(1).write.options(
+        header=True, quote="", sep="\x01", encoding="ISO-8859-1", emptyValue="").csv(path)
+    report_lines(t).select(F.col("line").alias(" PrimaryID $CASEID$pt$drug_rec_act$")).write.mode("append").options(
         header=True, quote="", sep="\x01", encoding="ISO-8859-1", emptyValue="").csv(path)
     read = delimited.read_fixed(t.spark, path, delimited.REPORT_TABLES["reac"])
     good = read.rows.groupBy("pt", "drug_rec_act", "caseid").agg(F.count("*").alias("n"))
     bad = read.rejected.agg(F.count("*").alias("n")).select(
         F.lit("rejected").alias("pt"), F.lit(None).cast("string").alias("drug_rec_act"),
         F.lit(None).cast("string").alias("caseid"), "n")
-    return good.unionByName(bad)
+    none = F.lit(None).cast("string")
+    strange = read.unexpected.select(
+        F.concat(F.lit("unexpected column "), "name").alias("pt"), none.alias("drug_rec_act"), none.alias("caseid"),
+        F.lit(1).cast("bigint").alias("n"))
+    return good.unionByName(bad).unionByName(strange)
 
 
 @query("bronze_partitions", """SELECT CAST(year(o_orderdate) AS VARCHAR) || 'Q' || CAST(quarter(o_orderdate) AS VARCHAR)

@@ -121,9 +121,7 @@ def report_batches(t: Tables) -> DataFrame:
 def loaded_events(t: Tables) -> DataFrame:
     """Valid messages as the loaded table; status F was delivered twice."""
     fields = ["event_id", "source_quarter", "received_at", *intake.CASE_FIELDS, "patient", "drugs", "reactions", "outcomes"]
-    valid = intake.valid_rows(checked(t), fields).withColumnsRenamed(
-        {"partition": "kafka_partition", "offset": "kafka_offset"}).withColumns({
-            "received_at": F.try_to_timestamp("received_at"), "batch_id": F.lit("b1")})
+    valid = intake.valid_rows(checked(t), fields).withColumn("batch_id", F.lit("b1"))
     first = valid.withColumn("loaded_at", F.col("received_at") + F.expr("interval 90500 milliseconds"))
     again = valid.where("kafka_partition = 0").withColumns({
         "loaded_at": F.col("received_at") + F.expr("interval 1 hour"), "batch_id": F.lit("b2")})
@@ -147,6 +145,87 @@ def intake_stream(t: Tables) -> DataFrame:
         "is_serious", "is_death", "batch_id")
 
 
+CASE_EVENT = ["event_id", "source_quarter", "received_at", *intake.CASE_FIELDS, "patient", "drugs", "reactions", "outcomes"]
+
+
+def run_chain(t: Tables, topic: DataFrame, base: str, checkpoint: str) -> dict[str, str]:
+    """Drain a folder of messages, standing for the topic, into the sinks below ``base``."""
+    sinks = {kind: f"{base}/{kind}" for kind in ("valid", "dead", "metrics")}
+    work = intake.intake_batch(sinks, CASE_EVENT, intake.REQUIRED_FIELDS, intake.report_rules(), topic="intake")
+    intake.start(topic, work, f"{base}/{checkpoint}", once=True).awaitTermination()
+    return sinks
+
+
+def message_stream(t: Tables, base: str) -> DataFrame:
+    messages = event_messages(t).drop("o_orderdate")
+    messages.select("topic", "partition", "offset", "key", "value").write.parquet(f"{base}/topic")
+    return intake.open_stream(t.spark, "parquet", "topic STRING, partition BIGINT, offset BIGINT, key STRING, value STRING",
+                              max_per_trigger=4, path=f"{base}/topic")
+
+
+@query("intake_chain", f"""WITH {SEEDS_SQL}, {MESSAGES_SQL},
+suspects AS (SELECT * FROM (
+  SELECT l_orderkey, upper(p_brand) AS name, upper(p_type) AS ingr, row_number() OVER (
+    PARTITION BY l_orderkey ORDER BY l_linenumber, lower(p_brand) || '.. ', p_type) AS rn
+  FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_linenumber <= 2) WHERE rn = 1)
+SELECT CAST(o_orderdate AS DATE) AS received_date, coalesce(b.product_id, i.product_id) AS product_id,
+  count(*) AS cases, CAST(sum(n) AS BIGINT) AS drugs, count(*) FILTER (death) AS deaths, 2 * count(*) AS deliveries
+FROM checked JOIN suspects ON l_orderkey = o_orderkey LEFT JOIN aliases b ON b.alias = name
+LEFT JOIN aliases i ON i.alias = ingr WHERE errors = '' GROUP BY 1, 2""")
+def intake_chain(t: Tables) -> DataFrame:
+    """Messages streamed into the table by two queries with their own checkpoints, staged and enriched from the table.
+
+    Every event is delivered once by each query; both deliveries stay in the table, staging takes the first.
+    """
+    base = shared_folder(t.spark, "intake-chain")
+    topic = message_stream(t, base)
+    run_chain(t, topic, base, "checkpoint-1")
+    loaded = t.spark.read.parquet(run_chain(t, topic, base, "checkpoint-2")["valid"])
+    twice = loaded.groupBy("event_id").agg(F.count("*").alias("deliveries"))
+    events = intake.enrich_stream(intake.stage_events(loaded), aliases(t))
+    return events.join(twice, "event_id").groupBy("received_date", "product_id").agg(
+        F.count("*").alias("cases"), F.sum("drug_count").alias("drugs"), F.count_if("is_death").alias("deaths"),
+        F.sum("deliveries").alias("deliveries"))
+
+
+@query("intake_chain_batches", f"""WITH {MESSAGES_SQL}
+SELECT 'valid' AS measure, count(*) FILTER (errors = '') AS n FROM checked
+UNION ALL SELECT 'invalid', count(*) FILTER (errors != '') FROM checked
+UNION ALL SELECT 'messages', count(*) FROM checked
+UNION ALL SELECT 'events', count(*) FILTER (errors = '') FROM checked""")
+def intake_chain_batches(t: Tables) -> DataFrame:
+    """The batch report and measures from what the intake itself wrote."""
+    base = shared_folder(t.spark, "intake-batches")
+    sinks = run_chain(t, message_stream(t, base), base, "checkpoint")
+    batches = observability.stream_batches(t.spark.read.parquet(sinks["metrics"]))
+    shown = batches_over_time(batches).agg(F.sum("stream_valid").alias("valid"), F.sum("stream_invalid").alias("invalid"))
+    total = measure(["stream_messages"], batches).select(F.col("stream_messages").alias("messages"))
+    events = measure(["stream_events"], t.spark.read.parquet(sinks["valid"])).select(F.col("stream_events").alias("events"))
+    parts = [f.select(F.lit(c).alias("measure"), F.col(c).cast("bigint").alias("n"))
+             for f, c in ((shown, "valid"), (shown, "invalid"), (total, "messages"), (events, "events"))]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2]).unionAll(parts[3])
+
+
+@query("enriched_on_stream", f"""WITH {SEEDS_SQL}, {MESSAGES_SQL},
+suspects AS (SELECT * FROM (
+  SELECT l_orderkey, upper(p_brand) AS name, upper(p_type) AS ingr, row_number() OVER (
+    PARTITION BY l_orderkey ORDER BY l_linenumber, lower(p_brand) || '.. ', p_type) AS rn
+  FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_linenumber <= 2) WHERE rn = 1)
+SELECT coalesce(b.product_id, i.product_id) AS product_id, count(*) AS n
+FROM checked JOIN suspects ON l_orderkey = o_orderkey LEFT JOIN aliases b ON b.alias = name
+LEFT JOIN aliases i ON i.alias = ingr WHERE errors = '' GROUP BY 1""")
+def enriched_on_stream(t: Tables) -> DataFrame:
+    """The enrichment itself as a running stream over staged events."""
+    base = shared_folder(t.spark, "enriched")
+    staged = intake.stage_events(loaded_events(t))
+    staged.write.parquet(f"{base}/staged")
+    schema = t.spark.read.parquet(f"{base}/staged").schema
+    stream = t.spark.readStream.schema(schema).parquet(f"{base}/staged")
+    intake.enrich_stream(stream, aliases(t)).writeStream.format("parquet").option(
+        "checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start(f"{base}/out").awaitTermination()
+    return t.spark.read.parquet(f"{base}/out").groupBy("product_id").agg(F.count("*").alias("n"))
+
+
 # --- running streams over the event table ----------------------------------------------------
 
 CLICK_FIELDS = ["event_id", "event_type", "user_id", "received_at", "amount"]
@@ -197,23 +276,25 @@ def stream_intake(t: Tables) -> DataFrame:
 
 
 @query("stream_windows", """SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type, count(*) AS events
-FROM events WHERE date_trunc('day', ts) < (SELECT date_trunc('day', max(ts)) FROM events) GROUP BY 1, 2""")
+FROM events GROUP BY 1, 2""")
 def stream_windows(t: Tables) -> DataFrame:
-    """Events per day and type from the stream; the last day stays open."""
+    """Events per day and type from the stream, open windows included: the last change of each window counts."""
     base = shared_folder(t.spark, "stream-windows")
     events = event_stream(t).withColumn("ts", F.col("ts").cast("timestamp"))
-    counts = intake.windowed(events, "ts", "1 day", ["event_type"])
-    counts.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{base}/checkpoint").trigger(
-        availableNow=True).start(f"{base}/table").awaitTermination()
-    return t.spark.read.parquet(f"{base}/table").select(
-        F.date_format("window_start", "yyyy-MM-dd").alias("day"), "event_type", "events")
+    counts = intake.windowed(events, "ts", "1 day", ["event_type"], "60 days")
+    counts.writeStream.outputMode("update").foreachBatch(
+        lambda batch, number: intake.write_batch(batch, f"{number:08d}", f"{base}/table")).option(
+        "checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return t.spark.read.parquet(f"{base}/table").groupBy(
+        F.date_format("window_start", "yyyy-MM-dd").alias("day"), "event_type").agg(
+        F.max_by("events", "batch_id").alias("events"))
 
 
 @query("batch_windows", """SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type, count(*) AS events
 FROM events GROUP BY 1, 2""")
 def batch_windows(t: Tables) -> DataFrame:
     events = t.events.withColumn("ts", F.col("ts").cast("timestamp"))
-    return intake.windowed(events, "ts", "1 day", ["event_type"]).select(
+    return intake.windowed(events, "ts", "1 day", ["event_type"], "0 seconds").select(
         F.date_format("window_start", "yyyy-MM-dd").alias("day"), "event_type", "events")
 
 

@@ -173,8 +173,36 @@ def scd2_table(t: Tables) -> DataFrame:
     """The same history kept as a table; the second snapshot is loaded twice."""
     path = shared_folder(t.spark, "customer-history")
     first, second = customer_snapshots(t)
-    write_history(history.start_history(first, "2024-01-01"), path)
+    write_history(history.start_history(first, "2024-01-01"), path, "1")
     for _ in range(2):
-        current = history.open_versions(read_history(t.spark, path))
-        write_history(history.scd2_step(current, second, "c_custkey", CHECKED, "2024-02-01"), path)
+        load_snapshot(t, path, second, "2024-02-01", "2")
     return read_history(t.spark, path)
+
+
+def load_snapshot(t: Tables, path: str, snapshot: DataFrame, day: str, name: str) -> None:
+    current = history.open_versions(read_history(t.spark, path))
+    write_history(history.scd2_step(current, snapshot, "c_custkey", CHECKED, day), path, name)
+
+
+@query("scd2_same_day", """WITH v AS (
+  SELECT c_custkey, c_acctbal, 0 AS step, true AS there FROM customer
+  UNION ALL SELECT c_custkey, c_acctbal + 1, 1, c_custkey % 3 = 0 FROM customer
+  UNION ALL SELECT c_custkey, c_acctbal + 2, 2, c_custkey % 3 = 1 FROM customer)
+SELECT c_custkey, c_acctbal, CASE WHEN step = 0 THEN DATE '2024-01-01' ELSE DATE '2024-02-01' END AS valid_from,
+  CASE WHEN step = 0 AND c_custkey % 3 < 2 THEN DATE '2024-02-01' END AS valid_to FROM v WHERE there""")
+def scd2_same_day(t: Tables) -> DataFrame:
+    """Two different snapshots of one day, the first loaded again after the second's changes are known."""
+    path = shared_folder(t.spark, "same-day-history")
+    base = t.customer.select("c_custkey", "c_mktsegment", "c_acctbal")
+
+    def raised(*rests: int) -> DataFrame:
+        extra = F.lit(0)
+        for step, rest in enumerate(rests, 1):
+            extra = F.when(F.col("c_custkey") % 3 == rest, step).otherwise(extra)
+        return base.withColumn("c_acctbal", F.col("c_acctbal") + extra)
+
+    write_history(history.start_history(base, "2024-01-01"), path, "1")
+    load_snapshot(t, path, raised(0), "2024-02-01", "2a")
+    load_snapshot(t, path, raised(0, 1), "2024-02-01", "2b")
+    load_snapshot(t, path, raised(0, 1), "2024-02-01", "2b")
+    return read_history(t.spark, path).select("c_custkey", "c_acctbal", "valid_from", "valid_to")

@@ -20,19 +20,21 @@ def totals(df: DataFrame, by: Sequence[str], sums: Sequence[str]) -> DataFrame:
 
 def case_counts(df: DataFrame, case: str, item: str, name: str = "cases_with_reaction") -> DataFrame:
     """Number of cases that report each item."""
-    return df.select(case, item).distinct().groupBy(item).agg(F.count(F.lit(1)).alias(name))
+    return df.select(case, item).where(F.col(case).isNotNull()).distinct().groupBy(item).agg(F.count(F.lit(1)).alias(name))
 
 
 def pair_counts(products: DataFrame, items: DataFrame, case: str, product: str, item: str,
                 name: str = "cases") -> DataFrame:
-    """Cases per product and item; both inputs are made distinct first."""
-    pairs = products.select(case, product).distinct().join(items.select(case, item).distinct(), case)
+    """Cases per product and item. Items of cases without a product go before anything is made distinct."""
+    owners = products.select(case, product).distinct()
+    reported = items.select(case, item).join(owners.select(case), case, "left_semi").distinct()
+    pairs = owners.join(reported, case)
     return pairs.groupBy(product, item).agg(F.count(F.lit(1)).alias(name))
 
 
 def group_cases(df: DataFrame, by: str, case: str, name: str) -> DataFrame:
     """Distinct cases per group."""
-    return df.select(by, case).distinct().groupBy(by).agg(F.count(F.lit(1)).alias(name))
+    return df.select(by, case).where(F.col(case).isNotNull()).distinct().groupBy(by).agg(F.count(F.lit(1)).alias(name))
 
 
 def total_cases(df: DataFrame, name: str = "total_cases") -> DataFrame:
@@ -45,7 +47,7 @@ def share_of_total(parts: DataFrame, whole: DataFrame, by: str, part: str, case:
 
     ``whole`` holds every case of the group, also those without any part.
     """
-    counts = parts.select(by, part, case).distinct().groupBy(by, part).agg(F.count(F.lit(1)).alias("cases"))
+    counts = parts.select(by, part, case).where(F.col(case).isNotNull()).distinct().groupBy(by, part).agg(F.count(F.lit(1)).alias("cases"))
     sizes = group_cases(whole, by, case, "product_cases")
     return (
         counts.join(sizes, by, "inner")

@@ -9,42 +9,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _items(child: DataFrame, key: str, columns: Sequence[str], name: str, max_items: int) -> DataFrame:
-    """``(key, part, name)`` with one row per item; ``part`` is 0 unless the key is large.
-
-    The rows of a key with more than ``max_items`` are dealt out to parts of about that
-    size. Identical rows are counted first and then dealt out in chunks, so copies of one
-    item do not end up in one part.
-    """
-    rows = child.select(key, *columns).where(F.col(key).isNotNull())
-    hot = (
-        rows.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-        .where(F.col("__n") > max_items)
-    )
-    item = (F.col(columns[0]) if len(columns) == 1 else F.struct(*columns)).alias(name)
-    usual = rows.join(hot, key, "left_anti").select(key, F.lit(0).cast("bigint").alias("part"), item)
-    copies = rows.join(hot, key, "inner").groupBy(key, "__n", *columns).agg(F.count(F.lit(1)).alias("__copies"))
-    chunk = F.explode(F.sequence(F.lit(0), F.expr(f"(__copies - 1) div {max_items}")))
-    size = F.least(F.lit(max_items), F.expr(f"__copies - __chunk * {max_items}")).cast("int")
-    part = F.expr(f"pmod(xxhash64({', '.join(columns)}, __chunk), (__n + {max_items} - 1) div {max_items})")
-    split = copies.withColumn("__chunk", chunk).select(
-        key, part.cast("bigint").alias("part"), F.explode(F.array_repeat(item, size)).alias(name))
-    return usual.unionByName(split)
-
-
-def nest(parent: DataFrame, children: Mapping[str, tuple[DataFrame, Sequence[str]]], key: str,
-         max_items: int = 10_000) -> DataFrame:
+def nest(parent: DataFrame, children: Mapping[str, tuple[DataFrame, Sequence[str]]], key: str) -> DataFrame:
     """One document per parent row with an ordered array per child table.
 
     ``children`` maps the array name to ``(frame, item columns)``; a single column gives
     an array of its non-null values, several give an array of structs ordered by the
-    first. Without children an array is empty. All child tables share one shuffle.
-    ``part`` is 0 except for parents with more than ``max_items`` items in a child table:
-    these have several documents, no item is lost and no array is unbounded.
+    first. Without children an array is empty. Every child table is read once, and all
+    share one shuffle. A document holds all children of its parent, so the largest parent
+    has to fit into one value.
     """
-    pieces = [_items(frame, key, columns, name, max_items) for name, (frame, columns) in children.items()]
+    pieces = [
+        frame.where(F.col(key).isNotNull()).select(
+            key, (F.col(columns[0]) if len(columns) == 1 else F.struct(*columns)).alias(name))
+        for name, (frame, columns) in children.items()]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), pieces)
-    arrays = rows.groupBy(key, "part").agg(*[F.array_sort(F.collect_list(n)).alias(n) for n in children])
+    arrays = rows.groupBy(key).agg(*[F.array_sort(F.collect_list(n)).alias(n) for n in children])
     out = parent.join(arrays, key, "left")
-    empty = {n: F.coalesce(F.col(n), F.array().cast(out.schema[n].dataType)) for n in children}
-    return out.withColumns({"part": F.coalesce(F.col("part"), F.lit(0).cast("bigint")), **empty})
+    return out.withColumns({n: F.coalesce(F.col(n), F.array().cast(out.schema[n].dataType)) for n in children})

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyward.functions.text import literal_regex
@@ -27,11 +27,11 @@ REPORT_TABLES = {
 
 
 class FixedRead(NamedTuple):
-    """Good rows, rejected raw lines and columns the schema does not know."""
+    """Good rows, rejected raw lines and, by file, the columns the schema does not know."""
 
     rows: DataFrame
     rejected: DataFrame
-    unexpected: list[str]
+    unexpected: DataFrame
 
 
 def align_columns(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -50,26 +50,41 @@ def align_columns(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, lis
     return positional.select(*picked), sorted(set(names) - set(columns))
 
 
+def _known(name: Column) -> Column:
+    """A header name as the schema writes it; null for blank and unnamed columns."""
+    plain = F.lower(F.trim(name))
+    return F.when((plain != "") & ~plain.startswith("unnamed") & ~plain.rlike("^_c[0-9]+$"), plain)
+
+
 def read_fixed(spark: SparkSession, path: str, columns: Sequence[str], sep: str = "$",
                encoding: str = "ISO-8859-1") -> FixedRead:
     """Read header-first delimited text whose fields are never quoted.
 
-    Only an empty field is null. Short rows are padded; rows with more fields than the
-    header are set aside in ``rejected`` (a single empty field after a trailing
-    separator is not an extra field). All files under ``path`` share one header.
+    Every file has its own header, its first line that is not blank: columns are found by
+    name, in any order; a missing one is null, ``unexpected`` lists the unknown ones as
+    (file, name). Only an empty field is null. Short rows are padded; rows with more
+    fields than their header are set aside in ``rejected`` (a single empty field after a
+    trailing separator is not an extra field). A line equal to its file's header is a header.
     """
-    raw = spark.read.text(path).select(F.decode(F.col("value").cast("binary"), encoding).alias("line"))
-    header = raw.where(F.trim("line") != "").first()
-    names = header["line"].split(sep) if header else list(columns)
-    width = len(names)
-    fields = F.split("line", literal_regex(sep), -1)
-    lines = raw.where((F.trim("line") != "") & (F.col("line") != (header["line"] if header else "")))
-    parsed = lines.withColumn("f", fields)
+    raw = spark.read.text(path).select(
+        F.decode(F.col("value").cast("binary"), encoding).alias("line"),
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+    ).where(F.trim("line") != "")
+    # The header is in the file's first block, and the first of a task's lines of that block. One row per file.
+    lines = raw.withColumn("at", F.monotonically_increasing_id())
+    headers = lines.where("block = 0").groupBy("file").agg(F.min_by("line", "at").alias("header"))
+    names = F.split("header", literal_regex(sep), -1)
+    headers = headers.withColumn("names", F.transform(names, _known)).withColumn("width", F.size("names"))
+    parsed = raw.select("line", "file").join(headers, "file").where("line <> header").withColumn(
+        "f", F.split("line", literal_regex(sep), -1))
     # A trailing separator adds one empty field, which is not a field too many.
-    trailing = (F.size("f") == width + 1) & (F.get(F.col("f"), F.lit(width)) == "")
-    good = (F.size("f") <= width) | trailing
-    labels = [n if n.strip() else f"_c{i}" for i, n in enumerate(names)]
-    rows = parsed.where(good).select(*[
-        F.nullif(F.get(F.col("f"), F.lit(i)), F.lit("")).alias(f"__{i}") for i in range(width)]).toDF(*labels)
-    aligned, unexpected = align_columns(rows, columns)
-    return FixedRead(aligned, parsed.where(~good).select("line"), unexpected)
+    trailing = (F.size("f") == F.col("width") + 1) & (F.element_at("f", -1) == "")
+    good = (F.size("f") <= F.col("width")) | trailing
+
+    def field(name: str) -> Column:
+        place = F.array_position("names", F.lit(name)).cast("int")
+        return F.nullif(F.get(F.col("f"), F.nullif(place, F.lit(0)) - 1), F.lit("")).alias(name)
+
+    strange = headers.select("file", F.explode(F.array_distinct(F.filter("names", lambda n: n.isNotNull()))).alias("name"))
+    return FixedRead(parsed.where(good).select(*[field(c) for c in columns]), parsed.where(~good).select("line"),
+                     strange.where(~F.col("name").isin(list(columns))))

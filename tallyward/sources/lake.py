@@ -3,34 +3,44 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from urllib.parse import urlsplit
+from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tallyward.session import shared_folder
 
 
 def read_bronze(spark: SparkSession, root: str, quarter: str | None = None, columns: Sequence[str] | None = None,
                 partition: str = "quarter") -> DataFrame:
-    """A partitioned table; the quarter filter prunes folders, the column list prunes the scan."""
-    df = spark.read.parquet(root)
+    """A partitioned table; the quarter filter prunes folders, the column list prunes the scan.
+
+    Partition values are texts as written: ``007`` stays ``007``.
+    """
+    df = _as_written(spark, root, partition)
     if quarter is not None:
-        df = df.where(F.col(partition).cast("string") == quarter)
+        df = df.where(F.col(partition) == quarter)
     return df.select(*columns) if columns else df
 
 
+def _as_written(spark: SparkSession, root: str, partition: str) -> DataFrame:
+    """The table with its partition column as text, whatever its values look like."""
+    columns = [f for f in spark.read.parquet(root).schema if f.name != partition]
+    return spark.read.schema(StructType([*columns, StructField(partition, StringType())])).parquet(root)
+
+
 def present_partitions(spark: SparkSession, root: str, partition: str) -> DataFrame | None:
     """Distinct partition values of a table, or None when there is no table yet."""
-    try:
-        table = spark.read.parquet(root)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    return table.select(F.col(partition).cast("string").alias(partition)).distinct()
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return None
+    # The folder names are the list: no data file is opened.
+    names = [s.getPath().getName() for s in files.listStatus(folder) if s.isDirectory()]
+    values = [unquote(n.partition("=")[2]) for n in names if n.startswith(f"{partition}=")]
+    return spark.createDataFrame([(None if v == "__HIVE_DEFAULT_PARTITION__" else v,) for v in values],
+                                 f"{partition} string")
 
 
 def missing_partitions(wanted: DataFrame, roots: Sequence[str], partition: str) -> DataFrame:
@@ -60,16 +70,16 @@ def write_partitions(df: DataFrame, path: str, partition: str, force: bool = Fal
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Full refresh (or append) of a table that ``df`` does not read."""
-    target = urlsplit(path).path.rstrip("/") + "/"
-    if any(urlsplit(source).path.startswith(target) for source in df.inputFiles()):
-        raise ValueError(f"{path} is read by the frame to be written")
+    """Full refresh (or append). Spark refuses to overwrite a path that ``df`` reads."""
     df.write.mode(mode).parquet(path)
 
 
 def append_json(spark: SparkSession, path: str, schema: StructType, table: str, day_of: str, day: str) -> None:
-    """Append JSON lines (plain or gzip) by day; fields outside the schema are ignored."""
-    rows = spark.read.schema(schema).json(path).withColumn(day, F.to_date(F.col(day_of)))
+    """Append JSON lines (plain or gzip) by day; fields outside the schema are ignored.
+
+    A line that is not JSON fails the load; nothing of it is appended as an empty row.
+    """
+    rows = spark.read.schema(schema).option("mode", "FAILFAST").json(path).withColumn(day, F.to_date(F.col(day_of)))
     rows.write.mode("append").partitionBy(day).parquet(table)
 
 
@@ -100,23 +110,24 @@ def materialise(df: DataFrame, name: str, kind: str = "table", cluster_by: Seque
     return spark.read.schema(df.schema).parquet(target)
 
 
-def write_history(versions: DataFrame, path: str) -> None:
-    """Store open versions and those closed by the last snapshot in a table by closing date.
+def write_history(versions: DataFrame, path: str, snapshot: str) -> None:
+    """Store open versions and those closed by ``snapshot`` in a table by the snapshot that closed them.
 
-    Only the open partition and that of the new closing date are replaced; older closed
-    versions are never read or written again. The rows are written aside first because
-    they come from the table they replace.
+    Every snapshot has its own id, also one of the same day, so only the open partition
+    and that of this snapshot are replaced; older closed versions are never read or
+    written again. Loading a snapshot again closes nothing and leaves its partition alone.
+    The rows are written aside first because they come from the table they replace.
     """
     ready = materialise(versions, "history")
     (
-        ready.withColumn("closed_on", F.coalesce(F.col("valid_to").cast("string"), F.lit("open")))
-        .hint("rebalance", "closed_on").write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy("closed_on").parquet(path)
+        ready.withColumn("closed_by", F.when(F.col("valid_to").isNull(), "open").otherwise(f"snapshot {snapshot}"))
+        .hint("rebalance", "closed_by").write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy("closed_by").parquet(path)
     )
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("closed_on")
+    return spark.read.parquet(path).drop("closed_by")
 
 
 def layer_volumes(spark: SparkSession, tables: Sequence[tuple[str, str, str, str]]) -> DataFrame:

@@ -43,8 +43,10 @@ def open_stream(spark: SparkSession, source: str, schema: str = "", max_per_trig
     """A Kafka topic (``source='kafka'``) or a folder of files of format ``source``.
 
     Progress lives in the checkpoint of the query, written after the batch is safe, so
-    delivery is at least once.
+    delivery is at least once. A new query on a topic starts with the oldest message kept.
     """
+    if source == "kafka":
+        options = {"startingOffsets": "earliest", **options}
     reader = spark.readStream.format(source).options(**options)
     if schema:
         reader = reader.schema(schema)
@@ -95,9 +97,16 @@ def validate(df: DataFrame, required: Sequence[str], rules: Sequence[tuple[Colum
     return df.withColumn("errors", F.when(corrupt, F.array(F.lit("invalid json"))).otherwise(found))
 
 
-def valid_rows(checked: DataFrame, schema_fields: Sequence[str], keep: Sequence[str] = ("partition", "offset"),
-               event: str = "event") -> DataFrame:
-    return checked.where(F.size("errors") == 0).select(*[F.col(f"{event}.{f}") for f in schema_fields], *keep)
+# Where a message stood, under the names of the loaded table.
+POSITION = {"partition": "kafka_partition", "offset": "kafka_offset"}
+
+
+def valid_rows(checked: DataFrame, schema_fields: Sequence[str], keep: Mapping[str, str] = POSITION,
+               event: str = "event", received: str = "received_at") -> DataFrame:
+    """Fields of the valid events, the time of receipt as a timestamp, and the position of the message."""
+    fields = [F.try_to_timestamp(F.col(f"{event}.{f}")).alias(f) if f == received else F.col(f"{event}.{f}")
+              for f in schema_fields]
+    return checked.where(F.size("errors") == 0).select(*fields, *[F.col(c).alias(n) for c, n in keep.items()])
 
 
 def dead_letters(checked: DataFrame, keep: Sequence[str] = ("topic", "partition", "offset", "key", "value")) -> DataFrame:
@@ -114,15 +123,16 @@ def write_batch(df: DataFrame, batch_id: str, path: str) -> None:
 
 
 def batch_metrics(checked: DataFrame, topic: str, group: str, lag: int = 0, seconds: float = 0.0,
-                  by: Sequence[str] = ()) -> DataFrame:
-    """Messages, valid, invalid, invalid rate, lag, seconds and throughput of a batch (or per ``by``)."""
+                  by: Sequence[str] = (), uri: str | None = None) -> DataFrame:
+    """Time, messages, valid, invalid, invalid rate, lag, seconds, throughput and target of a batch (or per ``by``)."""
     n, bad = F.count(F.lit(1)), F.count_if(F.size("errors") > 0)
     return checked.groupBy(*by).agg(n.alias("messages"), (n - bad).alias("valid"), bad.alias("invalid")).select(
-        *by, F.lit(topic).alias("topic"), F.lit(group).alias("consumer_group"),
+        *by, F.current_timestamp().alias("batch_ts"), F.lit(topic).alias("topic"), F.lit(group).alias("consumer_group"),
         "messages", "valid", "invalid",
         F.try_divide(F.col("invalid").cast("double"), F.col("messages").cast("double")).alias("invalid_rate"),
         F.lit(lag).cast("bigint").alias("consumer_lag"), F.lit(round(seconds, 2)).alias("batch_seconds"),
-        F.round(F.col("messages") / F.lit(max(seconds, 0.001)), 1).alias("throughput_msg_per_sec"))
+        F.round(F.col("messages") / F.lit(max(seconds, 0.001)), 1).alias("throughput_msg_per_sec"),
+        F.lit(uri).cast("string").alias("uri"))
 
 
 def consumer_lag(progress: Mapping | None) -> int:
@@ -138,7 +148,7 @@ def consumer_lag(progress: Mapping | None) -> int:
 
 
 def route(checked: DataFrame, batch_id: str, sinks: Mapping[str, str], fields: Sequence[str], topic: str,
-          group: str, started: float, keep: Sequence[str] = ("partition", "offset"), key: str | None = None,
+          group: str, started: float, keep: Mapping[str, str] = POSITION, key: str | None = None,
           lag: int = 0) -> None:
     """Valid rows to the table, the rest to the dead letters, counts to the metrics.
 
@@ -148,32 +158,41 @@ def route(checked: DataFrame, batch_id: str, sinks: Mapping[str, str], fields: S
     try:
         loaded = valid_rows(checked, fields, keep).withColumn("loaded_at", F.current_timestamp())
         if key:
-            loaded = order_in_key(loaded, key, "offset")
+            loaded = order_in_key(loaded, key, keep["offset"])
         write_batch(loaded, batch_id, sinks["valid"])
         write_batch(dead_letters(checked), batch_id, sinks["dead"])
-        write_batch(batch_metrics(checked, topic, group, lag, time.monotonic() - started), batch_id, sinks["metrics"])
+        counts = batch_metrics(checked, topic, group, lag, time.monotonic() - started, uri=sinks["valid"])
+        write_batch(counts, batch_id, sinks["metrics"])
     finally:
         checked.unpersist()
 
 
 def order_in_key(df: DataFrame, key: str, offset: str) -> DataFrame:
-    """Rows of one key in one partition and in offset order; a batch bounds its size."""
+    """Rows of one key in one partition and in offset order.
+
+    That is one task per key: the batch bounds its size, so set ``max_per_trigger`` where a key can be hot.
+    """
     return df.repartition(key).sortWithinPartitions(key, offset)
 
 
 def intake_batch(sinks: Mapping[str, str], fields: Sequence[str], required: Sequence[str],
                  rules: Sequence[tuple[Column, str]], schema: str = EVENT_SCHEMA, topic: str = "intake",
                  group: str = "loader", prefix: str = "batch",
-                 keep: Sequence[str] = ("partition", "offset"),
-                 key: str | None = None, lag: Callable[[], int] = lambda: 0) -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` function of the intake. The batch number makes a replay harmless.
+                 keep: Mapping[str, str] = POSITION, key: str | None = None) -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` function of the intake.
 
-    ``lag`` is asked once per batch, for example ``lambda: consumer_lag(query.lastProgress)``.
+    A batch is written under the id of the query and its number: the id belongs to the
+    checkpoint, so a replay of a batch replaces it, and a query that starts anew with
+    another checkpoint adds its own. The lag is that of the query's last progress record.
     """
     def run(batch: DataFrame, number: int) -> None:
         started = time.monotonic()
+        spark = batch.sparkSession
+        name = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+        query = next((q for q in spark.streams.active if q.id == name), None)
         checked = validate(parse(batch, schema), required, rules)
-        route(checked, f"{prefix}-{number:08d}", sinks, fields, topic, group, started, keep, key, lag())
+        route(checked, f"{prefix}-{name}-{number:08d}", sinks, fields, topic, group, started, keep, key,
+              consumer_lag(query.lastProgress if query else None))
 
     return run
 
@@ -190,8 +209,11 @@ def dedup_stream(df: DataFrame, key: str, ts: str, horizon: str) -> DataFrame:
     return df.withWatermark(ts, horizon).dropDuplicatesWithinWatermark([key])
 
 
-def windowed(df: DataFrame, ts: str, width: str, by: Sequence[str], horizon: str = "0 seconds") -> DataFrame:
-    """Events per window and group. On a stream the last windows stay open until the watermark passes."""
+def windowed(df: DataFrame, ts: str, width: str, by: Sequence[str], horizon: str) -> DataFrame:
+    """Events per window and group. On a stream, rows later than ``horizon`` are dropped by the watermark.
+
+    Append mode gives a window when the watermark has passed it, update mode with every change.
+    """
     out = df.withWatermark(ts, horizon) if df.isStreaming else df
     counts = out.groupBy(F.window(ts, width), *by).agg(F.count(F.lit(1)).alias("events"))
     return counts.select(F.col("window.start").alias("window_start"), *by, "events")

@@ -144,24 +144,22 @@ def test_history_table_rewrites_open_rows_only(spark, tmp_path):
     whole = history.start_history(first, "2024-01-01")
     for snapshot, day in ((second, "2024-02-01"), (second, "2024-02-01"), (third, "2024-03-01")):
         whole = history.scd2_merge(whole, snapshot, "k", ["v"], day)
-    write_history(history.start_history(first, "2024-01-01"), path)
-    for snapshot, day in ((second, "2024-02-01"), (second, "2024-02-01"), (third, "2024-03-01")):
+    write_history(history.start_history(first, "2024-01-01"), path, "1")
+    for name, snapshot, day in (("2", second, "2024-02-01"), ("2", second, "2024-02-01"), ("3", third, "2024-03-01")):
         table = read_history(spark, path)
-        write_history(history.scd2_step(history.open_versions(table), snapshot, "k", ["v"], day), path)
+        write_history(history.scd2_step(history.open_versions(table), snapshot, "k", ["v"], day), path, name)
     assert rows(read_history(spark, path).select(*whole.columns)) == rows(whole)
 
 
-def test_nest_splits_large_groups_without_loss(spark):
+def test_nest_makes_one_document_per_parent(spark):
     parent = spark.createDataFrame([(1,), (2,), (3,)], "k INT")
-    items = [(1, 2, "x"), (1, 1, "y")] + [(2, 7, "same")] * 25 + [(2, i, "z") for i in range(20)]
+    items = [(1, 2, "x"), (1, 1, "y"), (None, 1, "lost")] + [(2, 7, "same")] * 25 + [(2, i % 9, "z") for i in range(20_000)]
     child = spark.createDataFrame(items, "k INT, seq INT, v STRING")
-    small = nesting.nest(parent, {"items": (child.where("k = 1"), ["seq", "v"]), "vals": (child.where("k = 1"), ["v"])}, "k")
-    got = {r.k: r for r in small.collect()}
+    docs = nesting.nest(parent, {"items": (child, ["seq", "v"]), "vals": (child, ["v"])}, "k").collect()
+    got = {r.k: r for r in docs}
+    assert len(docs) == 3 and got[3]["items"] == [] and got[3].vals == []
     assert [tuple(x) for x in got[1]["items"]] == [(1, "y"), (2, "x")] and got[1].vals == ["x", "y"]
-    assert got[3]["items"] == [] and got[3].part == 0
-    split = nesting.nest(parent, {"items": (child, ["seq", "v"])}, "k", max_items=10).collect()
-    assert sorted(tuple(x) for r in split for x in r["items"] if r.k == 2) == sorted(i[1:] for i in items if i[0] == 2)
-    assert len([r for r in split if r.k == 2]) > 1
+    assert [tuple(x) for x in got[2]["items"]] == sorted(i[1:] for i in items if i[0] == 2)
 
 
 def test_rank_in_equals_rank(spark):
