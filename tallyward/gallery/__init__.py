@@ -12,6 +12,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyward.session import tune
+from tallyward.sources.lake import written_layer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +28,10 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
 
+    def layer(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A written table that all queries of this session and folder share; built when first asked for."""
+        return written_layer(self.spark, self.folder, name, build)
+
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 

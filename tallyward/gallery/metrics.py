@@ -20,7 +20,6 @@ from tallyward.plans.measures import measure, registry
 from tallyward.plans.observability import run_results
 from tallyward.plans.safety import latest_cases
 from tallyward.plans.spending import product_dimension
-from tallyward.sources.lake import materialise
 
 BASE_YEAR = 1996
 YEARS = [2000]
@@ -43,16 +42,19 @@ def spend_fact(t: Tables) -> DataFrame:
 
 
 @query("spend_growth", f"""{SPENDING_SQL}, y AS (
-  SELECT program, year, sum(spending_usd) AS u, sum(spending_chf) AS c, sum(claims) AS n FROM spend GROUP BY 1, 2)
-SELECT y.program, y.year, round(y.u, 2) AS spend_usd, round(p.u, 2) AS spend_usd_py, round((y.u - p.u) / p.u, 6) AS spend_usd_yoy,
-  round(y.c, 2) AS spend_chf, round((y.c - p.c) / p.c, 6) AS spend_chf_yoy, CAST(y.n AS DOUBLE) AS medicare_claims,
-  CAST(p.n AS DOUBLE) AS medicare_claims_py, round((y.n - p.n) / p.n, 6) AS medicare_claims_yoy,
-  round(y.u / 1000000, 6) AS spend_usd_m
-FROM y LEFT JOIN y p ON p.program = y.program AND p.year = y.year - 1""")
+  SELECT brand_name, year, sum(spending_usd) AS u, sum(spending_chf) AS c, sum(claims) AS n FROM spend GROUP BY 1, 2)
+SELECT coalesce(y.brand_name, p.brand_name) AS brand_name, coalesce(y.year, p.year + 1) AS year, round(y.u, 2) AS spend_usd,
+  round(p.u, 2) AS spend_usd_py, round((coalesce(y.u, 0) - p.u) / nullif(p.u, 0), 6) AS spend_usd_yoy, round(y.c, 2) AS spend_chf,
+  round(p.c, 2) AS spend_chf_py, round((coalesce(y.c, 0) - p.c) / nullif(p.c, 0), 6) AS spend_chf_yoy,
+  CAST(y.n AS DOUBLE) AS medicare_claims, CAST(p.n AS DOUBLE) AS medicare_claims_py,
+  round((coalesce(y.n, 0) - p.n) / nullif(p.n, 0), 6) AS medicare_claims_yoy, round(y.u / 1000000, 6) AS spend_usd_m
+FROM y FULL JOIN y p ON p.brand_name = y.brand_name AND p.year = y.year - 1
+WHERE coalesce(y.year, p.year + 1) IN (SELECT year FROM y)""")
 def spend_growth(t: Tables) -> DataFrame:
-    names = ["spend_usd", "spend_usd_py", "spend_usd_yoy", "spend_chf", "spend_chf_yoy", "medicare_claims",
-             "medicare_claims_py", "medicare_claims_yoy", "spend_usd_m"]
-    return _rounded(measure(names, spend_fact(t), ["program", "year"])).withColumn("spend_chf", F.round("spend_chf", 2))
+    names = ["spend_usd", "spend_usd_py", "spend_usd_yoy", "spend_chf", "spend_chf_py", "spend_chf_yoy",
+             "medicare_claims", "medicare_claims_py", "medicare_claims_yoy", "spend_usd_m"]
+    out = _rounded(measure(names, spend_fact(t), ["brand_name", "year"]))
+    return out.withColumns({c: F.round(c, 2) for c in ("spend_chf", "spend_chf_py")})
 
 
 @query("growth_brands", f"""{SPENDING_SQL}, y AS (
@@ -122,7 +124,7 @@ SELECT *, (SELECT count(*) FROM trials) AS home_trials,
   round(active_phase3_trials / active_trials, 6) AS phase3_share_of_active,
   round(patients_in_active_trials / active_trials, 6) AS avg_enrollment_active FROM f""")
 def trial_measures(t: Tables) -> DataFrame:
-    return _rounded(measure(TRIAL_MEASURES, materialise(marts(t), "trials"), ["phase_group"]))
+    return _rounded(measure(TRIAL_MEASURES, marts(t), ["phase_group"]))
 
 
 def case_fact(t: Tables) -> DataFrame:
@@ -130,7 +132,7 @@ def case_fact(t: Tables) -> DataFrame:
     day = F.to_date("o_orderdate")
     bounds = t.orders.agg(F.trunc(F.min(day), "year").alias("start_date"), F.date_add(F.max(day), 1).alias("end_date"))
     dims = {"date": date_dim(bounds)}
-    return materialise(star(cases(t), dims, [("fda_date", "date", "date_day", True)]), "safety_cases")
+    return t.layer("safety_cases", lambda: star(cases(t), dims, [("fda_date", "date", "date_day", True)]))
 
 
 _CASE_COUNTS = """
@@ -155,8 +157,10 @@ def safety_measures(t: Tables) -> DataFrame:
 
 @query("safety_growth", f"""{CASES_SQL}, y AS (
   SELECT product_id, year(fda_date) AS year, count(DISTINCT primaryid) AS n FROM cases GROUP BY 1, 2)
-SELECT y.product_id, y.year, y.n AS safety_cases, p.n AS safety_cases_py, round((y.n - p.n) / p.n, 6) AS safety_cases_yoy
-FROM y LEFT JOIN y p ON p.product_id = y.product_id AND p.year = y.year - 1""")
+SELECT coalesce(y.product_id, p.product_id) AS product_id, coalesce(y.year, p.year + 1) AS year, y.n AS safety_cases,
+  p.n AS safety_cases_py, round((coalesce(y.n, 0) - p.n) / p.n, 6) AS safety_cases_yoy
+FROM y FULL JOIN y p ON p.product_id = y.product_id AND p.year = y.year - 1
+WHERE coalesce(y.year, p.year + 1) IN (SELECT year FROM y)""")
 def safety_growth(t: Tables) -> DataFrame:
     return _rounded(measure(["safety_cases", "safety_cases_py", "safety_cases_yoy"], case_fact(t), ["product_id", "year"]))
 
@@ -187,7 +191,7 @@ SELECT source, count(*) AS ingestion_runs, nullif(count(*) FILTER (status = 'suc
 def run_measures(t: Tables) -> DataFrame:
     names = ["ingestion_runs", "successful_runs", "run_success_rate", "overlapping_runs", "scheduled_runs",
              "rows_ingested", "main_source_records", "data_as_of"]
-    return _rounded(measure(names, materialise(runs(t), "runs"), ["source"]))
+    return _rounded(measure(names, t.layer("runs", lambda: runs(t)), ["source"]))
 
 
 def check_results(t: Tables) -> DataFrame:

@@ -9,7 +9,6 @@ from tallyward.gallery import Tables, query
 from tallyward.gallery.readings import SEEDS_SQL, aliases, products
 from tallyward.operators.reshape import discover_suffixes
 from tallyward.plans import spending, staging
-from tallyward.sources.lake import materialise
 
 MAKERS = "^(BUILDING|MACHINERY)"
 
@@ -77,7 +76,7 @@ def attributed(t: Tables) -> DataFrame:
 def mart(t: Tables) -> DataFrame:
     """The yearly spending table, written: every measure starts from it."""
     rates = spending.daily_cross_rate(fx_rates(t), "USD", "CHF", "chf_per_usd")
-    return materialise(spending.yearly_spending(attributed(t), rates), "yearly_spending")
+    return t.layer("yearly_spending", lambda: spending.yearly_spending(attributed(t), rates))
 
 
 SPENDING_SQL = f"""WITH {SEEDS_SQL},

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import suppress
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,8 @@ from tallyward.gallery.spending import SPENDING_SQL, wide
 from tallyward.operators import quality
 from tallyward.operators.quality import Check
 from tallyward.plans import staging
+from tallyward.plans.measures import measure
+from tallyward.plans.observability import run_results
 from tallyward.plans.reports import layer_table
 from tallyward.session import shared_folder
 from tallyward.sources import delimited, documents, lake, runlog
@@ -144,15 +148,12 @@ UNION ALL SELECT 'broken', 'failed', 0, 'no such quarter'""")
 def run_log(t: Tables) -> DataFrame:
     """A load that is counted while it is written, and one that fails; both leave a record."""
     log, target = shared_folder(t.spark, "run-log"), shared_folder(t.spark, "run-target")
-    with runlog.track_run(t.spark, "orders", log) as run:
+    with runlog.RunRecord(t.spark, "orders", log) as run:
         rows, seen = runlog.observed(t.orders)
         lake.write_table(rows, target)
-        run.update(rows_loaded=seen.get["rows"], target=target)
-    try:
-        with runlog.track_run(t.spark, "broken", log):
-            raise LookupError("no such quarter")
-    except LookupError:
-        pass
+        run.loaded(seen.get["rows"], target=target)
+    with suppress(LookupError), runlog.RunRecord(t.spark, "broken", log):
+        raise LookupError("no such quarter")
     return t.spark.read.schema(runlog.RUN_SCHEMA).parquet(log).select("source", "status", "rows_loaded", "error_message")
 
 
@@ -169,6 +170,25 @@ def result_log(t: Tables) -> DataFrame:
     return t.spark.read.parquet(log).select("invocation_id", "node_name", "status", "failures")
 
 
+@query("result_log_cost", """SELECT o_orderpriority AS node_name, CAST(o_orderdate AS DATE) AS run_date,
+  round(CAST(sum(o_custkey) * 100000000 AS DOUBLE) / pow(1024, 4) * 6.25, 4) AS cost,
+  round(CAST(sum(o_custkey) * 1000 AS DOUBLE) / 1000000000, 6) AS gb
+FROM orders GROUP BY 1, 2""")
+def result_log_cost(t: Tables) -> DataFrame:
+    """Cost and volume of model runs, from the log they wrote: one run a year, nodes by priority and day."""
+    log = shared_folder(t.spark, "model-log")
+    nodes = t.orders.groupBy(F.col("o_orderpriority").alias("node_name"), F.to_date("o_orderdate").alias("day")).agg(
+        F.sum("o_custkey").alias("units")).select(
+        "node_name", F.date_format("day", "yyyy-MM-dd").alias("message"), F.lit("success").alias("status"),
+        F.lit(1.5).alias("execution_time_sec"), (F.col("units") * 1000).alias("bytes_processed"),
+        (F.col("units") * 100_000_000).alias("bytes_billed"))
+    runlog.log_results(nodes, "i1", "2024-01-01 00:00:00", "prod", log, "model")
+    runs = run_results(t.spark.read.schema(runlog.RESULT_SCHEMA).parquet(log))
+    costs = measure(["cost_estimate", "gb_processed"], runs, ["node_name", "message"])
+    return costs.select("node_name", F.col("message").cast("date").alias("run_date"),
+                        F.round("cost_estimate", 4).alias("cost"), F.round("gb_processed", 6).alias("gb"))
+
+
 @query("wide_json", f"""{SPENDING_SQL}
 SELECT year, CAST(sum(total_spending_usd) AS DOUBLE) AS spend, count(*) AS n FROM pharmacy GROUP BY 1""")
 def wide_json(t: Tables) -> DataFrame:

@@ -21,7 +21,7 @@ from tallyward.gallery.readings import (
 from tallyward.operators import history, terms
 from tallyward.plans import trials
 from tallyward.session import shared_folder
-from tallyward.sources.lake import materialise, read_history, write_history
+from tallyward.sources.lake import read_history, write_history
 
 WORD_ROWS = """
     ('THE', 'W1'), ('AND', 'W2'), ('UND', 'W3'), ('OF THE', 'W4'), ('EN', 'W5'), ('ET', 'W6'), ('IT. THE', 'W7'),
@@ -31,10 +31,10 @@ TRIALS_SQL = f"WITH {SEEDS_SQL}, {STUDIES_SQL}"
 
 
 def marts(t: Tables) -> DataFrame:
-    """Studies feed the term search and the mart: written once."""
-    staged = materialise(studies(t), "studies")
-    matched = trials.study_products(staged, aliases(t))
-    return trials.clinical_trials(staged, matched, products(t), AS_OF)
+    """Studies feed the term search and the mart; both are written once."""
+    staged = t.layer("studies", lambda: studies(t))
+    return t.layer("clinical_trials", lambda: trials.clinical_trials(
+        staged, trials.study_products(staged, aliases(t)), products(t), AS_OF))
 
 
 @query("staged_studies", f"{TRIALS_SQL} SELECT * FROM studies")

@@ -51,7 +51,7 @@ def scd2_merge(history: DataFrame, incoming: DataFrame, key: str, check_cols: Se
     """The whole history after a snapshot. Closed versions pass through untouched.
 
     Write it to a new path and switch readers over, or keep the table with
-    ``sources.lake.write_history``, which rewrites the open versions only.
+    ``sources.lake.write_history``, which rewrites the open versions and this snapshot's.
     """
     closed = history.where(F.col("valid_to").isNotNull())
     return closed.unionByName(scd2_step(open_versions(history), incoming, key, check_cols, as_of))

@@ -29,15 +29,13 @@ def rank_in(df: DataFrame, by: Sequence[str], value: str, name: str = "rank") ->
 def top_n(df: DataFrame, measure: str, n: int) -> DataFrame:
     """Rows of an aggregate whose measure is among the ``n`` highest, ties kept.
 
-    The n-th highest value comes from a bounded top-n scan and acts as a threshold, so
-    ties are never cut and no window spans all rows. A null measure does not rank.
+    Spark cuts each task's rows to its own ``n`` ranks before the exchange, so the window
+    that spans the rest sees few rows, and ``df`` is computed once. A null measure does
+    not rank.
     """
-    threshold = (
-        df.select(measure).where(F.col(measure).isNotNull())
-        .orderBy(F.col(measure).desc()).limit(n)
-        .agg(F.min(measure).alias(measure))
-    )
-    return df.where(F.col(measure) >= threshold.scalar())
+    ranked = df.where(F.col(measure).isNotNull()).withColumn(
+        "__rank", F.rank().over(Window.orderBy(F.col(measure).desc())))
+    return ranked.where(F.col("__rank") <= n).drop("__rank")
 
 
 def top_n_filter(df: DataFrame, by: str, measure: Column, n: int) -> DataFrame:

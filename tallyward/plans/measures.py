@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.functions.numbers import ratio
@@ -226,6 +226,38 @@ def _aggregate(df: DataFrame, by: Sequence[str], leaves: Mapping[str, tuple[Base
     return grouped.withColumns(counts) if counts else grouped
 
 
+def _joined(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on columns of equal names, null-safe; the keys of either side survive."""
+    other = right.withColumnsRenamed({k: f"__{k}" for k in keys})
+    both = left.join(other, null_safe(keys, [f"__{k}" for k in keys]), how)
+    return both.withColumns({k: F.coalesce(k, f"__{k}") for k in keys}).drop(*[f"__{k}" for k in keys])
+
+
+def _sideways(cells: DataFrame, others: Sequence[str], year: str, leaves: set[tuple[str, str]]) -> DataFrame:
+    """Values of other years beside each group and year.
+
+    A group that has the year before but not this one has a row for it, unless no group
+    has the year at all: its current value is missing, its change is minus 100 %.
+    """
+    column = {n: F.col(f"`{n}@{CURRENT}`") for n, _ in leaves}
+    out = cells
+    before = sorted(n for n, role in leaves if role == PRIOR)
+    if before:
+        kind = cells.schema[year].dataType
+        prior = cells.select(*others, (F.col(year) + 1).cast(kind).alias(year),
+                             *[column[n].alias(f"{n}@{PRIOR}") for n in before])
+        years = cells.select(F.col(year).alias("__known")).distinct()
+        prior = prior.join(years, F.col(year) == F.col("__known"), "left_semi")
+        out = _joined(out, prior, [*others, year], "full_outer")
+    across = {f"{n}@{role}": F.sum(column[n]) if role == ANY else F.max(F.when(F.col(year) == int(role), column[n]))
+              for n, role in sorted(leaves) if role not in (CURRENT, PRIOR)}
+    if across:
+        spread = cells.groupBy(*others).agg(*[c.alias(n) for n, c in across.items()])
+        out = _joined(out, spread, others, "left") if others else out.withColumns(
+            {n: spread.select(f"`{n}`").scalar() for n in across})
+    return out
+
+
 def measure(names: Sequence[str], df: DataFrame, by: Sequence[str] = (), where: Column | None = None,
             member_where: Column | None = None, years: Sequence[int] | None = None, year: str = "year",
             measures: Mapping[str, Base | Formula] | None = None) -> DataFrame:
@@ -253,17 +285,7 @@ def measure(names: Sequence[str], df: DataFrame, by: Sequence[str] = (), where:
         others = [c for c in by if c != year]
         names_needed = sorted({n for n, _ in plan.leaves})
         out = _aggregate(rows, by, {f"{n}@{CURRENT}": spec(n, F.lit(True)) for n in names_needed})
-        span = Window.partitionBy(*others)
-        shifted = {}
-        for n, role in sorted(plan.leaves):
-            value = F.col(f"`{n}@{CURRENT}`")
-            if role == PRIOR:
-                shifted[f"{n}@{role}"] = F.sum(value).over(span.orderBy(year).rangeBetween(-1, -1))
-            elif role == ANY:
-                shifted[f"{n}@{role}"] = F.sum(value).over(span)
-            elif role != CURRENT:
-                shifted[f"{n}@{role}"] = F.max(F.when(F.col(year) == int(role), value)).over(span)
-        out = (out.withColumns(shifted) if shifted else out).where(in_years())
+        out = _sideways(out, others, year, plan.leaves).where(in_years())
     else:
         def role_condition(role: str) -> Column:
             if role == CURRENT:

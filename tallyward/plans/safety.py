@@ -67,17 +67,22 @@ def product_indications(indications: DataFrame, attributed: DataFrame,
 
 def safety_signals(reactions: DataFrame, latest: DataFrame, attributed: DataFrame, indications: DataFrame,
                    min_cases: int = rules.MIN_CASES, threshold: float = rules.PRR_THRESHOLD,
-                   chi: float = rules.CHI_THRESHOLD, min_share: float = rules.MIN_INDICATION_SHARE) -> DataFrame:
+                   chi: float = rules.CHI_THRESHOLD, min_share: float = rules.MIN_INDICATION_SHARE,
+                   keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df) -> DataFrame:
     """Disproportionality of every product and reaction with the review flags.
 
-    ``latest`` and ``attributed`` are read more than once: pass written tables.
+    ``latest`` and ``attributed`` are read more than once: pass written tables. ``keep``
+    writes what the screen itself reads more than once: the reactions of each case and
+    the statistics of the pairs.
     """
-    reported = restrict_to(reactions.select("primaryid", "reaction_pt"), latest.select("primaryid"), "primaryid")
+    reported = keep(restrict_to(reactions.select("primaryid", "reaction_pt"), latest.select("primaryid"), "primaryid"),
+                    "reported_reactions")
     pairs = pair_counts(attributed, reported, "primaryid", "product_id", "reaction_pt")
     background = case_counts(reported, "primaryid", "reaction_pt")
     sizes = group_cases(attributed, "product_id", "primaryid", "product_cases")
-    stats = disproportionality(
-        pairs, sizes, background, total_cases(latest).scalar(), "product_id", "reaction_pt", min_cases, threshold, chi)
+    stats = keep(disproportionality(
+        pairs, sizes, background, total_cases(latest).scalar(), "product_id", "reaction_pt", min_cases, threshold, chi),
+        "pair_statistics")
     terms = product_indications(indications, attributed, min_share)
     ranked = rank_in(stats, ["product_id"], "cases_product_reaction", "rank_by_cases")
     flagged = exists_substring(ranked, terms, "product_id", "indication_pt", "reaction_pt", "is_indication_related")

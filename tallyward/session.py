@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the operators rely on. AQE replans joins from real sizes; the
 # "force" flag lets it split a hot key even when that costs one more shuffle.
@@ -24,10 +24,13 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = 8, app: str = "tallyward") -> SparkSession:
-    """A single-machine session for tests and the benchmark."""
+def local_session(cores: int | str = 8, app: str = "tallyward", shared: str | None = None) -> SparkSession:
+    """A single-machine session for tests and the benchmark; ``shared`` is its folder for written layers."""
+    builder = SparkSession.builder
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.driver.memory", "16g")
@@ -40,6 +43,8 @@ def local_session(cores: int | str = 8, app: str = "tallyward") -> SparkSession:
 
 
 _written: list[tuple[SparkSession, str]] = []
+# Written layers by session, input folder and name; gone with ``clear_layers``.
+LAYERS: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
@@ -60,3 +65,6 @@ def clear_layers(spark: SparkSession) -> None:
         target = jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(conf).delete(target, True)
         _written.remove((owner, path))
+    own = spark.sparkContext.applicationId
+    for key in [k for k in LAYERS if k[0] == own]:
+        del LAYERS[key]

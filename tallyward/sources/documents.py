@@ -100,8 +100,11 @@ def flatten_recalls(df: DataFrame) -> DataFrame:
         *RECALL_FIELDS, joined("brand_name").alias("brand_names"), joined("generic_name").alias("generic_names"))
 
 
-def read_wide(spark: SparkSession, path: str, multiline: bool = True) -> tuple[DataFrame, list[str]]:
-    """Wide rows as text, whatever columns the file has, and the years found in their names."""
+def read_wide(spark: SparkSession, path: str, multiline: bool = False) -> tuple[DataFrame, list[str]]:
+    """Wide rows as text, whatever columns the file has, and the years found in their names.
+
+    The files hold JSON lines; with ``multiline`` each file is one document, parsed whole in one task.
+    """
     df = spark.read.option("primitivesAsString", True).option("multiLine", multiline).json(path)
     return df, discover_suffixes(df)
 

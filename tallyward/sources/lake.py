@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tallyward.session import shared_folder
+from tallyward.session import LAYERS, shared_folder
 
 
 def read_bronze(spark: SparkSession, root: str, quarter: str | None = None, columns: Sequence[str] | None = None,
@@ -110,6 +110,14 @@ def materialise(df: DataFrame, name: str, kind: str = "table", cluster_by: Seque
     return spark.read.schema(df.schema).parquet(target)
 
 
+def written_layer(spark: SparkSession, folder: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The layer ``name`` of an input folder, written once per session."""
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in LAYERS:
+        LAYERS[key] = materialise(build(), name)
+    return LAYERS[key]
+
+
 def write_history(versions: DataFrame, path: str, snapshot: str) -> None:
     """Store open versions and those closed by ``snapshot`` in a table by the snapshot that closed them.
 

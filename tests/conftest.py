@@ -4,7 +4,8 @@ from tallyward.session import local_session
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(cores=8, app="tallyward-tests")
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session = local_session(cores=8, app="tallyward-tests", shared=shared)
     yield session
     session.stop()

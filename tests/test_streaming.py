@@ -1,150 +1,180 @@
-"""Event contract, routing, replays and stream against batch."""
+"""Event contract, routing, restarts, replays and stream against batch."""
 
-import copy
-import datetime as dt
 import json
-import random
+from datetime import datetime
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallyward.streaming import intake
 
-EVENT = {
-    "event_id": "e1", "event_type": "adverse_event_report", "schema_version": 1, "source_quarter": "2026Q2",
-    "received_at": "2026-04-15T10:00:00", "primaryid": "123", "caseid": "12", "fda_dt": "20260415", "mfr_sndr": "S",
-    "patient": {"age": "54", "sex": "F"},
-    "drugs": [{"drug_seq": "1", "role_cod": "PS", "drugname": "Drug.", "prod_ai": "MOL", "route": "IV"}],
-    "reactions": ["Rash"], "outcomes": ["HO"],
-}
-
-
-def changed(**fields):
-    out = copy.deepcopy(EVENT)
-    out.update(fields)
-    return {k: v for k, v in out.items() if v is not ...}
-
-
-def messages(spark, values):
-    rows = [("t", 0, i, None, v if isinstance(v, str) else json.dumps(v)) for i, v in enumerate(values)]
-    return spark.createDataFrame(rows, "topic STRING, partition BIGINT, offset BIGINT, key STRING, value STRING")
-
-
-def check(spark, values):
-    checked = intake.validate(intake.parse(messages(spark, values)), intake.REQUIRED_FIELDS, intake.report_rules())
-    return [r.errors for r in checked.orderBy("offset").collect()]
-
-
-def test_valid_event_has_no_errors(spark):
-    assert check(spark, [EVENT]) == [[]]
-
-
-def test_each_problem_is_named(spark):
-    drug = dict(EVENT["drugs"][0], role_cod="C")
-    assert check(spark, [
-        changed(primaryid=None, fda_dt="20261345", reactions=[], drugs=[drug]), changed(primaryid=""), changed(caseid=...),
-        changed(drugs=[]), changed(drugs=None, reactions=None), changed(fda_dt="202604"), changed(fda_dt=None)]) == [
-        ["missing primaryid", "invalid fda_dt", "no primary suspect drug", "no reactions"], ["missing primaryid"],
-        ["missing caseid"], ["no drugs"], ["no drugs", "no reactions"], ["invalid fda_dt"], ["missing fda_dt"]]
-
-
-def test_text_that_is_not_one_object(spark):
-    assert check(spark, ["{bad", "null", "[1]", '"x"', "7", ""]) == [["invalid json"]] * 6
-
-
-def test_seeded_faults_are_always_invalid(spark):
-    rng = random.Random(1)
-    faults = [dict(primaryid=None), dict(reactions=[]), dict(fda_dt="20261345"), dict(drugs=[{"role_cod": "C"}])]
-    assert all(check(spark, [changed(**rng.choice(faults)) for _ in range(50)]))
-
-
-def test_dead_letters_keep_the_message(spark):
-    checked = intake.validate(intake.parse(messages(spark, [changed(primaryid="", reactions=[]), EVENT])),
-                              intake.REQUIRED_FIELDS, intake.report_rules())
-    dead = intake.dead_letters(checked).collect()
-    assert len(dead) == 1 and dead[0].error == "missing primaryid; no reactions"
-    assert json.loads(dead[0].value)["event_id"] == "e1" and dead[0].offset == 0
-
-
-def test_writing_a_batch_again_replaces_it(spark, tmp_path):
-    path = str(tmp_path / "t")
-    for batch, n in (("b1", 3), ("b2", 2), ("b1", 3)):
-        intake.write_batch(spark.range(n), batch, path)
-    assert spark.read.parquet(path).count() == 5
-
-
-def test_metrics_of_an_empty_batch(spark):
-    checked = intake.validate(intake.parse(messages(spark, [EVENT]).limit(0)), intake.REQUIRED_FIELDS, intake.report_rules())
-    row = intake.batch_metrics(checked, "t", "g", 4, 0.0).first()
-    assert (row.messages, row.valid, row.invalid, row.invalid_rate, row.consumer_lag) == (0, 0, 0, None, 4)
-
-
-def test_stream_equals_batch_and_replay_is_harmless(spark, tmp_path):
-    values = [changed(event_id=f"e{i % 7}", reactions=[] if i % 3 == 0 else ["Rash"]) for i in range(20)] + ["{bad"]
-    source = str(tmp_path / "in")
-    batch = messages(spark, values)
-    batch.repartition(4).write.parquet(source)
-    sinks = {k: str(tmp_path / k) for k in ("valid", "dead", "metrics")}
-    fields = ["event_id", "received_at", "caseid", "primaryid"]
-    work = intake.intake_batch(sinks, fields, intake.REQUIRED_FIELDS, intake.report_rules(), key="caseid")
-    schema = "topic STRING, partition BIGINT, offset BIGINT, key STRING, value STRING"
-    stream = intake.open_stream(spark, "parquet", schema, max_per_trigger=1, path=source)
-    intake.start(stream, work, str(tmp_path / "cp"), once=True).awaitTermination()
-    checked = intake.validate(intake.parse(batch), intake.REQUIRED_FIELDS, intake.report_rules())
-    expected = sorted(r.offset for r in intake.valid_rows(checked, fields).collect())
-    offsets = lambda: sorted(r.offset for r in spark.read.parquet(sinks["valid"]).collect())
-    assert offsets() == expected
-    assert spark.read.parquet(sinks["dead"]).count() == len(values) - len(expected)
-    assert spark.read.parquet(sinks["metrics"]).agg(F.sum("messages")).first()[0] == len(values)
-    first = spark.read.parquet(sinks["valid"]).where("batch_id = 'batch-00000000'").select("offset")
-    work(batch.join(first, "offset", "left_semi"), 0)
-    assert offsets() == expected
-    intake.start(stream, work, str(tmp_path / "cp"), once=True).awaitTermination()
-    assert offsets() == expected
-
-
-def test_staged_and_enriched_events(spark):
-    checked = intake.validate(intake.parse(messages(spark, [
-        EVENT, changed(event_id="e2", outcomes=["DE"], drugs=[
-            {"drug_seq": "1", "role_cod": "C", "drugname": "x"}, {"drug_seq": "2", "role_cod": "PS", "prod_ai": "mol "}]),
-        changed(event_id="e3", outcomes=...)])), intake.REQUIRED_FIELDS, intake.report_rules())
-    fields = ["event_id", "source_quarter", "received_at", *intake.CASE_FIELDS, "patient", "drugs", "reactions", "outcomes"]
-    loaded = intake.valid_rows(checked, fields).withColumnsRenamed({"partition": "kafka_partition", "offset": "kafka_offset"}) \
-        .withColumns({"received_at": F.to_timestamp("received_at"), "batch_id": F.lit("b")}) \
-        .withColumn("loaded_at", F.col("received_at") + F.expr("interval 1900 milliseconds"))
-    late = loaded.withColumn("loaded_at", F.col("loaded_at") + F.expr("interval 1 hour"))
-    staged = intake.stage_events(loaded.unionByName(late))
-    aliases = spark.createDataFrame([("DRUG", "P1", True), ("MOL", "P2", True)],
+MESSAGE = "topic STRING, partition BIGINT, offset BIGINT, key STRING, value STRING"
+LOADED = ["event_id", "source_quarter", "received_at", *intake.CASE_FIELDS, "patient", "drugs", "reactions", "outcomes"]
+
+
+def suspect(role="PS", name=None, ingredient=None):
+    return {"drug_seq": "3", "role_cod": role, "drugname": name, "prod_ai": ingredient}
+
+
+def report(number=70, without=(), **fields):
+    event = {"event_id": f"id-{number}", "event_type": "report", "schema_version": 2, "source_quarter": "2031Q2",
+             "received_at": "2031-05-06 07:08:09", "primaryid": str(number), "caseid": str(number // 10),
+             "fda_dt": "20310505", "patient": {"sex": "M"}, "drugs": [suspect(name="Lorem")], "reactions": ["Ipsum"], **fields}
+    return {k: v for k, v in event.items() if k not in without}
+
+
+def messages(spark, events, start=0):
+    values = [e if isinstance(e, str) else json.dumps(e) for e in events]
+    return spark.createDataFrame([("top", i % 2, start + i, None, v) for i, v in enumerate(values)], MESSAGE)
+
+
+def checked(spark, events):
+    return intake.validate(intake.parse(messages(spark, events)), intake.REQUIRED_FIELDS, intake.report_rules())
+
+
+def errors(spark, events):
+    return [r.errors for r in checked(spark, events).orderBy("offset").collect()]
+
+
+@pytest.mark.parametrize("event,expected", [
+    (report(), []),
+    (report(without=["event_id", "caseid"]), ["missing event_id", "missing caseid"]),
+    (report(received_at="", fda_dt=""), ["missing fda_dt", "missing received_at"]),
+    (report(fda_dt="20310230"), ["invalid fda_dt"]), (report(fda_dt="2031"), ["invalid fda_dt"]),
+    (report(drugs=[]), ["no drugs"]), (report(without=["drugs"]), ["no drugs"]),
+    (report(drugs=[suspect("SS"), suspect(None)]), ["no primary suspect drug"]),
+    (report(drugs=[suspect("C"), suspect("PS")]), []),
+    (report(reactions=[]), ["no reactions"]), (report(without=["reactions", "drugs"]), ["no drugs", "no reactions"]),
+    ("{\"event_id\": ", ["invalid json"]), ("", ["invalid json"]), ("12", ["invalid json"]), ("[{}]", ["invalid json"])])
+def test_contract(spark, event, expected):
+    assert sorted(errors(spark, [event])[0]) == sorted(expected)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.sampled_from(["primaryid", "caseid", "fda_dt", "drugs", "reactions"]), min_size=1, max_size=5, unique=True))
+def test_whatever_is_taken_away_is_named(spark, gone):
+    found = errors(spark, [report(without=gone)])[0]
+    assert len(found) == len(gone)
+
+
+def test_dead_letters_are_the_messages_themselves(spark):
+    bad = report(8, reactions=[], caseid=None)
+    dead, = intake.dead_letters(checked(spark, [report(7), bad])).collect()
+    assert (dead.topic, dead.partition, dead.offset, json.loads(dead.value)) == ("top", 1, 1, bad)
+    assert dead.error == "missing caseid; no reactions"
+
+
+def test_valid_rows_are_typed_and_placed(spark):
+    row, = intake.valid_rows(checked(spark, [report(7)]), ["event_id", "received_at"]).collect()
+    assert row.asDict() == {"event_id": "id-7", "received_at": datetime(2031, 5, 6, 7, 8, 9),
+                            "kafka_partition": 0, "kafka_offset": 0}
+
+
+def test_metrics_name_time_and_target(spark):
+    row = intake.batch_metrics(checked(spark, [report(1), report(2, drugs=[]), "x"]), "top", "g", 6, 2.0, uri="u").first()
+    assert (row.messages, row.valid, row.invalid, row.consumer_lag, row.uri, row.throughput_msg_per_sec) == (3, 1, 2, 6, "u", 1.5)
+    assert isinstance(row.batch_ts, datetime)
+    empty = intake.batch_metrics(checked(spark, [report()]).limit(0), "top", "g").first()
+    assert (empty.messages, empty.valid, empty.invalid, empty.invalid_rate) == (0, 0, 0, None)
+
+
+class Chain:
+    """A topic as a folder, with the sinks of an intake that reads it."""
+
+    def __init__(self, spark, folder):
+        self.spark, self.folder = spark, str(folder)
+        self.sinks = {kind: f"{folder}/{kind}" for kind in ("valid", "dead", "metrics")}
+        self.work = intake.intake_batch(self.sinks, LOADED, intake.REQUIRED_FIELDS, intake.report_rules(), topic="top", key="caseid")
+
+    def send(self, events, start=0):
+        messages(self.spark, events, start).coalesce(2).write.mode("append").parquet(f"{self.folder}/topic")
+
+    def drain(self, checkpoint="cp"):
+        stream = intake.open_stream(self.spark, "parquet", MESSAGE, max_per_trigger=1, path=f"{self.folder}/topic")
+        intake.start(stream, self.work, f"{self.folder}/{checkpoint}", once=True).awaitTermination()
+
+    def table(self, kind="valid"):
+        return self.spark.read.parquet(self.sinks[kind])
+
+    def ids(self):
+        return sorted(r.event_id for r in self.table().collect())
+
+
+@pytest.fixture
+def chain(spark, tmp_path):
+    return Chain(spark, tmp_path)
+
+
+def test_stream_loads_what_a_batch_would(spark, chain):
+    events = [report(i, reactions=["r"] * (i % 4)) for i in range(30)] + ["torn {"]
+    chain.send(events)
+    chain.drain()
+    assert chain.ids() == sorted(f"id-{i}" for i in range(30) if i % 4)
+    assert chain.table("dead").count() == 9
+    sums = chain.table("metrics").agg(F.sum("messages"), F.sum("valid"), F.sum("invalid")).first()
+    assert tuple(sums) == (31, 22, 9)
+    chain.drain()
+    chain.send([report(99)], 50)
+    chain.drain()
+    assert len(chain.ids()) == 23
+
+
+def test_a_replayed_batch_replaces_itself(spark, chain):
+    for _ in range(2):
+        chain.work(messages(spark, [report(1), report(2)]), 0)
+        chain.work(messages(spark, [report(3), "x"]), 1)
+    assert chain.ids() == ["id-1", "id-2", "id-3"] and chain.table("dead").count() == 1
+
+
+def test_a_new_checkpoint_adds_to_the_table(spark, chain):
+    chain.send([report(1)])
+    chain.drain("first")
+    chain.send([report(2)], 1)
+    chain.drain("second")  # starts anew: its first batches have the numbers of the first query's
+    assert chain.ids() == ["id-1", "id-1", "id-2"]
+    assert chain.table().select("batch_id").distinct().count() >= 2
+
+
+def test_the_table_can_be_staged_and_enriched_as_it_is(spark, chain):
+    chain.send([
+        report(1, outcomes=["HO", "DE"]), report(2, drugs=[suspect("C", "Lorem"), suspect(name="x", ingredient=" dolor.")]),
+        report(3, drugs=[suspect(name="unknown")]), report(1)])
+    chain.drain()
+    staged = intake.stage_events(chain.table())
+    aliases = spark.createDataFrame([("LOREM", "A", False), ("DOLOR", "B", True)],
                                     "alias STRING, product_id STRING, requires_owner BOOLEAN")
     got = {r.event_id: r for r in intake.enrich_stream(staged, aliases).collect()}
-    assert {k: (r.product_id, r.is_serious, r.is_death, r.intake_latency_sec) for k, r in got.items()} == {
-        "e1": ("P1", True, False, 1), "e2": ("P2", True, True, 1), "e3": ("P1", False, False, 1)}
-
-
-def test_order_in_key(spark):
-    df = spark.range(200).selectExpr("cast(id % 5 AS STRING) AS k", "(id * 37) % 200 AS o")
-    out = intake.order_in_key(df, "k", "o").withColumn("p", F.spark_partition_id()).withColumn(
-        "pos", F.monotonically_increasing_id()).collect()
-    for key in {r.k for r in out}:
-        mine = sorted((r for r in out if r.k == key), key=lambda r: r.pos)
-        assert len({r.p for r in mine}) == 1 and [r.o for r in mine] == sorted(r.o for r in mine)
-
-
-@pytest.mark.parametrize("horizon,expected", [("1 hour", 4), ("30 days", 3)])
-def test_stream_dedup_within_the_horizon(spark, tmp_path, horizon, expected):
-    """The state of ``a`` is dropped by the batch after the watermark has passed it."""
-    source = str(tmp_path / "in")
-    at = lambda d: dt.datetime(2024, 1, d)
-    for i, batch in enumerate([[("a", at(1)), ("a", at(1))], [("b", at(10))], [("c", at(10))], [("a", at(11))]]):
-        spark.createDataFrame(batch, "id STRING, ts TIMESTAMP").coalesce(1).write.parquet(f"{source}/{i}")
-    stream = intake.open_stream(spark, "parquet", "id STRING, ts TIMESTAMP", max_per_trigger=1, path=f"{source}/*")
-    out = str(tmp_path / "out")
+    assert {k: (r.product_id, r.drug_count) for k, r in got.items()} == {
+        "id-1": ("A", 1), "id-2": ("B", 2), "id-3": (None, 1)}
+    assert got["id-2"].is_serious is False and str(got["id-2"].received_date) == "2031-05-06"
+
+
+def test_rows_of_a_key_stay_in_order(spark):
+    df = spark.range(300).selectExpr("concat('k', id % 7) AS k", "(id * 101) % 300 AS o")
+    placed = intake.order_in_key(df, "k", "o").select(
+        "k", "o", F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("i")).collect()
+    for key in {r.k for r in placed}:
+        mine = sorted((r.i, r.o, r.p) for r in placed if r.k == key)
+        assert [o for _, o, _ in mine] == sorted(o for _, o, _ in mine) and len({p for *_, p in mine}) == 1
+
+
+@pytest.mark.parametrize("horizon,kept", [("2 hours", 4), ("40 days", 3)])
+def test_copies_within_the_horizon(spark, tmp_path, horizon, kept):
+    """The state of an id goes with the batch after the watermark has passed it."""
+    for i, (name, day) in enumerate([("x", 3), ("y", 15), ("z", 15), ("x", 17)]):
+        rows = [(name, datetime(2031, 5, day))] * 2
+        spark.createDataFrame(rows, "id STRING, ts TIMESTAMP").coalesce(1).write.parquet(str(tmp_path / "in" / str(i)))
+    stream = intake.open_stream(spark, "parquet", "id STRING, ts TIMESTAMP", max_per_trigger=1, path=str(tmp_path / "in" / "*"))
     intake.dedup_stream(stream, "id", "ts", horizon).writeStream.format("parquet").option(
-        "checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start(out).awaitTermination()
-    assert spark.read.parquet(out).count() == expected
+        "checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == kept
 
 
-def test_consumer_lag_sums_partitions():
-    progress = {"sources": [{"endOffset": {"t": {"0": 5, "1": 9}}, "latestOffset": '{"t": {"0": 7, "1": 9, "2": 4}}'}]}
-    assert intake.consumer_lag(progress) == 6
-    assert intake.consumer_lag(None) == 0
+@pytest.mark.parametrize("progress,lag", [
+    (None, 0), ({}, 0), ({"sources": [{"endOffset": None, "latestOffset": None}]}, 0),
+    ({"sources": [{"endOffset": {"a": {"0": 11}}, "latestOffset": {"a": {"0": 15, "1": 2}, "b": {"0": 1}}}]}, 7),
+    ({"sources": [{"endOffset": '{"a": {"0": 9}}', "latestOffset": '{"a": {"0": 4}}'}]}, 0)])
+def test_lag(progress, lag):
+    assert intake.consumer_lag(progress) == lag
