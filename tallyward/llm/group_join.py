@@ -239,6 +239,45 @@ def _labels(reps: DataFrame, links: DataFrame) -> DataFrame:
     return reps.join(found, "gid", "left").withColumn("label", F.coalesce("label", "gid"))
 
 
+def _across(reps: DataFrame, prefixes: DataFrame, links: DataFrame, percent: int, narrow: bool) -> DataFrame:
+    """Links between sets of different components.
+
+    Only tokens of two components or more matter any longer. In the full search every set asks each group of another
+    component with which it shares a token of their prefixes (the sets of the smaller component ask the groups of the
+    larger one), which finds every link. The narrow search goes before it: per token, one set of each component asks
+    one group of the largest. It joins most of what belongs together, so that the full search has few pairs left.
+    """
+    labels = _labels(reps.select("gid"), links)
+    sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("n_label"))
+    labels = stage(labels.join(sizes, "label"), "jaccard-labels")
+    rows = prefixes.join(labels, "gid")
+    several = rows.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    rows = stage(rows.join(several.select("token"), "token", "left_semi"), "jaccard-across")
+    if narrow:
+        largest = rows.groupBy("token").agg(F.max(F.struct("n_label", "label", "home", "part")).alias("to"))
+        asking = rows.groupBy("token", "label").agg(F.min("gid").alias("gid")).join(largest, "token")
+        asked = asking.where(F.col("label") != F.col("to.label")).select("gid", "to.home", "to.part")
+    else:
+        groups = rows.select("token", "home", "part", F.col("label").alias("to_label"),
+                             F.col("n_label").alias("to_size")).distinct()
+        smaller = F.struct("n_label", "label") < F.struct("to_size", "to_label")
+        asked = rows.select("token", "gid", "label", "n_label").join(groups, "token").where(smaller).select(
+            "gid", "home", "part")
+    asked = stage(asked.distinct(), "jaccard-asked")
+
+    turns = asked.groupBy("home", "part").agg(F.expr(
+        f"(count(1) + {QUERIES_AT_ONCE - 1}) div {QUERIES_AT_ONCE}").alias("n_turns"))
+    content = reps.select("gid", "home", "part", "n", "tokens").join(labels.select("gid", "label"), "gid")
+    asking = asked.join(turns, ["home", "part"]).withColumn("turn", F.expr("pmod(xxhash64(gid), n_turns)")).join(
+        content.drop("home", "part"), "gid").select(
+        "home", "part", "turn", "gid", "n", "label", F.lit(True).alias("is_query"), "tokens")
+    answering = content.join(turns, ["home", "part"]).select(
+        "home", "part", F.explode(F.expr("sequence(0, n_turns - 1)")).alias("turn"), "gid", "n", "label",
+        F.lit(False).alias("is_query"), "tokens")
+    found = asking.unionAll(answering).groupBy("home", "part", "turn").applyInArrow(_opened(percent), _LINKS)
+    return stage(found, "jaccard-found")
+
+
 def jaccard_classes(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``(doc_id, n_shingles, class_id, component_id, first)``, one row per row of ``documents``.
 
@@ -272,35 +311,13 @@ def jaccard_classes(documents: DataFrame, width: int = 5, percent: int = 80) ->
         pivots.where("to <> part").select("home", F.col("to").alias("part"), "gid", "n", "tokens"))
     inside = stage(members.groupBy("home", "part").applyInArrow(_inside(percent), _LINKS), "jaccard-inside")
 
-    labelled = _labels(reps.select("gid", "home", "part", "n", "n_prefix", "tokens"), inside)
-    sizes = labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n_label"))
-    labelled = stage(labelled.join(sizes, "label"), "jaccard-labelled")
-
-    # The prefix part of the matrix: (token, group). Only tokens of two components or more matter any longer.
     token = F.explode(F.expr("transform(sequence(1, n_prefix), i -> substring(tokens, i * 8 - 7, 8))"))
-    prefixes = labelled.select("gid", "home", "part", "label", "n_label", token.alias("token"))
-    across = prefixes.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-    prefixes = stage(prefixes.join(across.select("token"), "token", "left_semi"), "jaccard-prefixes")
-    queries = prefixes.select("token", "gid", "label", "n_label")
-    groups = prefixes.select("token", "home", "part", F.col("label").alias("to_label"),
-                             F.col("n_label").alias("to_size")).distinct()
-    # Sets of the smaller component ask the groups of the larger one.
-    smaller = F.struct("n_label", "label") < F.struct("to_size", "to_label")
-    asked = stage(queries.join(groups, "token").where(smaller).select("gid", "home", "part").distinct(),
-                  "jaccard-asked")
-
-    turns = asked.groupBy("home", "part").agg(F.expr(
-        f"(count(1) + {QUERIES_AT_ONCE - 1}) div {QUERIES_AT_ONCE}").alias("n_turns"))
-    content = labelled.select("gid", "n", "label", "tokens")
-    asking = asked.join(turns, ["home", "part"]).withColumn("turn", F.expr("pmod(xxhash64(gid), n_turns)")).join(
-        content, "gid").select("home", "part", "turn", "gid", "n", "label", F.lit(True).alias("is_query"), "tokens")
-    answering = labelled.join(turns, ["home", "part"]).select(
-        "home", "part", F.explode(F.expr("sequence(0, n_turns - 1)")).alias("turn"), "gid", "n", "label",
-        F.lit(False).alias("is_query"), "tokens")
-    outside = asking.unionAll(answering).groupBy("home", "part", "turn").applyInArrow(_opened(percent), _LINKS)
-
-    final = _labels(reps.select("gid"), inside.unionAll(stage(outside, "jaccard-outside")))
-    found = classes.join(final.withColumnRenamed("gid", "rep"), "rep", "left").select(
+    prefixes = stage(reps.select("gid", "home", "part", token.alias("token")), "jaccard-prefixes")
+    links = inside
+    for narrow in (True, False):
+        links = links.unionAll(_across(reps, prefixes, links, percent, narrow))
+    final = _labels(reps.select("gid"), links).withColumnRenamed("gid", "rep")
+    found = classes.join(final, "rep", "left").select(
         *same, "rep", F.coalesce("label", "rep").alias("label"))
     placed = sets.select("gid", "doc_id", *same).join(found, same, "left")
     placed = placed.withColumn("label", F.coalesce("label", "gid"))
