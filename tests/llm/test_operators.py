@@ -374,9 +374,8 @@ def family(rng, n, changes, base=None):
     return out
 
 
-@pytest.mark.parametrize("group", [256, 8])
-def test_jaccard_classes(spark, corpus, monkeypatch, group):
-    monkeypatch.setattr(group_join, "GROUP", group)
+def test_jaccard_classes(spark, corpus, monkeypatch):
+    monkeypatch.setattr(group_join, "GROUP", 8)
     rng = np.random.default_rng(11)
     shared = [f"s{i}" for i in range(60)]
     texts = family(rng, 120, 6) + family(rng, 60, 3) + family(rng, 40, 9) + [
