@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from urllib.parse import unquote
 
@@ -70,8 +71,23 @@ def write_partitions(df: DataFrame, path: str, partition: str, force: bool = Fal
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Full refresh (or append). Spark refuses to overwrite a path that ``df`` reads."""
-    df.write.mode(mode).parquet(path)
+    """Full refresh (or append).
+
+    A refresh is written beside the table and takes its place when it is complete, so it
+    may read the table itself, and a failed one leaves the old table.
+    """
+    if mode != "overwrite":
+        df.write.mode(mode).parquet(path)
+        return
+    spark = df.sparkSession
+    fresh = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    df.write.parquet(fresh)
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, fresh))
+    files = new.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(old, True)
+    if not files.rename(new, old):
+        raise OSError(f"{fresh} could not be moved to {path}")
+    spark.catalog.refreshByPath(path)
 
 
 def append_json(spark: SparkSession, path: str, schema: StructType, table: str, day_of: str, day: str) -> None:

@@ -92,14 +92,15 @@ def test_a_partition_is_missing_if_one_table_lacks_it(spark, tmp_path):
     assert rows(lake.missing_partitions(wanted, [both, one], "part")) == [("x",), ("z",)]
 
 
-def test_a_table_is_not_written_over_its_source(spark, tmp_path):
+def test_a_table_may_be_refreshed_from_itself(spark, tmp_path):
     path = str(tmp_path / "t")
     lake.write_table(spark.range(6), path)
-    with pytest.raises(AnalysisException):
-        lake.write_table(spark.read.parquet(path), path)
-    lake.write_table(spark.range(4), path)
+    lake.write_table(spark.read.parquet(path).where("id % 2 = 0"), path)
+    assert rows(spark.read.parquet(path)) == [(0,), (2,), (4,)]
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        lake.write_table(spark.read.parquet(path).selectExpr("1 div (id - 2) AS id"), path)
     lake.write_table(spark.range(4, 5), path, "append")
-    assert spark.read.parquet(path).count() == 5
+    assert spark.read.parquet(path).count() == 4 and len(list(tmp_path.glob("t"))) == 1
 
 
 # -- documents -----------------------------------------------------------------------------------------------------
@@ -158,7 +159,7 @@ def test_flat_studies(spark, tmp_path):
     assert got["N8"]["phases"] is None and got["N8"]["location_count"] == 0 and got[None]["has_results"]
 
 
-@pytest.mark.parametrize("names,expected", [(["B", "A", "B"], "B|A"), ([], None), (None, None), (["", "A"], "A")])
+@pytest.mark.parametrize("names,expected", [(["B", "A", "B"], "B|A|B"), ([], None), (None, None), (["", "A"], "|A")])
 def test_flat_recalls(spark, tmp_path, names, expected):
     (tmp_path / "r.json").write_text(json.dumps([{"recall_number": "Z", "openfda": {"brand_name": names}}]))
     df = documents.read_documents(spark, str(tmp_path / "r.json"), documents.RECALL_SCHEMA, multiline=True)
