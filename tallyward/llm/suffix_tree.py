@@ -115,10 +115,10 @@ def _observe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held.append(np.stack([np.full(there.sum(), depth), context[there].view(np.int64), parent.view(np.int64),
                                   symbols[there]]))
             weights.append(n[there])
-        if sum(map(len, weights)) > 4_000_000:
+        if sum(map(len, weights)) > 1_000_000:
             keys, n = merged()
             held, weights = [keys], [n]
-            if len(n) > 2_000_000:  # bounded memory: what has gathered so far goes on to Spark's aggregation
+            if len(n) > 500_000:  # bounded memory: what has gathered so far goes on to Spark's aggregation
                 yield pa.RecordBatch.from_arrays([*map(pa.array, keys), pa.array(n.astype(np.int64))], names=names)
                 held, weights = [], []
     if held:
