@@ -102,11 +102,12 @@ _PROFILED = ["l_returnflag", "l_linestatus", "l_linenumber", "l_suppkey"]
 
 @query("profile", " UNION ALL ".join(f"""
 SELECT '{c}' AS "column", count(*) AS n_rows, count(*) FILTER (v IS NULL) AS n_null, count(DISTINCT v) AS n_distinct,
-  min(v) AS min_value, max(v) AS max_value, (SELECT CAST({c} AS VARCHAR) FROM lineitem GROUP BY 1
-  ORDER BY count(*) DESC, 1 DESC LIMIT 1) AS top_value FROM (SELECT CAST({c} AS VARCHAR) AS v FROM lineitem)"""
+  CAST(min(x) AS VARCHAR) AS min_value, CAST(max(x) AS VARCHAR) AS max_value, round(avg(TRY_CAST(x AS DOUBLE)), 6) AS mean_value,
+  (SELECT CAST({c} AS VARCHAR) FROM lineitem GROUP BY 1
+  ORDER BY count(*) DESC, 1 DESC LIMIT 1) AS top_value FROM (SELECT CAST({c} AS VARCHAR) AS v, {c} AS x FROM lineitem)"""
                                for c in _PROFILED))
 def profile(t: Tables) -> DataFrame:
-    return aggregates.profile(t.lineitem, _PROFILED)
+    return aggregates.profile(t.lineitem, _PROFILED).withColumn("mean_value", F.round("mean_value", 6))
 
 
 @query("code_distributions", """

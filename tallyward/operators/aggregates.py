@@ -95,17 +95,29 @@ def distributions(df: DataFrame, columns: Sequence[str], name: str = "column") -
 
 
 def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Per column: rows, nulls, distinct values, smallest, largest and most frequent value (as text)."""
+    """Per column: rows, nulls, distinct values, smallest, largest, mean and most frequent value.
+
+    Smallest and largest follow the column's own type and are shown as text; the mean is
+    null for columns that are no numbers.
+    """
+    kinds = dict(df.dtypes)
+    numbers = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
+
+    def facts(c: str) -> Column:
+        mean = F.avg(c).cast("double") if kinds[c].startswith(numbers) else F.lit(None).cast("double")
+        return F.struct(F.lit(c).alias("__column"), F.min(c).cast("string").alias("min_value"),
+                        F.max(c).cast("string").alias("max_value"), mean.alias("mean_value"))
+
+    typed = df.agg(F.array(*[facts(c) for c in columns]).alias("__facts")).select(F.inline("__facts"))
     dist = distributions(df, columns)
     top = F.max_by("value", F.when(F.col("value").isNotNull(), F.struct("n", "value")))
-    return dist.groupBy("column").agg(
+    counts = dist.groupBy("column").agg(
         F.sum("n").alias("n_rows"),
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("n_null"),
         F.count("value").alias("n_distinct"),
-        F.min("value").alias("min_value"),
-        F.max("value").alias("max_value"),
         top.alias("top_value"),
     )
+    return counts.join(typed, F.col("column") == F.col("__column")).drop("__column")
 
 
 def matrix(df: DataFrame, rows: str, cols: str, values: Sequence[str], sum_of: str | None = None,

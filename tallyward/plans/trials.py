@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.functions import classify, due_within, label, months_between_cal
-from tallyward.operators.dedup import first_with_count
+from tallyward.operators.dedup import first_with_count, latest_by
 from tallyward.operators.reshape import members
 from tallyward.operators.terms import match_or_search, match_terms
 from tallyward.plans import rules
@@ -63,8 +63,14 @@ def area_dimension(products: DataFrame, trials: DataFrame) -> DataFrame:
 
 
 def recalls(staged: DataFrame, brand_aliases: DataFrame) -> DataFrame:
-    """Recalls with their product by first brand, else by the longest brand in the description."""
+    """One row per recall with its product by first brand, else by the longest brand in the description.
+
+    Of repeated numbers a row with a product comes first, then the one classified last.
+    """
     found = match_or_search(staged, "recall_number", "brand_key", "product_description", brand_aliases)
+    found = latest_by(found, ["recall_number"], [
+        F.col("product_id").isNotNull().desc(), F.col("classification_date").desc_nulls_last(),
+        F.col("recall_initiation_date").desc_nulls_last(), F.col("product_description"), F.col("product_id")])
     return found.select(
         "recall_number", "product_id", "classification", "status", "reason_category", "reason_for_recall",
         "product_description", "voluntary_mandated", "recall_initiation_date", "classification_date",

@@ -270,3 +270,19 @@ def test_standard_checks_cover_all_kinds(spark):
     runs = spark.createDataFrame([("r",), ("r",), (None,)], "run_id STRING")
     assert {r.test_name: r.failures for r in check_tables({"ingestion_runs": runs}, products).collect()} == {
         "unique:run_id": 1, "not_null:run_id": 1}
+
+
+def test_one_row_per_recall(spark):
+    from tallyward.plans import trials
+    columns = ("recall_number STRING, brand_key STRING, product_description STRING, classification STRING, status STRING, "
+               "reason_category STRING, reason_for_recall STRING, voluntary_mandated STRING, recall_initiation_date DATE, "
+               "classification_date DATE, termination_date DATE")
+    day = dt.date(2031, 1, 2)
+    rest = ("c", "s", "r", "t", "v", day)
+    staged = spark.createDataFrame([
+        ("D9", None, "nothing known", *rest, day, None), ("D9", "LOREM", "x", *rest, None, None),
+        ("D9", "LOREM", "x", *rest, day, None), ("D8", None, "tablets of lorem", *rest, None, None)], columns)
+    aliases = spark.createDataFrame([("LOREM", "P")], "alias STRING, product_id STRING")
+    got = {r.recall_number: r for r in trials.recalls(staged, aliases).collect()}
+    assert trials.recalls(staged, aliases).count() == 2
+    assert (got["D9"].product_id, got["D9"].classification_date, got["D8"].product_id) == ("P", day, "P")
