@@ -22,6 +22,11 @@ from tallyward.llm.common import partitions, pick, ramp, stage
 
 MAGIC = b"TWRP1"
 HEAD = struct.Struct("<IIII")
+SLOT_BITS = 18
+
+
+def _slot(key: np.ndarray) -> np.ndarray:
+    return (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
 def compress(ids: np.ndarray, lengths: np.ndarray, vocabulary_size: int, rounds: int = 4, rules_per_round: int = 4000,
@@ -51,17 +56,23 @@ def compress(ids: np.ndarray, lengths: np.ndarray, vocabulary_size: int, rounds:
             break
         top = top[np.argsort(-counts[top], kind="stable")][:rules_per_round]
         chosen = ordered[cut[top]]  # by falling count
-        by_key = np.argsort(chosen)
-        at = np.minimum(np.searchsorted(chosen[by_key], key), len(chosen) - 1)
-        rank = np.full(len(symbols) + 1, len(chosen))
-        hit = (chosen[by_key][at] == key) & ~last[:-1]
-        rank[1:-1][hit] = by_key[at[hit]]
+        # A direct table of the chosen pairs. Of two in one slot the more frequent is kept, the other has its turn later.
+        backward = chosen[::-1]
+        held, ranks = np.full(1 << SLOT_BITS, -1, np.int64), np.zeros(1 << SLOT_BITS, np.int32)
+        held[_slot(backward)] = backward
+        ranks[_slot(backward)] = np.arange(len(chosen) - 1, -1, -1)
+        slot = _slot(key)
+        rank = np.full(len(symbols) + 1, len(chosen), np.int32)
+        hit = np.flatnonzero((held[slot] == key) & ~last[:-1])
+        rank[1:-1][hit] = ranks[slot[hit]]
         # rank[i + 1] belongs to the pair at i: replaced where it beats the pair before and is not beaten by the next.
         here = rank[1:-1]
         take = np.flatnonzero((here < len(chosen)) & (here < rank[:-2]) & (here <= rank[2:]))
-        used, number = np.unique(here[take], return_inverse=True)
-        if not len(used):
+        if not len(take):
             break
+        seen = np.zeros(len(chosen), bool)
+        seen[here[take]] = True
+        used, number = np.flatnonzero(seen), (np.cumsum(seen) - 1)[here[take]]
         pairs.append(np.stack([chosen[used] >> 32, chosen[used] & 0xFFFFFFFF], 1))
         symbols[take] = vocabulary_size + n_rules + number
         last[take] = last[take + 1]
