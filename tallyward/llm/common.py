@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -134,6 +136,18 @@ def ramp(lengths: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - lengths, lengths)
 
 
+@cache
+def _libc():
+    return ctypes.CDLL(None)
+
+
+def release() -> None:
+    """Give memory that arrays have left back to the machine: a worker outlives its task and would hold its peak."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_libc(), "malloc_trim"):
+        _libc().malloc_trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Batches cut so that their texts have about ``most`` bytes; a longer single text is a batch of its own."""
     for batch in batches:
@@ -142,4 +156,5 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20)
         while at < batch.num_rows:
             end = max(at + 1, int(np.searchsorted(starts, starts[at] + most, "right")) - 1)
             yield batch.slice(at, end - at)
+            release()
             at = end

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyward.llm.common import mix, partitions, pick, slices, stage, text_bytes, windows, words_of
+from tallyward.llm.common import mix, partitions, pick, release, slices, stage, text_bytes, windows, words_of
 from tallyward.llm.components import Forest, components
 
 GROUP = 256
@@ -103,6 +103,7 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
 
 
 def _table(rows: list[tuple], schema: str) -> pa.Table:
+    release()
     return pa.Table.from_batches([_batch(rows, schema)])
 
 

@@ -17,7 +17,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyward.llm.common import FOLD, mix, partitions, pick, slices, span_codes, stage, text_bytes, words_of
+from tallyward.llm.common import FOLD, mix, partitions, pick, release, slices, span_codes, stage, text_bytes, words_of
 
 DEPTH = 5
 MOST_STATES = 100_000
@@ -335,6 +335,7 @@ def _sum_slice(table: pa.Table) -> pa.Table:
             sums = np.stack([np.bincount(place, times * x[at], minlength=n)[there] for x in (base, logs)])
             out.append((0, r["slice"], r["block"], sums.astype("<f8").tobytes(), known.astype("<u4").tobytes(),
                         there.astype("<u2").tobytes(), b"", None))
+    release()
     return pa.Table.from_batches([_batch(out, _DEALT)])
 
 
