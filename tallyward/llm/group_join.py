@@ -103,7 +103,8 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
 
 
 def _table(rows: list[tuple], schema: str) -> pa.Table:
-    release()
+    if len(rows) > 1000:  # not after every small group
+        release()
     return pa.Table.from_batches([_batch(rows, schema)])
 
 
@@ -131,6 +132,7 @@ def _shared(table: pa.Table) -> pa.Table:
                 who = np.frombuffer(r["places"], np.uint32)[hit]
                 out.append((0, r["slice"], r["block"], own[hit].tobytes(), who.tobytes(),
                             counts[place[hit]].astype("<u4").tobytes(), None))
+    release()
     return _table(out, _DEALT)
 
 
