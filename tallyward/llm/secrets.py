@@ -148,16 +148,23 @@ def _encoded(layer: Layer, most: int) -> Iterator[Layer]:
         yield Layer(text, starts, ends)
 
 
+def _mark(layer: Layer) -> tuple[bytes, int, int]:
+    """A layer's text and the range of the original text it came from."""
+    place = layer.origin(0, len(layer.text)) if layer.text else (0, 0)
+    return hashlib.sha1(layer.text.encode("utf-8", "surrogatepass")).digest(), *place
+
+
 def find(text: str, most: int = 64 << 20) -> tuple[list[Span], list[Span]]:
     """Spans of the text itself, and all spans: with those of nested layers, in characters of the original text.
 
     Worklist until fixpoint: each layer is scanned, then unwrapped in every way that applies (percent escapes, Unicode
-    escapes, base64, compressed base64); a layer whose text was seen before is not opened again, so cycles end.
+    escapes, base64, compressed base64); a layer whose text was seen before at the same place is not opened again, so
+    cycles end and every copy of a repeated blob is opened.
     ``most`` is the safety bound in bytes for one compressed stream, against decompression bombs.
     """
     base = scan(text)
     spans = set(base)
-    seen = {hashlib.sha1(text.encode("utf-8", "surrogatepass")).digest()}
+    seen = {_mark(Layer(text))}
     work = [Layer(text)]
     while work:
         layer = work.pop()
@@ -170,7 +177,7 @@ def find(text: str, most: int = 64 << 20) -> tuple[list[Span], list[Span]]:
         for child in children:
             if child is None:
                 continue
-            mark = hashlib.sha1(child.text.encode("utf-8", "surrogatepass")).digest()
+            mark = _mark(child)
             if mark in seen:
                 continue
             seen.add(mark)

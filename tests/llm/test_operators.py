@@ -265,6 +265,16 @@ def test_secret_cycles_and_plain_text():
     assert secrets.find("ſecret=abcdefgh")[0] == [] and secrets.find("API-KEY api_key : 'abcdef'")[0] == [(8, 0, 25)]
 
 
+@pytest.mark.parametrize("layers", [("b64",), ("gzip",), ("b64", "b64"), ("gzip", "url"), ("b64", "gzip")])
+def test_every_copy_of_a_blob_is_opened(layers):
+    inner = nested(f"see {KEY} ok", *layers)
+    text = f"first {inner} then {inner} and {inner} end"
+    spans = secrets.find(text)[1]
+    for m in re.finditer(re.escape(inner), text):
+        assert any(m.start() <= a < b <= m.end() and secrets.KINDS[kind] == "access" for a, kind, b in spans)
+    assert inner not in secrets.redact(text, spans) and secrets.redact(text, spans).count("[SECRET]") == 3
+
+
 def test_scan_documents(spark, corpus):
     rows, df = corpus
     hard = spark.createDataFrame([(900, f"password='hunter2x' {KEY} " + "a1" * 15, None, None, None)], DOCS)
