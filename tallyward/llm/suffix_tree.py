@@ -1,14 +1,15 @@
 """Scores of texts by a probabilistic suffix tree, beside a smoothed unigram model.
 
-The tree models the letters of words. A context is the string of up to ``DEPTH`` symbols before a letter, back to the
-start of the word; a context is a state when its next-symbol distribution diverges enough from that of its longest
-proper suffix. A letter is scored in the state of the longest suffix. A text is a sequence of words, each spelt out
-with an end-of-word symbol, and one end symbol in place of a further word, so the model is a distribution over texts.
+A text is a sequence of symbols: the letters of its words, each word closed by an end-of-word symbol, and one end symbol
+in place of a further word, so the model is a distribution over texts. A context is the ``DEPTH`` or fewer symbols before
+a symbol, across word boundaries and back to the start of the text. A context is a state when its next-symbol
+distribution diverges enough from that of its longest proper suffix. A symbol is scored in the state of the longest suffix.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,10 +18,11 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyward.llm.common import FOLD, mix, partitions, pick, release, slices, span_codes, stage, text_bytes, words_of
+from tallyward.llm.common import (
+    _SPACE, FOLD, mix, partitions, pick, ramp, release, slices, span_codes, stage, text_bytes, words_of)
 
 DEPTH = 5
-MOST_STATES = 100_000
+BLOCK = 2 << 20  # bytes of text in a block
 PRIOR = 2.0  # weight of the next shorter context in a smoothed distribution, in observations
 DIVERGENCE = 2.0  # a state gains this many nats for each symbol it predicts
 
@@ -126,13 +128,13 @@ def _observe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*map(pa.array, keys), pa.array(n.astype(np.int64))], names=names)
 
 
-def fit_states(words: DataFrame, n_texts: int, most_states: int = MOST_STATES,
+def fit_states(words: DataFrame, n_texts: int, most_states: int | None = None,
                divergence: float = DIVERGENCE) -> DataFrame:
-    """``(depth, context, parent, symbol, n)`` of the states: all contexts retained by the divergence test.
+    """``(depth, context, parent, symbol, n)`` of the states of single words: all contexts retained by the test.
 
     A context is retained when coding what follows it by its own distribution instead of its suffix's saves at least
-    ``divergence`` nats for each symbol it predicts; of those the ``most_states`` with the largest savings (the size
-    of the model, a parameter), and all their suffixes.
+    ``divergence`` nats for each symbol it predicts, and so are all its suffixes; with ``most_states`` only those of
+    the largest savings. For studies of words with ``Tree``; ``score`` fits whole texts and has no such limit.
     """
     ends = words.sparkSession.createDataFrame(
         [(0, _START_CONTEXTS[0], 0, TEXT_END, n_texts), (1, _START_CONTEXTS[1], _START_CONTEXTS[0], TEXT_END, n_texts)],
@@ -145,8 +147,10 @@ def fit_states(words: DataFrame, n_texts: int, most_states: int = MOST_STATES,
     gain = F.sum(F.col("n") * F.log(F.col("n") / F.col("total") / F.col("above")))
     tested = seen.where("depth > 0").join(above, ["parent", "symbol"]).groupBy("depth", "context", "parent").agg(
         gain.alias("gain"), F.count(F.lit(1)).alias("n_symbols"))
-    chosen = stage(tested.where(F.col("gain") >= divergence * F.col("n_symbols")).orderBy(
-        F.desc("gain"), "context").limit(most_states).select("depth", "context", "parent"), "tree-chosen")
+    chosen = tested.where(F.col("gain") >= divergence * F.col("n_symbols"))
+    if most_states is not None:
+        chosen = chosen.orderBy(F.desc("gain"), "context").limit(most_states)
+    chosen = stage(chosen.select("depth", "context", "parent"), "tree-chosen")
     kept = chosen.select("context").unionAll(chosen.select(F.col("parent").alias("context")))
     last = chosen
     for _ in range(DEPTH - 1):  # the suffixes of a retained context are states too
@@ -219,11 +223,144 @@ class Tree:
         return out
 
 
+# -- the tree of whole texts --------------------------------------------------------------------------------------
+
+# A gram is a symbol and the DEPTH symbols before it, 21 bits each: the symbol and the nearest two in ``a``, the other
+# three in ``b``. The part of a gram that depth d knows is what is left under the masks of d.
+_BITS = 21
+_ONE, _TWO, _ALL = (1 << _BITS) - 1, (1 << 2 * _BITS) - 1, (1 << 3 * _BITS) - 1
+_MASKS = [(_ONE, 0), (_TWO, 0), (_ALL, 0), (_ALL, _ONE), (_ALL, _TWO), (_ALL, _ALL)]
+
+
+def _symbols(flat: np.ndarray, starts: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols of joined texts with words ending at the bytes ``end``, and how many each text has."""
+    letter = ~_SPACE[flat]
+    letters = np.frombuffer(FOLD[flat[letter]].tobytes().decode().encode("utf-32-le"), "<u4").astype(np.int64)
+    before = np.r_[0, np.cumsum(letter & ((flat & 0xC0) != 0x80))]
+    closes, stops = before[end], before[starts[1:]]
+    symbols = np.insert(letters, np.r_[closes, stops], np.repeat([WORD_END, TEXT_END], [len(closes), len(stops)]))
+    return symbols, np.diff(np.r_[0, stops + np.searchsorted(end, starts[1:], "right") + np.arange(1, len(starts))])
+
+
+def _grams(symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``a`` and ``b`` of the gram of every symbol; START stands in every place before the text."""
+    place = ramp(sizes)
+    packed = [symbols.copy(), np.zeros(len(symbols), np.int64)]
+    for k in range(1, DEPTH + 1):
+        before = np.full(len(symbols), START, np.int64)
+        before[k:] = symbols[:max(0, len(symbols) - k)]
+        before[place < k] = START
+        packed[k > 2] |= before << _BITS * (k % 3)
+    return packed[0], packed[1]
+
+
+def _gram_codes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return mix(a.view(np.uint64) * np.uint64(_BASE) + mix(b.view(np.uint64) + np.uint64(77)))
+
+
+def gram_counts(documents: DataFrame) -> DataFrame:
+    """``(a, b, n)``: every gram of (text, held_out) with its number in texts that are not held out (may be 0)."""
+    names = ["a", "b", "n"]
+
+    def merged(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+        _, at, inverse = np.unique(_gram_codes(a, b), return_index=True, return_inverse=True)
+        return a[at], b[at], np.bincount(inverse, n).astype(np.int64)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = tuple(np.zeros(0, np.int64) for _ in names)
+        for batch in slices(batches, "text", BLOCK):
+            flat, starts = text_bytes(batch.column(0))
+            symbols, sizes = _symbols(flat, starts, words_of(flat, starts)[1])
+            train = np.repeat(~batch.column(1).to_numpy(zero_copy_only=False), sizes)
+            new = merged(*_grams(symbols, sizes), train)
+            held = merged(*[np.r_[x, y] for x, y in zip(held, new, strict=True)])
+            if len(held[0]) > 2_000_000:  # bounded memory: what has gathered so far goes on to Spark's aggregation
+                yield pa.RecordBatch.from_arrays([*map(pa.array, held)], names=names)
+                held = tuple(np.zeros(0, np.int64) for _ in names)
+        if len(held[0]):
+            yield pa.RecordBatch.from_arrays([*map(pa.array, held)], names=names)
+
+    return documents.select("text", "held_out").mapInArrow(work, "a long, b long, n long").groupBy("a", "b").agg(
+        F.sum("n").alias("n"))
+
+
+def _fit_part(divergence: float, prior: float):
+    """Of all grams that share their two nearest context symbols, the probabilities as ``alpha + beta * p1``.
+
+    ``p1`` is the probability of the symbol by the depth below 2; ``state`` says that a context of depth 2 or more that
+    ends in those two symbols is a state.
+    """
+    def work(table: pa.Table) -> pa.Table:
+        a, b, n, n1, t1 = [table.column(c).to_numpy() for c in ("a", "b", "n", "n1", "t1")]
+        levels = []
+        up_n, up_total = n1, t1
+        for mask_a, mask_b in _MASKS[2:]:
+            # Numbers of the (context, symbol) and of the context of each gram at this depth.
+            below = b & mask_b
+            _, at, inverse = np.unique(_gram_codes(a & mask_a, below), return_index=True, return_inverse=True)
+            count = np.bincount(inverse, n)
+            _, context = np.unique(_gram_codes(a >> _BITS, below)[at], return_inverse=True)
+            total = np.bincount(context, count)
+            some = count > 0
+            own = at[some]
+            gain = np.bincount(context[some], count[some] * np.log(
+                count[some] / total[context[some]] / (up_n[own] / up_total[own])), minlength=len(total))
+            kept = (total > 0) & (gain >= divergence * np.bincount(context[some], minlength=len(total)))
+            levels.append((count[inverse], total[context][inverse], kept, context[inverse]))
+            up_n, up_total = levels[-1][:2]
+        states, deeper = [], np.zeros(len(n), bool)
+        for _, total, kept, context in reversed(levels):  # the suffixes of a retained context are states too
+            kept = kept | (np.bincount(context, deeper, minlength=len(kept)) > 0)
+            deeper = kept[context]
+            states.append(deeper)
+        alpha, beta = np.zeros(len(n)), np.ones(len(n))
+        for (count, total, _, _), state in zip(levels, reversed(states), strict=True):
+            alpha = np.where(state, (count + prior * alpha) / (total + prior), alpha)
+            beta = np.where(state, prior * beta / (total + prior), beta)
+        release()
+        return pa.table({"a": a, "b": b, "alpha": alpha, "beta": beta, "state": states[-1]})
+
+    return work
+
+
+def fit_texts(grams: DataFrame, divergence: float = DIVERGENCE, prior: float = PRIOR) -> DataFrame:
+    """``(a, b, log)``: the log10 probability of the symbol of every gram, of training or not.
+
+    A context is a state when coding what follows it by its own distribution instead of its suffix's saves at least
+    ``divergence`` nats for each symbol it predicts; all of them and their suffixes are, whatever their number. In a
+    state p = (n + prior * p of the next shorter context) / (total + prior).
+    """
+    spark = grams.sparkSession
+    roots = grams.groupBy(F.col("a").bitwiseAND(_ONE).alias("symbol")).agg(F.sum("n").alias("n0"))
+    pairs = stage(grams.groupBy(F.col("a").bitwiseAND(_TWO).alias("pair")).agg(F.sum("n").alias("n1")), "tree-pairs")
+    n, size = roots.agg(F.coalesce(F.sum("n0"), F.lit(0)), F.count(F.when(F.col("n0") > 0, 1))).first()
+    size += n + 1  # one more observation for every known symbol, and one for all unknown ones together
+    last = F.shiftright("pair", _BITS)
+    own = Window.partitionBy("last")
+    counted = F.when(F.col("n1") > 0, F.col("n1") * F.log(F.col("n1") / F.col("t1") / (F.col("n0") / F.lit(n))))
+    pairs = stage(pairs.withColumn("last", last).withColumn("symbol", F.col("pair").bitwiseAND(_ONE)).join(
+        roots, "symbol").withColumn("t1", F.sum("n1").over(own)).withColumn("gain", counted).withColumn(
+        "kept", F.sum("gain").over(own) >= divergence * F.count("gain").over(own)).select(
+        "pair", "last", "n1", "t1", "n0", F.coalesce("kept", F.lit(False)).alias("kept")), "tree-pairs")
+    near = pairs.select("pair", "n1", "t1")
+    parts = grams.withColumn("pair", F.col("a").bitwiseAND(_TWO)).join(near, "pair").withColumn(
+        "part", F.expr(f"pmod(xxhash64(shiftright(a, {_BITS})), {4 * partitions(spark)})"))
+    fitted = stage(parts.select("part", "a", "b", "n", "n1", "t1").groupBy("part").applyInArrow(
+        _fit_part(divergence, prior), "a long, b long, alpha double, beta double, state boolean"), "tree-parts")
+    suffixes = fitted.where("state").select(F.shiftright(F.col("a").bitwiseAND(_TWO), _BITS).alias("last")).distinct()
+    p0 = F.when(F.col("n0") > 0, (F.col("n0") + 1) / F.lit(size)).otherwise(1 / size / N_CODE_POINTS)
+    p1 = F.when(F.col("kept") | F.col("deeper"), (F.col("n1") + prior * p0) / (F.col("t1") + prior)).otherwise(p0)
+    first = pairs.join(suffixes.withColumn("deeper", F.lit(True)), "last", "left").select(
+        "pair", p1.alias("p1"))
+    return fitted.withColumn("pair", F.col("a").bitwiseAND(_TWO)).join(first, "pair").select(
+        "a", "b", F.log10(F.col("alpha") + F.col("beta") * F.col("p1")).alias("log"))
+
+
 # -- scores of texts ---------------------------------------------------------------------------------------------
 
-# Kind 0: words of one block that belong to one slice; kind 1: the documents of a block; kind 2: scored words.
-_DEALT = ("kind int, slice int, block long, codes binary, counts binary, places binary, times binary, "
-          "doc_ids array<long>")
+# Kind 0: codes of words and grams that a block asks of a slice, or the values of them; kind 1: the documents of a
+# block; kind 2: codes and their values.
+_ASKED = "kind int, slice int, block long, codes binary, numbers binary, held binary, doc_ids array<long>"
 _ARROW = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()),
           "double": pa.float64(), "boolean": pa.bool_()}
 
@@ -235,126 +372,105 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
                                       names=[n for n, _ in fields])
 
 
-def _slice_of(code: np.ndarray, n_slices: int) -> np.ndarray:
-    return ((code >> np.uint64(40)) % np.uint64(n_slices)).astype(np.int64)
+def _cuts(code: np.ndarray, n_slices: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the codes by slice, and where each slice begins in it."""
+    to = ((code >> np.uint64(40)) % np.uint64(n_slices)).astype(np.int32)
+    order = np.argsort(to, kind="stable")
+    return order, np.searchsorted(to[order], np.arange(n_slices + 1))
+
+
+def _asked(flat: np.ndarray, starts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of the words and of the grams: the distinct codes, the place of each one's code, and how many each text has."""
+    _, end, code, first = words_of(flat, starts, fold=True)
+    symbols, sizes = _symbols(flat, starts, end)
+    return [(*np.unique(x, return_inverse=True), n) for x, n in (
+        (code, np.diff(first)), (_gram_codes(*_grams(symbols, sizes)), sizes))]
 
 
-def _deal_texts(n_slices: int):
+def _ask(n_slices: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        for seq, batch in enumerate(slices(batches, "text")):
+        for seq, batch in enumerate(slices(batches, "text", BLOCK)):
             block = part << 32 | seq
-            _, _, code, first = words_of(*text_bytes(batch.column(2)), fold=True)
-            n_words = np.diff(first)
+            flat, starts = text_bytes(batch.column(2))
             held = batch.column(1).to_numpy(zero_copy_only=False)
-            rows = [(1, block % n_slices, block, b"", n_words.astype("<i8").tobytes(), held.astype("u1").tobytes(), b"",
-                     batch.column(0).to_pylist())]
-            distinct, inverse = np.unique(code, return_inverse=True)
-            # One entry per word and document, by word: the places of its documents and how often it is there.
-            pair = np.sort(inverse.astype(np.int64) << 32 | np.repeat(np.arange(len(n_words)), n_words))
-            cut = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]][:len(pair)])
-            times = np.diff(np.r_[cut, len(pair)])
-            word, place = pair[cut] >> 32, (pair[cut] & 0xFFFFFFFF).astype("<u2")
-            to = _slice_of(distinct, n_slices)
-            order = np.argsort(to[word], kind="stable")
-            word, place, times = word[order], place[order], times[order].astype("<u4")
-            by_slice = np.argsort(to, kind="stable")
-            cuts = np.searchsorted(to[by_slice], np.arange(n_slices + 1))
-            ends = np.searchsorted(to[word], np.arange(n_slices + 1))
-            n_docs = np.bincount(word, minlength=len(distinct))
-            for i in range(n_slices):
-                mine = by_slice[cuts[i]:cuts[i + 1]]
-                if len(mine):
-                    a, b = ends[i], ends[i + 1]
-                    rows.append((0, i, block, distinct[mine].tobytes(), n_docs[mine].astype("<u4").tobytes(),
-                                 place[a:b].tobytes(), _narrow(times[a:b]), None))
-            yield _batch(rows, _DEALT)
+            rows = [(1, block % n_slices, block, zlib.compress(flat.tobytes(), 1), starts.astype("<i8").tobytes(),
+                     held.astype("u1").tobytes(), batch.column(0).to_pylist())]
+            code = np.concatenate([x[0] for x in _asked(flat, starts)])
+            order, cuts = _cuts(code, n_slices)
+            code = code[order]
+            rows += [(0, i, block, code[cuts[i]:cuts[i + 1]].tobytes(), b"", b"", None)
+                     for i in range(n_slices) if cuts[i] < cuts[i + 1]]
+            yield _batch(rows, _ASKED)
 
     return work
 
 
-def _narrow(times: np.ndarray) -> bytes:
-    """Counts as bytes; 255 stands for a larger one, which follows all bytes as four."""
-    small = np.minimum(times, 255).astype("u1")
-    return small.tobytes() + times[small == 255].tobytes()
-
-
-def _wide(data: bytes, n: int) -> np.ndarray:
-    out = np.frombuffer(data, "u1", n).astype(np.int64)
-    out[out == 255] = np.frombuffer(data, "<u4", offset=n)
-    return out
-
-
-def _deal_words(tree, n_slices: int):
+def _tell(n_slices: int, words: bool):
+    """Codes and values by slice: numbers of words, or log10 probabilities of grams."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = tree.value
         for batch in batches:
             if not batch.num_rows:
                 continue
-            flat, starts = text_bytes(batch.column(0))
-            code = span_codes(flat, starts[:-1], starts[1:])
-            counts = batch.column(1).to_numpy()
-            logs = model.score(batch.column(0).to_pylist())
-            to = _slice_of(code, n_slices)
-            order = np.argsort(to, kind="stable")
-            cuts = np.searchsorted(to[order], np.arange(n_slices + 1))
-            rows = []
-            for i in range(n_slices):
-                mine = order[cuts[i]:cuts[i + 1]]
-                if len(mine):
-                    rows.append((2, i, 0, code[mine].tobytes(), counts[mine].astype("<i8").tobytes(),
-                                 logs[mine].astype("<f8").tobytes(), b"", None))
-            yield _batch(rows, _DEALT)
+            if words:
+                flat, starts = text_bytes(batch.column(0))
+                code, value = span_codes(flat, starts[:-1], starts[1:]), batch.column(1).to_numpy().astype(float)
+            else:
+                code = _gram_codes(batch.column(0).to_numpy(), batch.column(1).to_numpy())
+                value = batch.column(2).to_numpy()
+            order, cuts = _cuts(code, n_slices)
+            code, value = code[order], value[order]
+            yield _batch([(2, i, 0, code[cuts[i]:cuts[i + 1]].tobytes(), value[cuts[i]:cuts[i + 1]].tobytes(), b"", None)
+                          for i in range(n_slices) if cuts[i] < cuts[i + 1]], _ASKED)
 
     return work
 
 
-def _sum_slice(table: pa.Table) -> pa.Table:
-    """Of one slice: per block and document the sums over the words of this slice."""
+def _answer(table: pa.Table) -> pa.Table:
+    """Of one slice: the values of the codes that each block asks for, in its order."""
     rows = table.to_pylist()
-    scored = [r for r in rows if r["kind"] == 2]
-    code = np.concatenate([np.frombuffer(r["codes"], "<u8") for r in scored] or [np.zeros(0, "<u8")])
+    told = [r for r in rows if r["kind"] == 2]
+    code = np.concatenate([np.frombuffer(r["codes"], "<u8") for r in told] or [np.zeros(0, "<u8")])
     order = np.argsort(code)
     code = code[order]
-    counts = np.concatenate([np.frombuffer(r["counts"], "<i8") for r in scored] or [np.zeros(0, "<i8")])[order]
-    logs = np.concatenate([np.frombuffer(r["places"], "<f8") for r in scored] or [np.zeros(0)])[order]
-    base = np.log10(counts + 1.0)
+    value = np.concatenate([np.frombuffer(r["numbers"], "<f8") for r in told] or [np.zeros(0)])[order]
     out = []
     for r in rows:
         if r["kind"] == 1:
             out.append(tuple(r.values()))
         elif r["kind"] == 0:
-            at = np.repeat(np.searchsorted(code, np.frombuffer(r["codes"], "<u8")), np.frombuffer(r["counts"], "<u4"))
-            place = np.frombuffer(r["places"], "<u2").astype(np.int64)
-            times = _wide(r["times"], len(place))
-            n = int(place.max()) + 1
-            there = np.flatnonzero(np.bincount(place, minlength=n))
-            known = np.bincount(place, times * (counts[at] > 0), minlength=n)[there]
-            sums = np.stack([np.bincount(place, times * x[at], minlength=n)[there] for x in (base, logs)])
-            out.append((0, r["slice"], r["block"], sums.astype("<f8").tobytes(), known.astype("<u4").tobytes(),
-                        there.astype("<u2").tobytes(), b"", None))
+            found = value[np.searchsorted(code, np.frombuffer(r["codes"], "<u8"))]
+            out.append((0, r["slice"], r["block"], b"", found.tobytes(), b"", None))
     release()
-    return pa.Table.from_batches([_batch(out, _DEALT)])
+    return pa.Table.from_batches([_batch(out, _ASKED)])
 
 
 _SCORED = "doc_id long, held_out boolean, n_words long, known long, base double, logs double"
 
 
-def _sum_block(table: pa.Table) -> pa.Table:
-    rows = table.to_pylist()
-    head = next(r for r in rows if r["kind"] == 1)
-    n_words, held = np.frombuffer(head["counts"], "<i8"), np.frombuffer(head["places"], "u1")
-    total = np.zeros((2, len(n_words)))
-    known = np.zeros(len(n_words), np.int64)
-    for r in sorted((r for r in rows if r["kind"] == 0), key=lambda r: r["slice"]):
-        place = np.frombuffer(r["places"], "<u2")
-        total[:, place] += np.frombuffer(r["codes"], "<f8").reshape(2, -1)
-        known[place] += np.frombuffer(r["counts"], "<u4")
-    out = zip(head["doc_ids"], (held > 0).tolist(), n_words.tolist(), known.tolist(), total[0].tolist(),
-              total[1].tolist(), strict=True)
-    return pa.Table.from_batches([_batch(list(out), _SCORED)])
+def _sum_block(n_slices: int):
+    def work(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        head = next(r for r in rows if r["kind"] == 1)
+        flat, starts = np.frombuffer(zlib.decompress(head["codes"]), np.uint8), np.frombuffer(head["numbers"], "<i8")
+        (words, word, n_words), (grams, gram, n_grams) = _asked(flat, starts)
+        order, _ = _cuts(np.concatenate([words, grams]), n_slices)
+        value = np.empty(len(order))
+        answers = sorted((r for r in rows if r["kind"] == 0), key=lambda r: r["slice"])
+        value[order] = np.concatenate([np.frombuffer(r["numbers"], "<f8") for r in answers] or [np.zeros(0)])
+        counts, logs = value[:len(words)][word], value[len(words):][gram]
+        n = len(n_words)
+        of_word, of_gram = np.repeat(np.arange(n), n_words), np.repeat(np.arange(n), n_grams)
+        known = np.bincount(of_word, counts > 0, minlength=n).astype(np.int64)
+        out = zip(head["doc_ids"], (np.frombuffer(head["held"], "u1") > 0).tolist(), n_words.tolist(), known.tolist(),
+                  np.bincount(of_word, np.log10(counts + 1), minlength=n).tolist(),
+                  np.bincount(of_gram, logs, minlength=n).tolist(), strict=True)
+        release()
+        return pa.Table.from_batches([_batch(list(out), _SCORED)])
+
+    return work
 
 
 def score(documents: DataFrame, fold: int = 7, held: int = 2) -> DataFrame:
@@ -366,9 +482,9 @@ def score(documents: DataFrame, fold: int = 7, held: int = 2) -> DataFrame:
     text, ``n_known`` the tokens seen in training. A null or empty text is its end alone. Repeated rows are separate
     texts; an empty table has no result; without training texts every symbol is unknown.
 
-    Words are counted once over the corpus; the tree is fitted on the distinct words and their counts, and every
-    distinct word is scored once. Words of documents and scored words meet by slices of a 64-bit word hash, so a
-    document's sums are added up from its slices and no vocabulary is held whole by any task.
+    Words and grams (a symbol and its context) are counted once over the corpus, and every distinct gram is scored once,
+    in written tables. A block of documents asks slices of a 64-bit hash for the values of its distinct words and grams,
+    so no vocabulary and no tree is held whole by any task, nor by the driver.
     """
     spark = documents.sparkSession
     n_slices = partitions(spark)
@@ -380,16 +496,15 @@ def score(documents: DataFrame, fold: int = 7, held: int = 2) -> DataFrame:
     n_texts = rows.where("NOT held_out").count()
     n_train = totals[0] + n_texts
     size = n_train + totals[1] + (n_texts > 0) + 1
-    tree = Tree(fit_states(words, n_texts).toArrow())  # at most MOST_STATES contexts and their suffixes
-    shared = spark.sparkContext.broadcast(tree)
+    grams = fit_texts(stage(gram_counts(rows), "tree-grams"))
 
-    texts = rows.mapInArrow(_deal_texts(n_slices), _DEALT)
-    scored = words.mapInArrow(_deal_words(shared, n_slices), _DEALT)
-    sums = texts.unionAll(scored).groupBy("slice").applyInArrow(_sum_slice, _DEALT)
-    sums = sums.groupBy("block").applyInArrow(_sum_block, _SCORED)
+    asked = rows.mapInArrow(_ask(n_slices), _ASKED)
+    told = words.mapInArrow(_tell(n_slices, True), _ASKED).unionAll(grams.mapInArrow(_tell(n_slices, False), _ASKED))
+    answers = asked.unionAll(told).groupBy("slice").applyInArrow(_answer, _ASKED)
+    sums = answers.groupBy("block").applyInArrow(_sum_block(n_slices), _SCORED)
     n_tokens = F.col("n_words") + 1
     return sums.select(
         "doc_id", "held_out", n_tokens.alias("n_tokens"),
         (F.col("known") + int(n_texts > 0)).alias("n_known"), F.lit(n_train).cast("long").alias("train_tokens"),
         (F.col("base") + math.log10(n_texts + 1) - n_tokens * math.log10(size)).alias("base_score"),
-        (F.col("logs") + tree.text_end()).alias("score"))
+        F.col("logs").alias("score"))

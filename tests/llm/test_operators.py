@@ -456,6 +456,65 @@ def test_tree_is_a_distribution(spark):
         assert math.isclose(total + unknown, 1, rel_tol=1e-9)
 
 
+def plain_tree(texts, held, depth=suffix_tree.DEPTH):
+    """log10 probability of every text; every context in a dictionary."""
+    def grams(text):
+        symbols = [x for w in words((text or "").translate(FOLD)) for x in (*w, "END")] + ["STOP"]
+        full = ["START"] * depth + symbols
+        return [(tuple(full[i:i + depth]), s) for i, s in enumerate(symbols)]
+
+    counts = [defaultdict(Counter) for _ in range(depth + 1)]
+    for text, out in zip(texts, held, strict=True):
+        for context, symbol in [] if out else grams(text):
+            for d in range(depth + 1):
+                counts[d][context[depth - d:]][symbol] += 1
+    states = set()
+    for d in range(1, depth + 1):
+        for context, after in counts[d].items():
+            up, total = counts[d - 1][context[1:]], after.total()
+            gain = sum(n * math.log(n / total / (up[s] / up.total())) for s, n in after.items())
+            if gain >= suffix_tree.DIVERGENCE * len(after):
+                states |= {context[i:] for i in range(d)}
+    root = counts[0][()]
+    size = root.total() + len(root) + 1
+
+    def p(context, symbol):
+        if not context:
+            return (root[symbol] + 1) / size if root[symbol] else 1 / size / suffix_tree.N_CODE_POINTS
+        up, after = p(context[1:], symbol), counts[len(context)][context]
+        prior = suffix_tree.PRIOR
+        return (after[symbol] + prior * up) / (after.total() + prior) if context in states else up
+
+    return [sum(math.log10(p(*gram)) for gram in grams(text)) for text in texts], states
+
+
+def test_suffix_tree_equals_a_plain_one(spark, corpus):
+    rows, _ = corpus
+    rows = [r for r in rows if r[0] != -6][:70]
+    held = [zlib.crc32(str("" if r[0] is None else r[0]).encode()) % 7 == 2 for r in rows]
+    want, states = plain_tree([r[1] for r in rows], held)
+    assert any("END" in context[:-1] for context in states)
+    got = sorted((r.doc_id or 0, r.score) for r in suffix_tree.score(spark.createDataFrame(rows, DOCS)).collect())
+    for (doc, score), (own, plain) in zip(got, sorted((r[0] or 0, x) for r, x in zip(rows, want, strict=True)), strict=True):
+        assert doc == own and math.isclose(score, plain, rel_tol=1e-9)
+
+
+def test_word_order_counts(spark):
+    rng = np.random.default_rng(5)
+    pairs = [("alpha", "zulu"), ("bravo", "yankee"), ("carol", "xray"), ("delta", "whisky")]
+    texts = [" ".join(w for i in rng.integers(0, 4, 40) for w in pairs[i]) for _ in range(60)]
+    shuffled = [" ".join(rng.permutation(t.split())) for t in texts[:20]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    held = [i for i in range(1000, 1400) if zlib.crc32(str(i).encode()) % 7 == 2][:20]
+    more = [(i, t) for i, t in zip(held, shuffled, strict=True)] + [(i, t) for i, t in zip(held, texts, strict=False)]
+    by_id = defaultdict(list)
+    for r in suffix_tree.score(docs.unionAll(spark.createDataFrame(more, "doc_id long, text string"))).collect():
+        by_id[r.doc_id].append((r.base_score, r.score))
+    for i in held:
+        (base, low), (again, high) = sorted(by_id[i], key=lambda x: x[1])
+        assert math.isclose(base, again) and high > low / 2
+
+
 # -- 10 ----------------------------------------------------------------------------------------------------------
 
 def plain_targets(sizes, weights=(1, 2, 3)):
