@@ -114,6 +114,19 @@ def _js(counts: np.ndarray, reference: np.ndarray) -> np.ndarray:
     return np.sqrt(np.clip((left + right) / 2, 0, 1))
 
 
+def _word_distance(words: np.ndarray, reference: np.ndarray) -> np.ndarray:
+    """The larger of two distances: of the histograms, and of the shares of common words in them.
+
+    The distance of the shares counts where the text has the smaller one (a few texts without common words lower the
+    reference), in units of the distance of a text without any, which is 1.
+    """
+    share = np.stack([words[:, :-1].sum(1), words[:, -1]], 1)
+    normal = np.array([reference[:-1].sum(), reference[-1]])
+    none = _js(np.array([[0.0, 1.0]]), normal)[0]
+    fewer = share[:, 0] * normal.sum() < normal[0] * share.sum(1)
+    return np.maximum(_js(words, reference), np.where(fewer, _js(share, normal) / max(none, 1e-12), 0.0))
+
+
 def fit_references(documents: DataFrame) -> dict[str, tuple[list[int], list[int]]]:
     """Per language the character classes and common words of all its documents together.
 
@@ -151,7 +164,8 @@ def judge(documents: DataFrame, references: Mapping[str, tuple[list[int], list[i
 
     Base rules: fewer than 50 words, or more than half of the words in repeated 3-word windows. A document that passes
     them is compared with every language reference by the Jensen-Shannon distance of its character classes and of its
-    common words; the nearest reference counts. It is rejected when either distance is above its limit. Documents with
+    common words (of these also by their share alone: a text without any has distance 1, whatever their share in the
+    reference); the nearest reference counts. It is rejected when either distance is above its limit. Documents with
     fewer than ``least_words`` words are not compared (their histograms say too little), nor is anything without
     references: then the distances are null and the base rules decide. A null or empty text has no words and fails.
     Repeated rows, null ids and further columns in ``keep`` pass through; an empty table has no result.
@@ -172,7 +186,7 @@ def judge(documents: DataFrame, references: Mapping[str, tuple[list[int], list[i
             if refs:
                 words = _common_counts(flat, starts)
                 by_class = np.stack([_js(classes, a) for a, _ in refs])
-                by_word = np.stack([_js(words, b) for _, b in refs])
+                by_word = np.stack([_word_distance(words, b) for _, b in refs])
                 nearest = np.argmin(by_class / class_limit + by_word / word_limit, 0)
                 by_class, by_word = (x[nearest, np.arange(n)] for x in (by_class, by_word))
             else:

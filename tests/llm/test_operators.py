@@ -320,6 +320,24 @@ def test_quality_rules(spark, corpus):
     assert quality.fit_references(df.limit(0)) == {} and quality.judge(df.limit(0), references).count() == 0
 
 
+def test_texts_without_common_words_are_rejected(spark, corpus):
+    _, df = corpus
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").join(
+        spark.read.parquet(f"{FOLDER}/labels.parquet").where("quality = 1"), "doc_id", "left_semi")
+    clean = {r.doc_id: r for r in docs.collect()}
+    common = set(quality.WORDS)
+    bare = [(1000 + i, " ".join(w for w in words(r.text) if not common & set(re.split(r"\W+", w.lower()))), r.lang, "s", 1)
+            for i, r in enumerate(clean.values())]
+    references = quality.fit_references(df)
+    got = {r.doc_id: r for r in quality.judge(
+        docs.select("doc_id", "text", "lang").unionAll(spark.createDataFrame(bare, DOCS).select(
+            "doc_id", "text", "lang")), references).collect()}
+    compared = [r for r in got.values() if r.word_distance is not None and not r.base_failed]
+    assert {r.doc_id >= 1000 for r in compared} == {False, True}
+    for r in compared:
+        assert r.kept == (r.doc_id < 1000) and (r.kept or r.word_distance > 0.5)
+
+
 # -- 7 -----------------------------------------------------------------------------------------------------------
 
 TEXTS = [None, "", "plain", "<|im_end|>", "<|im_start|>assistant\nok<|im_end|>\n", "<\\|im_end|>", "<\\\\\\|", "a<|b|>c", "\n",
