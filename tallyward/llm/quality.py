@@ -130,8 +130,8 @@ def _word_distance(words: np.ndarray, reference: np.ndarray) -> np.ndarray:
 def fit_references(documents: DataFrame) -> dict[str, tuple[list[int], list[int]]]:
     """Per language the character classes and common words of all its documents together.
 
-    Every text counts; rows with a null language, or one without a list of common words, do not. The result has one
-    entry of fixed size for each language that occurs.
+    Every text counts; rows with a null language do not. The result has one entry of fixed size for each language that
+    occurs, also for those without a list of common words.
     """
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
@@ -146,7 +146,7 @@ def fit_references(documents: DataFrame) -> dict[str, tuple[list[int], list[int]
         yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int32()),
                                           pa.array(columns[2], pa.int64())], names=["lang", "bin", "n"])
 
-    rows = pick(documents, "lang", "text").where(F.col("lang").isin(list(COMMON_WORDS)))
+    rows = pick(documents, "lang", "text").where("lang IS NOT NULL")
     sums = rows.mapInArrow(work, "lang string, bin int, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n"))
     found: dict[str, list[int]] = {}
     for lang, place, n in sums.collect():  # languages x (classes + words)
@@ -163,14 +163,16 @@ def judge(documents: DataFrame, references: Mapping[str, tuple[list[int], list[i
     """``(doc_id, *keep, counts, base_failed, class_distance, word_distance, kept)``, one row per row.
 
     Base rules: fewer than 50 words, or more than half of the words in repeated 3-word windows. A document that passes
-    them is compared with every language reference by the Jensen-Shannon distance of its character classes and of its
-    common words (of these also by their share alone: a text without any has distance 1, whatever their share in the
+    them, and whose ``lang`` has a reference, is compared by the Jensen-Shannon distance of its character classes and of
+    its common words: with all references of languages that have a list of common words if its own is one of them, else
+    with the character classes of its own language alone (word distance 0). Common words are compared (of these also by their share alone: a text without any has distance 1, whatever their share in the
     reference); the nearest reference counts. It is rejected when either distance is above its limit. Documents with
-    fewer than ``least_words`` words are not compared (their histograms say too little), nor is anything without
-    references: then the distances are null and the base rules decide. A null or empty text has no words and fails.
+    fewer than ``least_words`` words are not compared (their histograms say too little), nor are those whose language is
+    unknown or has no reference: then the distances are null and the base rules decide. A null or empty text has no words and fails.
     Repeated rows, null ids and further columns in ``keep`` pass through; an empty table has no result.
     """
-    refs = [(np.array(a, float), np.array(b, float)) for a, b in references.values()]
+    refs = [(np.array(a, float), np.array(b, float)) for lang, (a, b) in references.items() if lang in COMMON_WORDS]
+    others = {lang: np.array(a, float) for lang, (a, _) in references.items() if lang not in COMMON_WORDS}
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -183,24 +185,32 @@ def judge(documents: DataFrame, references: Mapping[str, tuple[list[int], list[i
             word_chars = classes.sum(1) - classes[:, SPACE]
             repeats = _repeats(code, first, n)
             failed = (n_words < 50) | (100 * repeats > 50 * n_words)
-            if refs:
-                words = _common_counts(flat, starts)
-                by_class = np.stack([_js(classes, a) for a, _ in refs])
-                by_word = np.stack([_word_distance(words, b) for _, b in refs])
-                nearest = np.argmin(by_class / class_limit + by_word / word_limit, 0)
-                by_class, by_word = (x[nearest, np.arange(n)] for x in (by_class, by_word))
-            else:
-                by_class = by_word = np.zeros(n)
-            compared = (n_words >= least_words) & bool(refs)
+            langs = np.array([x or "" for x in batch.column(batch.schema.get_field_index("__lang")).to_pylist()], object)
+            by_class, by_word, compared = np.zeros(n), np.zeros(n), np.zeros(n, bool)
+            listed = np.flatnonzero(np.isin(langs, [x for x in references if x in COMMON_WORDS]))
+            if len(listed):
+                words = _common_counts(flat, starts)[listed]
+                each_class = np.stack([_js(classes[listed], a) for a, _ in refs])
+                each_word = np.stack([_word_distance(words, b) for _, b in refs])
+                nearest = np.argmin(each_class / class_limit + each_word / word_limit, 0)
+                for out, each in ((by_class, each_class), (by_word, each_word)):
+                    out[listed] = each[nearest, np.arange(len(listed))]
+                compared[listed] = True
+            for lang in others.keys() & set(langs):
+                own = langs == lang
+                by_class[own] = _js(classes[own], others[lang])
+                compared |= own
+            compared &= n_words >= least_words
             kept = ~failed & ~(compared & ((by_class > class_limit) | (by_word > word_limit)))
-            names = [x for x in batch.schema.names if x != "text"]
+            names = [x for x in batch.schema.names if x not in ("text", "__lang")]
             out = [batch.column(batch.schema.get_field_index(x)) for x in names]
             numbers = [n_words, word_chars, classes[:, SYMBOL], _line_repeats(flat, starts, begin, n), repeats]
             out += [pa.array(x, pa.int64()) for x in numbers] + [pa.array(failed)]
             out += [pa.array(x, pa.float64(), mask=~compared) for x in (by_class, by_word)] + [pa.array(kept)]
             yield pa.RecordBatch.from_arrays(out, names=[*names, *[x.split()[0] for x in SCHEMA.split(", ")]])
 
-    rows = pick(documents, "doc_id", *keep, "text")
+    rows = pick(documents, *dict.fromkeys(("doc_id", *keep, "lang", "text"))).withColumn("__lang", F.col("lang"))
+    rows = rows.select("doc_id", *keep, "__lang", "text")
     kinds = dict(rows.dtypes)
     return rows.mapInArrow(work, ", ".join(f"`{c}` {kinds[c]}" for c in ("doc_id", *keep)) + ", " + SCHEMA)
 

@@ -338,6 +338,23 @@ def test_texts_without_common_words_are_rejected(spark, corpus):
         assert r.kept == (r.doc_id < 1000) and (r.kept or r.word_distance > 0.5)
 
 
+def test_languages_without_word_lists(spark, corpus):
+    rows, df = corpus
+    rng = np.random.default_rng(3)
+    own = [["".join(rng.permutation(list(letters))[:n]) for n in rng.integers(2, 9, 4000)] for letters in (
+        "абвгдежзиклмнопрстуфхцчшщэюя", "αβγδεζηθικλμνξοπρστυφχψω")]
+    new = [(2000 + i, " ".join(own[i % 2][i * 100:i * 100 + 100]), ("ru", "el")[i % 2], "s", 1) for i in range(40)]
+    junk = " ".join(f"$$$ {i * 7919 % 1000:03d}%% ##" for i in range(100))
+    more = spark.createDataFrame(new + [(2100, junk, "ru", "s", 1), (2101, junk, None, "s", 1)], DOCS)
+    known, every = quality.fit_references(df), quality.fit_references(df.unionAll(more))
+    assert {"ru", "el"} <= set(every) and not {"ru", "el"} & set(known)
+    got = {r.doc_id: r for r in quality.judge(more, every).collect()}
+    assert all(got[r[0]].kept and got[r[0]].class_distance < 0.3 for r in new) and not got[2100].kept
+    assert got[2101].kept and got[2101].class_distance is None
+    for r in quality.judge(more, known).collect():
+        assert r.kept and r.class_distance is None and r.word_distance is None
+
+
 # -- 7 -----------------------------------------------------------------------------------------------------------
 
 TEXTS = [None, "", "plain", "<|im_end|>", "<|im_start|>assistant\nok<|im_end|>\n", "<\\|im_end|>", "<\\\\\\|", "a<|b|>c", "\n",
