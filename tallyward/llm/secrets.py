@@ -29,6 +29,11 @@ UNICODE = re.compile(
     r"(?:\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&\#[0-9]{1,7};|&\#[xX][0-9A-Fa-f]{1,6};)+")
 ONE_UNICODE = re.compile(r"\\u\{[0-9A-Fa-f]+\}|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&\#[^;]+;")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+# Base64 over several lines: a run up to the end of its line, and lines of such characters alone up to the last.
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:[\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/_-]++)+={0,2}")
+LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+# Bytes that no secret and no encoded run holds: a long stream is cut at one.
+SAFE = re.compile(rb"""[^A-Za-z0-9+/_.=\-"'\s:\\%&#;{}\x80-\xff]""")
 
 Span = tuple[int, int, int]  # start, place in KINDS, end
 
@@ -54,13 +59,12 @@ class Layer:
         return int(self.starts[start:end].min()), int(self.ends[start:end].max())
 
 
-def _plain(data: bytes) -> str | None:
-    """Decoded bytes as text, if they are text: UTF-8, printable or white space."""
+def _plain(data: bytes) -> tuple[str, bool]:
+    """Decoded bytes as text, and whether they are UTF-8; other bytes are one character each, so that none hides a secret."""
     try:
-        text = data.decode()
+        return data.decode(), True
     except UnicodeDecodeError:
-        return None
-    return text if text and all(part.isprintable() for part in re.split(r"[\t\n\r]", text)) else None
+        return data.decode("latin-1"), False
 
 
 def _char_bytes(text: str) -> np.ndarray:
@@ -105,47 +109,117 @@ def _replaced(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
     return Layer("".join(pieces), starts, ends)
 
 
-def _percent(run: str) -> str | None:
-    return _plain(unquote_to_bytes(run))
+def _percent(run: str) -> str:
+    return _plain(unquote_to_bytes(run))[0]
 
 
-def _inflate(data: bytes, most: int) -> bytes | None:
-    """Bytes of a gzip or zlib stream, at most ``most`` of them; None if it is none or longer."""
+def _opens(data: bytes) -> bool:
+    """Whether data begin with a gzip or zlib stream."""
     if data[:2] != b"\x1f\x8b" and not (data[:1] == b"x" and len(data) > 2 and (data[0] << 8 | data[1]) % 31 == 0):
-        return None
+        return False
     try:
-        stream = zlib.decompressobj(47)
-        out = stream.decompress(data, most)
+        return bool(zlib.decompressobj(47).decompress(data, 64))
     except zlib.error:
+        return False
+
+
+def _inflate(data: bytes, most: int) -> Iterator[str]:
+    """What gzip or zlib streams, one after the other, hold, in pieces of about ``most`` bytes.
+
+    A broken or cut stream gives what came before the break. A piece ends before a byte that no match spans; if there is
+    none near its end, the next one begins with the last thousand bytes again.
+    """
+    while _opens(data):
+        stream, held, rest = zlib.decompressobj(47), b"", data
+        while not stream.eof:
+            try:
+                out = stream.decompress(rest, most)
+            except zlib.error:
+                break
+            if not out:
+                break
+            held, rest = held + out, stream.unconsumed_tail
+            if len(held) >= most and not stream.eof:
+                cuts = [m.start() for m in SAFE.finditer(held, max(0, len(held) - 100_000))]
+                yield _plain(held[:cuts[-1]] if cuts else held)[0]
+                held = held[cuts[-1] if cuts else max(1, len(held) - 1000):]
+        if held:
+            yield _plain(held)[0]
+        if not stream.eof:
+            return
+        data = stream.unused_data
+
+
+def _base64(body: str) -> bytes | None:
+    body = body.rstrip("=").translate({45: 43, 95: 47})
+    if len(body) % 4 == 1:
         return None
-    return out if stream.eof else None
+    try:
+        return base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
+    except binascii.Error:
+        return None
+
+
+def _worth(text: str) -> bool:
+    return bool(PERCENT.search(text) or UNICODE.search(text) or BASE64.search(text) or scan(text))
+
+
+def _joined(text: str) -> Iterator[tuple[list[re.Match], bytes, bool]]:
+    """Lines that may be one base64 run, what they encode, and whether that is text or a compressed stream.
+
+    All lines of a run but the first (which may follow other text) and the last (shorter) have one width. The lines before
+    and after may be words that only look like base64, so runs without them are tried as well.
+    """
+    for m in WRAPPED.finditer(text):
+        lines = list(LINE.finditer(text, m.start(), m.end()))
+        i = 0
+        while i + 1 < len(lines):
+            width, j = len(lines[i + 1][0]), i + 1
+            while j + 1 < len(lines) and len(lines[j][0]) == width >= len(lines[j + 1][0].rstrip("=")):
+                j += 1
+            tried = []
+            for a, b in [(i, j), (i + 1, j), (i, j - 1), (i + 1, j - 1)]:
+                data = _base64("".join([x[0] for x in lines[a:b + 1]])) if a < b else None
+                if data is not None:
+                    good = _opens(data) or _plain(data)[1]
+                    tried.append((lines[a:b + 1], data, good))
+                    if good:
+                        break
+            yield from tried[-1:] if tried and tried[-1][2] else tried
+            i = j
 
 
 def _encoded(layer: Layer, most: int) -> Iterator[Layer]:
-    """Layers inside base64 runs: text, or a compressed stream of text."""
-    for m in BASE64.finditer(layer.text):
-        body = m[0].rstrip("=")
-        if len(body) % 4 == 1:
+    """Layers inside base64 runs, on one line or wrapped: text, or the text of a compressed stream."""
+    runs = list(_joined(layer.text))
+    whole = {x.start() for lines, _, good in runs if good for x in lines}
+    single = ([m] for m in BASE64.finditer(layer.text) if m.start() not in whole)
+    for lines, data in [*((x, y) for x, y, _ in runs), *((x, _base64(x[0][0])) for x in single)]:
+        if data is None:
             continue
-        try:
-            data = base64.b64decode(body.translate({45: 43, 95: 47}) + "=" * (-len(body) % 4), validate=True)
-        except binascii.Error:
+        if _opens(data):
+            for text in _inflate(data, most):
+                yield _mapped(layer, text, np.full(len(text), lines[0].start()), np.full(len(text), lines[-1].end()))
             continue
-        text = _plain(data)
-        if text is not None:
-            place = _char_bytes(text)
+        text, utf8 = _plain(data)
+        if _worth(text):
+            place = _char_bytes(text) if utf8 else np.arange(len(data) + 1)
             first, last = place[:-1], place[1:] - 1
-            starts = m.start() + first // 3 * 4 + first % 3
-            ends = np.minimum(m.start() + last // 3 * 4 + last % 3 + 2, m.end())
-        else:
-            unpacked = _inflate(data, most)
-            text = None if unpacked is None else _plain(unpacked)
-            if text is None:
-                continue
-            starts, ends = np.full(len(text), m.start()), np.full(len(text), m.end())
-        if layer.starts is not None:
-            starts, ends = layer.starts[starts], layer.ends[ends - 1]
-        yield Layer(text, starts, ends)
+            where = np.concatenate([np.arange(x.start(), x.end()) for x in lines])
+            yield _mapped(layer, text, where[first // 3 * 4 + first % 3],
+                          where[np.minimum(last // 3 * 4 + last % 3 + 1, len(where) - 1)] + 1)
+
+
+def _mapped(layer: Layer, text: str, starts: np.ndarray, ends: np.ndarray) -> Layer:
+    return Layer(text, starts, ends) if layer.starts is None else Layer(text, layer.starts[starts], layer.ends[ends - 1])
+
+
+def _children(layer: Layer, most: int) -> Iterator[Layer]:
+    found = [_replaced(layer, PERCENT, _percent)] if "%" in layer.text else []
+    if "\\" in layer.text or "&#" in layer.text:
+        found.append(_replaced(layer, UNICODE, _unescape))
+    yield from filter(None, found)
+    yield from _encoded(layer, most)
 
 
 def _mark(layer: Layer) -> tuple[bytes, int, int]:
@@ -160,31 +234,26 @@ def find(text: str, most: int = 64 << 20) -> tuple[list[Span], list[Span]]:
     Worklist until fixpoint: each layer is scanned, then unwrapped in every way that applies (percent escapes, Unicode
     escapes, base64, compressed base64); a layer whose text was seen before at the same place is not opened again, so
     cycles end and every copy of a repeated blob is opened.
-    ``most`` is the safety bound in bytes for one compressed stream, against decompression bombs.
+    Bytes that are not text do not keep a layer closed. A compressed stream is read in pieces of about ``most`` bytes, one
+    at a time, against decompression bombs.
     """
     base = scan(text)
     spans = set(base)
     seen = {_mark(Layer(text))}
-    work = [Layer(text)]
+    work = [_children(Layer(text), most)]
     while work:
-        layer = work.pop()
-        children = []
-        if "%" in layer.text:
-            children.append(_replaced(layer, PERCENT, _percent))
-        if "\\" in layer.text or "&#" in layer.text:
-            children.append(_replaced(layer, UNICODE, _unescape))
-        children += _encoded(layer, most)
-        for child in children:
-            if child is None:
-                continue
-            mark = _mark(child)
-            if mark in seen:
-                continue
-            seen.add(mark)
-            for start, kind, end in scan(child.text):
-                first, last = child.origin(start, end)
-                spans.add((first, kind, last))
-            work.append(child)
+        child = next(work[-1], None)
+        if child is None:
+            work.pop()
+            continue
+        mark = _mark(child)
+        if mark in seen:
+            continue
+        seen.add(mark)
+        for start, kind, end in scan(child.text):
+            first, last = child.origin(start, end)
+            spans.add((first, kind, last))
+        work.append(_children(child, most))
     return base, sorted(spans)
 
 

@@ -275,6 +275,39 @@ def test_every_copy_of_a_blob_is_opened(layers):
     assert inner not in secrets.redact(text, spans) and secrets.redact(text, spans).count("[SECRET]") == 3
 
 
+@pytest.mark.parametrize("odd", ["\ufeff", "\u00a0", "\u200b", "\x1b[0m", "\x00"])
+def test_odd_characters_hide_nothing(odd):
+    for layers in [("url",), ("b64",), ("gzip",), ("b64", "gzip")]:
+        inner = nested(f"{odd} see {KEY} ok", *layers)
+        spans = secrets.find(f"a {inner} b")[1]
+        assert [1] == [kind for _, kind, _ in spans] and inner not in secrets.redact(f"a {inner} b", spans)
+    raw = base64.b64encode(b"\xff\xfe " + KEY.encode() + b" \x80").decode()
+    assert [kind for _, kind, _ in secrets.find(f"a {raw} %FF%41" + "KIA" + KEY[4:])[1]] == [1, 1]
+
+
+@pytest.mark.parametrize("width", [64, 76])
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\n    "])
+@pytest.mark.parametrize("layer", ["b64", "gzip"])
+def test_wrapped_base64(width, end, layer):
+    rng = np.random.default_rng(1)
+    words = " ".join(map(str, rng.integers(0, 1 << 40, 30)))
+    for shift in range(0, 48, 5):
+        inner = nested(f"{'x' * shift} see {KEY} and {words} password=hunter2hunter {words}", layer)
+        wrapped = end.join(inner[i:i + width] for i in range(0, len(inner), width))
+        for before, after in [("", ""), ("mail: ", " end"), ("Content-Transfer-Encoding-base64\n", "\nregards")]:
+            text = before + wrapped + after
+            spans = secrets.find(text)[1]
+            assert {1, 0} <= {kind for _, kind, _ in spans}
+            assert all(len(before) <= a < b <= len(before) + len(wrapped) for a, _, b in spans)
+
+
+def test_long_streams_are_scanned_in_pieces():
+    for filler in ["lorem ipsum, ", "x"]:
+        inner = nested(filler * 3000 + f" {KEY} " + filler * 3000 + " password=hunter2hunter " + filler * 9, "gzip")
+        text = f"a {inner} b"
+        assert secrets.find(text, 5000)[1] == secrets.find(text)[1] == [(2, 0, len(text) - 2), (2, 1, len(text) - 2)]
+
+
 def test_scan_documents(spark, corpus):
     rows, df = corpus
     hard = spark.createDataFrame([(900, f"password='hunter2x' {KEY} " + "a1" * 15, None, None, None)], DOCS)
