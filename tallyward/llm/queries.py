@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyward.llm import (
-    bpe, chat, embedding_join, group_join, mixing, quality, secrets, suffix_tree, token_shards, url_rules)
+    alignment, bpe, chat, embedding_join, group_join, mixing, quality, secrets, suffix_tree, token_counts, token_shards,
+    turn_repair, url_rules)
 from tallyward.llm.common import pick
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,11 +54,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-# The vocabulary file of the queries; the operators take its path as a parameter.
-def vocabulary() -> str:
+# The vocabulary files of the queries; the operators take their paths as parameters.
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 # -- op1 ---------------------------------------------------------------------------------------------------------
@@ -191,3 +192,25 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"), table(spark, folder, "labels")).select(
         "doc_id", "source", "size", "source_size", "target", "epochs", "taken")
+
+
+# -- op11 --------------------------------------------------------------------------------------------------------
+
+@query("op11_token_alignment")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.alignment_report(
+        table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
+# -- op12 --------------------------------------------------------------------------------------------------------
+
+@query("op12_token_counts")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, folder, "documents"), vocabulary())
+
+
+# -- op13 --------------------------------------------------------------------------------------------------------
+
+@query("op13_turn_repair")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return turn_repair.repair_report(table(spark, folder, "conversations"))
