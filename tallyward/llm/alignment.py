@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tallyward.llm.common import pick, ramp, slices, span_codes, stage, text_bytes
 
 CACHE_ENTRIES = 400_000
-SLICE = 8 << 20
+SLICE, BLOCK = 2 << 20, 16 << 20  # bytes of text
 _BLANK = "▁"
 
 
@@ -278,21 +278,38 @@ _COPIED = ("n_a", "n_b", "n_groups", "n_links")
 
 
 def _blocks(first: str, second: str):
+    def block(number: int, held: list[tuple]) -> pa.RecordBatch:
+        doc_ids, n_a, n_b, n_groups, n_links, digests, pairs, places, counts = zip(*held, strict=True)
+        known, at = np.unique(np.concatenate(pairs), return_inverse=True)
+        sums = np.bincount(at, np.concatenate(counts), minlength=len(known)).astype(np.int64)
+        cut = np.cumsum([0, *map(len, pairs)])
+        kind = "<u2" if len(known) <= 1 << 16 else "<u4"
+        links = b"".join([at[a:b][place].astype(kind).tobytes()
+                          for a, b, place in zip(cut[:-1], cut[1:], places, strict=True)])
+        row = [number, *(np.concatenate(x) for x in (doc_ids, n_a, n_b, n_groups, n_links)), sum(digests, []), links,
+               known, sums]
+        kinds = [pa.int64()] + [pa.list_(pa.int64())] * 5 + [pa.list_(pa.string()), pa.binary()]
+        kinds += [pa.list_(pa.int64())] * 2
+        return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds, strict=True)],
+                                          names=[f.split()[0] for f in _BLOCK.split(", ")])
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        for seq, batch in enumerate(slices(batches, "text", SLICE)):
-            found = Aligned(*text_bytes(batch.column(1)), pair(first, second))
+        part, seq, held, size = TaskContext.get().partitionId(), 0, [], 0
+        for batch in slices(batches, "text", SLICE):
+            flat, starts = text_bytes(batch.column(1))
+            found = Aligned(flat, starts, pair(first, second))
             linked = found.ids[found.link_a] << 32 | found.ids[found.link_b]
             pairs, place, counts = np.unique(linked, return_inverse=True, return_counts=True)
             digests = [hashlib.sha256(x).hexdigest() if x else "" for x in found.written()]
-            places = place.astype("<u2" if len(pairs) <= 1 << 16 else "<u4")
-            row = [part << 32 | seq, batch.column(0).to_pylist(), found.per_text(np.flatnonzero(found.side == 0)),
-                   found.per_text(np.flatnonzero(found.side == 1)), found.per_text(found.first_of_group()),
-                   found.per_text(found.link_a), digests, places.tobytes(), pairs, counts]
-            kinds = [pa.int64()] + [pa.list_(pa.int64())] * 5 + [pa.list_(pa.string()), pa.binary()]
-            kinds += [pa.list_(pa.int64())] * 2
-            yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds, strict=True)],
-                                             names=[f.split()[0] for f in _BLOCK.split(", ")])
+            held.append((np.array(batch.column(0).to_pylist(), object), found.per_text(np.flatnonzero(found.side == 0)),
+                         found.per_text(np.flatnonzero(found.side == 1)), found.per_text(found.first_of_group()),
+                         found.per_text(found.link_a), digests, pairs, place.astype("<u4"), counts))
+            size += len(flat)
+            if size >= BLOCK:
+                yield block(part << 32 | seq, held)
+                seq, held, size = seq + 1, [], 0
+        if held:
+            yield block(part << 32 | seq, held)
 
     return work
 
@@ -332,9 +349,10 @@ def alignment_report(documents: DataFrame, first: str, second: str) -> DataFrame
     is the most frequent one of its second id (ties included). ``groups_sha256`` is the digest of the groups written as
     ``a1,a2|b1;a3|b2,b3``, or empty without tokens. Cases as in ``align``.
 
-    Texts are encoded once, in slices of about 8 MB (a longer text is a slice of its own), into a written table of one row
-    per slice: what its documents hold, its distinct pairs with their numbers, and its links as places among these. Only
-    distinct pairs of slices are shuffled by pair; their counts come back to the slice, not to the driver.
+    Texts are encoded once, in slices of about 2 MB (a longer text is a slice of its own), into a written table of one row
+    per block of about 16 MB: what its documents hold, its distinct pairs with their numbers, and its links as places
+    among these. Only distinct pairs of blocks are shuffled by pair; their counts come back to the block, not to the
+    driver.
     """
     rows = pick(documents, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     blocks = stage(rows.mapInArrow(_blocks(first, second), _BLOCK), "align-blocks")
