@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from tallyward.functions import calendar_columns, first_where, has, item_total, scan_cost, surrogate_key
 from tallyward.gallery import Tables, query
 from tallyward.gallery.readings import RUNS_SQL, runs
-from tallyward.operators import aggregates, dedup, joins, quality, ranking, reshape
+from tallyward.operators import aggregates, dedup, distinct, joins, quality, ranking, reshape
 from tallyward.operators.nesting import nest
 from tallyward.operators.quality import Check
 from tallyward.plans.checks import FRESHNESS_DAYS
-from tallyward.sources.periods import quarter_label, quarter_labels
+from tallyward.sources import lake
+from tallyward.sources.periods import quarter_label, quarter_labels, quarter_range, recent_quarters
 
 
 @query("overlap_runs", f"WITH {RUNS_SQL} SELECT run_id, source, run_date, overlapped_previous_run FROM runs")
@@ -208,6 +209,50 @@ def matrix_distinct(t: Tables) -> DataFrame:
     return aggregates.matrix(orders, "year", "o_orderstatus", ["F", "O", "P"], distinct="o_custkey")
 
 
+def _customer_cells(t: Tables) -> DataFrame:
+    """Bitmaps of customers by order year and status, from two loads that share customers."""
+    numbers = distinct.number_keys(t.orders, "o_custkey", keep=lake.materialise)
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", F.year("o_orderdate").alias("year")).join(
+        numbers, "o_custkey")
+    by = ["year", "o_orderstatus"]
+    loads = [distinct.bitmap_cells(orders.where(f"o_orderkey % 2 = {i}"), by) for i in (0, 1)]
+    return lake.materialise(distinct.merge_cells(loads, by), "customer_cells")
+
+
+@query("merged_matrix", f"""SELECT y AS year, {_CELLS} FROM (
+  SELECT coalesce(CAST(year(o_orderdate) AS VARCHAR), 'Total') AS y, coalesce(o_orderstatus, 'Total') AS s,
+    count(DISTINCT o_custkey) AS v
+  FROM orders GROUP BY CUBE (year(o_orderdate), o_orderstatus)) GROUP BY 1""".replace(
+    _CELLS, ", ".join(f"max(v) FILTER (s = '{s}') AS {s}" for s in ["F", "O", "P", "Total"])))
+def merged_matrix(t: Tables) -> DataFrame:
+    """The distinct matrix from stored bitmaps; its totals are unions of cells."""
+    return distinct.matrix_of_cells(_customer_cells(t), "year", "o_orderstatus", ["F", "O", "P"])
+
+
+@query("customers_to_date", """SELECT y.year, count(DISTINCT o_custkey) AS customers
+FROM (SELECT DISTINCT year(o_orderdate) AS year FROM orders) y JOIN orders ON year(o_orderdate) <= y.year GROUP BY 1""")
+def customers_to_date(t: Tables) -> DataFrame:
+    """Customers up to each year: a year's cell counts in every later year, no order is read twice."""
+    cells = distinct.merge_cells([_customer_cells(t)], ["year"])
+    last = cells.agg(F.max("year").alias("last"))
+    later = cells.withColumn("last", last.scalar()).select(
+        F.explode(F.sequence("year", "last")).alias("year"), distinct.BUCKET, distinct.CELL)
+    present = cells.select("year").distinct()
+    return joins.restrict_to(distinct.count_cells(later, ["year"], "customers"), present, "year")
+
+
+@query("load_quarters", """SELECT kind, CAST(year(q) AS VARCHAR) || 'Q' || CAST(quarter(q) AS VARCHAR) AS quarter,
+  (SELECT count(*) FROM orders WHERE date_trunc('quarter', o_orderdate) = q) AS orders
+FROM (SELECT 'range' AS kind, unnest(generate_series(DATE '1999-07-01', DATE '2000-10-01', INTERVAL 3 MONTH)) AS q
+  UNION ALL SELECT 'recent', unnest(generate_series(DATE '2000-04-01', DATE '2001-04-01', INTERVAL 3 MONTH)))""")
+def load_quarters(t: Tables) -> DataFrame:
+    """Orders of a range of quarters, and of the five quarters completed before a day."""
+    wanted = [quarter_range(t.spark, "1999Q3", "2000Q4").withColumn("kind", F.lit("range")),
+              recent_quarters(t.spark, 5, "2001-09-29").withColumn("kind", F.lit("recent"))]
+    counts = t.orders.groupBy(quarter_label("o_orderdate").alias("quarter")).agg(F.count("*").alias("orders"))
+    return joins.enrich(wanted[0].unionByName(wanted[1]), counts, "quarter", {"orders": 0})
+
+
 @query("nest_orders", """
 SELECT o_orderkey, CAST(count(l_orderkey) AS BIGINT) AS n_lines, min(l_partkey) FILTER (l_linenumber = 1) AS first_part,
   coalesce(bool_or(l_returnflag = 'R'), false) AS has_return,

@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from tallyward.gallery import Tables, query
 from tallyward.gallery.readings import SEEDS_SQL, aliases, raw_drugs
+from tallyward.operators import sequence
 from tallyward.operators.nesting import nest
 from tallyward.plans import observability
 from tallyward.plans.measures import measure
 from tallyward.plans.reports import batches_over_time
 from tallyward.session import shared_folder
-from tallyward.streaming import intake
+from tallyward.sources.lake import materialise
+from tallyward.streaming import intake, seen
 
 
 def event_messages(t: Tables) -> DataFrame:
@@ -309,10 +311,38 @@ def stream_dedup(t: Tables) -> DataFrame:
     return t.spark.read.parquet(f"{base}/table").groupBy("event_type").agg(F.count("*").alias("n"))
 
 
-@query("order_in_key", "SELECT user_id, 1 AS partitions, count(*) AS n FROM events GROUP BY 1")
+@query("order_in_key", """SELECT event_id, user_id,
+  row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS place FROM events""")
 def order_in_key(t: Tables) -> DataFrame:
-    """All events of a user land in one partition, in offset order."""
-    ordered = intake.order_in_key(t.events.select("user_id", "event_id"), "user_id", "event_id")
-    placed = ordered.select("user_id", F.spark_partition_id().alias("p"))
-    return placed.groupBy("user_id", "p").agg(F.count("*").alias("n")).groupBy("user_id").agg(
-        F.count("*").alias("partitions"), F.sum("n").alias("n"))
+    """The events in order of user and offset, written and read back, each with its place in its user's order."""
+    ordered = materialise(sequence.in_key_order(t.events.select("user_id", "event_id"), "user_id", "event_id"), "ordered")
+    return sequence.number_in_key(ordered, "user_id", "event_id", span=1000)
+
+
+@query("place_by_time", """SELECT event_id, event_type,
+  row_number() OVER (PARTITION BY event_type ORDER BY epoch(date_trunc('second', ts)), event_id) AS place FROM events""")
+def place_by_time(t: Tables) -> DataFrame:
+    """Places of few keys with very many rows, by a time that repeats."""
+    timed = t.events.select("event_id", "event_type", F.unix_timestamp(F.col("ts").cast("timestamp")).alias("second"))
+    return sequence.number_in_key(timed, "event_type", "second", ties=["event_id"], span=86_400).select(
+        "event_id", "event_type", "place")
+
+
+@query("stream_unique", """SELECT event_id, event_type, event_id AS kafka_offset, 4 AS deliveries FROM events""")
+def stream_unique(t: Tables) -> DataFrame:
+    """Every event is sent twice, the second time long after the first, and all of it is read again by a query with
+    another checkpoint; the first delivery stays."""
+    base = shared_folder(t.spark, "stream-unique")
+    sent = t.events.select(F.col("event_id").cast("string").alias("event_id"), "event_type", F.col("event_id").alias("kafka_offset"))
+    again = sent.withColumn("kafka_offset", F.col("kafka_offset") + 1_000_000_000)
+    for part in (sent, again):
+        part.coalesce(1).write.mode("append").parquet(f"{base}/topic")
+    schema = "event_id STRING, event_type STRING, kafka_offset BIGINT"
+    work = seen.unique_batch(f"{base}/table", f"{base}/seen", "event_id", ["kafka_offset"], buckets=8, compact_every=2)
+    for checkpoint in ("first", "second"):
+        topic = intake.open_stream(t.spark, "parquet", schema, max_per_trigger=1, path=f"{base}/topic")
+        intake.start(topic, work, f"{base}/{checkpoint}", once=True).awaitTermination()
+    table = t.spark.read.schema(f"{schema}, batch_id STRING").parquet(f"{base}/table")
+    sizes = t.spark.read.schema(schema).parquet(f"{base}/topic").groupBy("event_id").agg((2 * F.count("*")).alias("deliveries"))
+    return table.join(sizes, "event_id").select(
+        F.col("event_id").cast("bigint").alias("event_id"), "event_type", "kafka_offset", "deliveries")

@@ -1,11 +1,9 @@
-"""Whole-word search of many aliases in many texts.
-
-``match_terms`` turns the theta join into equi joins: every stretch of up to
-``max_words`` runs of word characters, with the separators between them, becomes a join
-key of its text. An alias that starts and ends with a word character occurs as a
-whole word exactly when it equals such a stretch. Other aliases find candidates
-through their core (or first symbol) and are then tested on the text itself, so the
-result equals the regex form for every alias.
+"""Whole-word search of many aliases in many texts, and search for parts of words.
+
+``match_terms`` turns the theta join into one equi join on words: every alias is indexed by its rarest word and that
+word's place in it, every text is exploded once, into its words, each with the few runs around it that an alias can
+cover. A word that meets an alias is verified where it stands. Aliases that start or end with a symbol find candidates
+in the same way and are then tested on the text itself, so the result equals the regex form for every alias.
 """
 
 from __future__ import annotations
@@ -18,21 +16,9 @@ from pyspark.sql import functions as F
 from tallyward.functions.text import literal_regex
 
 
-def _word_stretches(text: Column, word: str, max_words: int) -> Column:
-    """All distinct stretches of 1..max_words word runs, separators included.
-
-    A look-ahead at the start of each run captures the stretch without consuming it, so
-    overlapping stretches all come out of one regex pass per length.
-    """
-    run, gap = f"[{word}]+", f"[^{word}]+"
-
-    def stretch(words: int) -> Column:
-        if words == 1:
-            return F.regexp_extract_all(text, F.lit(run), F.lit(0))
-        pattern = f"(?<![{word}])(?=({run}" + f"{gap}{run}" * (words - 1) + f")(?![{word}]))"
-        return F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
-
-    return F.array_distinct(F.concat(*[stretch(n) for n in range(1, max_words + 1)]))
+def _runs(text: str | Column, word: str) -> Column:
+    """The text cut into runs of word characters and runs of others, in turn."""
+    return F.regexp_extract_all(text, F.lit(f"[{word}]+|[^{word}]+"), F.lit(0))
 
 
 def boundary_pattern(alias: str, word: str = "A-Z0-9") -> str:
@@ -47,48 +33,75 @@ def boundary_pattern_column(alias, word: str = "A-Z0-9") -> Column:
 
 
 def _alias_table(aliases: DataFrame, word: str) -> DataFrame:
-    """Distinct aliases, whether both ends are word characters, and the key that finds them.
-
-    The key is the alias itself, or its core for one that starts or ends with a symbol,
-    or its first symbol when it has no word character at all.
-    """
-    core = F.regexp_replace("alias", f"^[^{word}]+|[^{word}]+$", "")
+    """Distinct aliases as runs, and whether both ends are word characters."""
     return (
         aliases.where(F.col("alias") != "").select("alias", "product_id").distinct()
         .withColumn("__whole", F.col("alias").rlike(f"^[{word}](.*[{word}])?$"))
-        .withColumn("__key", F.when(core != "", core).otherwise(F.substring("alias", 1, 1)))
-        .withColumn("__words", F.size(F.regexp_extract_all("alias", F.lit(f"[{word}]+"), F.lit(0))))
+        .withColumn("__runs", _runs("alias", word))
     )
 
 
+def _indexed(names: DataFrame, words: DataFrame, word: str) -> DataFrame:
+    """Aliases with their rarest word (fewest occurrences in the texts, then the word itself) as ``__term``, and the
+    number of runs before and behind it. An alias with a word that no text holds is left out."""
+    places = names.select("*", F.posexplode("__runs").alias("__left", "__term")).where(
+        F.col("__term").rlike(f"^[{word}]"))
+    several = places.groupBy("alias", "product_id").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(
+        "alias", "product_id")
+    wanted = places.join(several, ["alias", "product_id"], "left_semi").select("__term").distinct()
+    counts = words.join(wanted, "__term", "left_semi").groupBy("__term").agg(F.count(F.lit(1)).alias("__count"))
+    ranked = places.join(several.withColumn("__several", F.lit(True)), ["alias", "product_id"], "left").join(
+        counts, "__term", "left").withColumn("__count", F.when(F.col("__several"), F.coalesce("__count", F.lit(0))))
+    choice = F.min_by(F.struct("__term", "__left"), F.struct("__count", "__term", "__left")).alias("__at")
+    return ranked.groupBy("alias", "product_id", "__whole", "__runs").agg(
+        choice, F.min("__count").alias("__least")).where("__least IS NULL OR __least > 0").select(
+        "alias", "product_id", "__whole", F.col("__at.__term").alias("__term"), F.col("__at.__left").alias("__left"),
+        F.size("__runs").alias("__size"))
+
+
 def match_terms(df: DataFrame, key: str, text: str, aliases: DataFrame, word: str = "A-Z0-9") -> DataFrame:
     """Rows ``(key, product_id, best_alias_length)`` for each alias found in ``text``.
 
-    The text is upper-cased; aliases are upper case already. One row about the alias table
-    (its longest entries) is read first, so that only stretches some alias can equal are
-    cut and the second path is planned only when there are aliases that need it.
+    The text is upper-cased; aliases are upper case already. One row about the alias table is read first: how many runs
+    an alias has (that much of its surroundings goes with every word), whether some alias has several words (only then
+    are words counted) and whether the second path, with the texts themselves, is needed.
     """
     names = _alias_table(aliases, word)
-    words = F.col("__words")
+    n_words = F.size(F.filter("__runs", lambda r: r.rlike(f"^[{word}]")))
     facts = names.agg(
-        F.max(F.when(F.col("__whole"), words)).alias("whole"),
-        F.max(F.when(~F.col("__whole"), words)).alias("odd"),
-        F.bool_or(~F.col("__whole") & (words == 0)).alias("symbols")).first()
+        F.max(F.when(F.col("__whole"), F.size("__runs"))).alias("reach"), F.max(n_words).alias("words"),
+        F.bool_or(~F.col("__whole")).alias("odd"), F.bool_or(n_words == 0).alias("symbols")).first()
+    reach = (facts["reach"] or 1) - 1
     texts = df.where(F.col(text).isNotNull()).select(F.col(key), F.upper(F.col(text)).alias("__text"))
-    upper = F.col("__text")
-
-    def hits(terms: Column, side: DataFrame) -> DataFrame:
-        exploded = texts.select(key, F.explode(terms).alias("__term"))
-        return exploded.join(side, F.col("__term") == F.col("__key"), "inner").select(key, "product_id", "alias")
-
-    found = hits(_word_stretches(upper, word, facts["whole"] or 1), names.where("__whole"))
-    if facts["odd"] is not None:
-        parts = [_word_stretches(upper, word, facts["odd"])] if facts["odd"] else []
+    runs = texts.select(key, _runs("__text", word).alias("__all"))
+
+    def around(_, i: Column) -> Column:
+        # Runs before the first one are empty, so that the word's own place in ``near`` is the same for every word.
+        first = F.greatest(i + 1 - reach, F.lit(1))
+        near = F.slice(F.col("__all"), first, i + 1 + reach - first + 1)
+        short = F.array_repeat(F.lit(""), F.greatest(F.lit(reach) - i, F.lit(0)))
+        return F.struct(F.get(F.col("__all"), i).alias("term"), (F.concat(short, near) if reach else F.array(F.lit(""))).alias("near"))
+
+    cut = runs.select(key, F.explode(F.filter(F.transform("__all", around), lambda w: w["term"].rlike(f"^[{word}]"))).alias("__w"))
+    words = cut.select(key, F.col("__w.term").alias("__term"), F.col("__w.near").alias("__near"))
+    if (facts["words"] or 0) > 1:
+        index = _indexed(names, words.select("__term"), word)
+    else:
+        index = names.select("alias", "product_id", "__whole", F.posexplode("__runs").alias("__left", "__term")).where(
+            F.col("__term").rlike(f"^[{word}]")).withColumn("__size", F.lit(1))
+    hits = words.join(index, "__term")
+    here = F.array_join(F.slice("__near", F.lit(reach + 1) - F.col("__left"), F.col("__size")), "")
+    stands = (F.col("__size") == 1) | (here == F.col("alias")) if reach else F.lit(True)
+    found = hits.where(F.col("__whole") & stands).select(key, "product_id", "alias")
+    if facts["odd"]:
+        candidates = hits.where("NOT __whole").select(key, "product_id", "alias")
         if facts["symbols"]:
-            parts.append(F.array_distinct(F.regexp_extract_all(upper, F.lit(f"[^{word}]"), F.lit(0))))
-        candidates = hits(F.concat(*parts), names.where("NOT __whole"))
+            signs = texts.select(key, F.explode(F.array_distinct(F.regexp_extract_all(
+                "__text", F.lit(f"[^{word}]"), F.lit(0)))).alias("__sign"))
+            bare = names.where(n_words == 0).select("alias", "product_id", F.substring("alias", 1, 1).alias("__sign"))
+            candidates = candidates.unionByName(signs.join(bare, "__sign").select(key, "product_id", "alias"))
         found = found.unionByName(
-            candidates.join(texts, key, "inner")
+            candidates.distinct().join(texts, key, "inner")
             .where(F.rlike("__text", boundary_pattern_column("alias", word)))
             .select(key, "product_id", "alias"))
     return longest_match(found, [key, "product_id"], "alias")
@@ -131,27 +144,46 @@ def match_or_search(df: DataFrame, key: str, brand: str, text: str, aliases: Dat
     )
 
 
+GRAM = 3
+
+
+def _grams(text: str, size: int = GRAM) -> Column:
+    """Distinct stretches of ``size`` characters of a text."""
+    n = F.length(text) - size + 1
+    cut = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(text, i, F.lit(size)))
+    return F.when(n >= 1, F.array_distinct(cut)).otherwise(F.array().cast("array<string>"))
+
+
 def exists_substring(df: DataFrame, terms: DataFrame, key: str, term: str, text: str,
-                     name: str = "is_related", list_size: int = 1000) -> DataFrame:
+                     name: str = "is_related") -> DataFrame:
     """Does any term of the row's key occur inside the row's text (ignoring case)?
 
-    Each distinct key and text meets the terms of its key as arrays of about ``list_size``
-    terms, so pairs of row and term are never materialised and no array grows with the
-    data: a key with a long list has several arrays.
+    Each distinct key and text is known by the stretches of three characters in it, each term by the one of its
+    stretches that is rarest among the texts; only a text and a term that share this one meet, and are then compared. A
+    term with a stretch that no text holds meets none. Terms of one or two characters are known by themselves; an
+    empty term is in every text. ``df`` is read twice: pass a table.
     """
     known = terms.where(F.col(key).isNotNull()).select(
-        F.col(key).alias("__key"), F.lower(term).alias("__term")).distinct()
-    sizes = known.groupBy("__key").agg(F.count(F.lit(1)).alias("__n"))
-    part = F.expr(f"pmod(xxhash64(__term), (__n + {list_size} - 1) div {list_size})")
-    lists = known.join(sizes, "__key").groupBy("__key", part.alias("__part")).agg(
-        F.collect_list("__term").alias("__terms"))
-    lower = F.lower("__text")
-    hits = (
-        df.select(F.col(key).alias("__key"), F.col(text).alias("__text")).distinct()
-        .join(lists, "__key", "inner")
-        .where(F.exists("__terms", lambda t: F.instr(lower, t) > 0))
-        .select("__key", "__text", F.lit(True).alias("__hit")).distinct()
-    )
+        F.col(key).alias("__key"), F.lower(term).alias("__term")).where("__term IS NOT NULL").distinct()
+    texts = df.select(F.col(key).alias("__key"), F.col(text).alias("__text")).where(
+        "__key IS NOT NULL AND __text IS NOT NULL").distinct().withColumn("__lower", F.lower("__text"))
+    sizes = known.agg(F.bool_or(F.length("__term") == 0).alias("empty"), F.bool_or(F.length("__term") == 1).alias("one"),
+                      F.bool_or(F.length("__term") == 2).alias("two")).first()
+    lists = [_grams("__lower")] + [_grams("__lower", n) for n, there in ((1, sizes["one"]), (2, sizes["two"])) if there]
+    lists += [F.array(F.lit(""))] if sizes["empty"] else []
+    # A text goes along as its hash; equal hashes only make more candidates, which are compared all the same.
+    name_of = F.xxhash64("__lower").alias("__id")
+    parts = texts.select("__key", name_of, F.explode(F.concat(*lists) if len(lists) > 1 else lists[0]).alias("__gram"))
+    own = known.select("__key", "__term", F.explode(F.when(F.length("__term") < GRAM, F.array("__term")).otherwise(
+        _grams("__term"))).alias("__gram"))
+    counts = parts.join(own.select("__gram").distinct(), "__gram", "left_semi").groupBy("__gram").agg(
+        F.count(F.lit(1)).alias("__n"))
+    index = own.join(counts, "__gram", "left").withColumn("__n", F.coalesce("__n", F.lit(0))).groupBy("__key", "__term").agg(
+        F.min(F.struct("__n", "__gram")).alias("__least")).where("__least.__n > 0").select(
+        "__key", "__term", F.col("__least.__gram").alias("__gram"))
+    met = parts.join(index, ["__key", "__gram"]).select("__key", "__id", "__term").distinct()
+    hits = texts.withColumn("__id", name_of).join(met, ["__key", "__id"]).where(
+        F.instr(F.col("__lower"), F.col("__term")) > 0).select("__key", "__text", F.lit(True).alias("__hit")).distinct()
     return (
         df.join(hits, (F.col(key) == F.col("__key")) & (F.col(text) == F.col("__text")), "left")
         .withColumn(name, F.coalesce("__hit", F.lit(False)))

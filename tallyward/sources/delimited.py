@@ -34,6 +34,9 @@ class FixedRead(NamedTuple):
     unexpected: DataFrame
 
 
+MOST_HEADERS = 10_000
+
+
 def align_columns(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str]]:
     """The listed columns in order (missing ones null, as text) and the names left out.
 
@@ -65,6 +68,9 @@ def read_fixed(spark: SparkSession, path: str, columns: Sequence[str], sep: str
     (file, name). Only an empty field is null. Short rows are padded; rows with more
     fields than their header are set aside in ``rejected`` (a single empty field after a
     trailing separator is not an extra field). A line equal to its file's header is a header.
+
+    The headers, one row per file, go to the lines by broadcast while there are at most ``MOST_HEADERS`` files, so no
+    line is shuffled; beyond that Spark chooses the join.
     """
     raw = spark.read.text(path).select(
         F.decode(F.col("value").cast("binary"), encoding).alias("line"),
@@ -75,7 +81,8 @@ def read_fixed(spark: SparkSession, path: str, columns: Sequence[str], sep: str
     headers = lines.where("block = 0").groupBy("file").agg(F.min_by("line", "at").alias("header"))
     names = F.split("header", literal_regex(sep), -1)
     headers = headers.withColumn("names", F.transform(names, _known)).withColumn("width", F.size("names"))
-    parsed = raw.select("line", "file").join(headers, "file").where("line <> header").withColumn(
+    few = len(raw.inputFiles()) <= MOST_HEADERS
+    parsed = raw.select("line", "file").join(F.broadcast(headers) if few else headers, "file").where("line <> header").withColumn(
         "f", F.split("line", literal_regex(sep), -1))
     # A trailing separator adds one empty field, which is not a field too many.
     trailing = (F.size("f") == F.col("width") + 1) & (F.element_at("f", -1) == "")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Mapping, Sequence
 from urllib.parse import unquote
 
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tallyward.session import LAYERS, shared_folder
+from tallyward.sources import versions
 
 
 def read_bronze(spark: SparkSession, root: str, quarter: str | None = None, columns: Sequence[str] | None = None,
@@ -71,23 +71,20 @@ def write_partitions(df: DataFrame, path: str, partition: str, force: bool = Fal
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Full refresh (or append).
+    """Full refresh (or append) of a table that ``read_table`` reads.
 
-    A refresh is written beside the table and takes its place when it is complete, so it
-    may read the table itself, and a failed one leaves the old table.
+    A refresh is a new version, published when it is complete: it may read the table itself, and a failure at any
+    step leaves a whole table, the old or the new one. An append adds files to the version in use.
     """
-    if mode != "overwrite":
-        df.write.mode(mode).parquet(path)
-        return
-    spark = df.sparkSession
-    fresh = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
-    df.write.parquet(fresh)
-    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, fresh))
-    files = new.getFileSystem(spark._jsc.hadoopConfiguration())
-    files.delete(old, True)
-    if not files.rename(new, old):
-        raise OSError(f"{fresh} could not be moved to {path}")
-    spark.catalog.refreshByPath(path)
+    if mode == "overwrite":
+        versions.write_version(df, path)
+    else:
+        df.write.mode(mode).parquet(versions.current_folder(df.sparkSession, path) or path)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The version in use of a table, or plain files."""
+    return versions.read_version(spark, path)
 
 
 def append_json(spark: SparkSession, path: str, schema: StructType, table: str, day_of: str, day: str) -> None:
@@ -158,7 +155,7 @@ def layer_volumes(spark: SparkSession, tables: Sequence[tuple[str, str, str, str
     """Rows, files, bytes and last change per ``(layer, table, type, path)``, from file metadata."""
     parts = []
     for layer, name, kind, path in tables:
-        files = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("file_path")).agg(
+        files = read_table(spark, path).groupBy(F.col("_metadata.file_path").alias("file_path")).agg(
             F.count(F.lit(1)).alias("n"),
             F.max("_metadata.file_size").alias("bytes"),
             F.max("_metadata.file_modification_time").alias("changed"))

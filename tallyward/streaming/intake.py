@@ -15,6 +15,7 @@ from tallyward.functions.dates import seconds_between
 from tallyward.functions.text import clean_name
 from tallyward.operators.attribution import attribute
 from tallyward.operators.dedup import dedup_events
+from tallyward.operators.sequence import in_key_order
 
 CORRUPT = "_corrupt_record"
 
@@ -152,13 +153,13 @@ def route(checked: DataFrame, batch_id: str, sinks: Mapping[str, str], fields: S
           lag: int = 0) -> None:
     """Valid rows to the table, the rest to the dead letters, counts to the metrics.
 
-    With ``key`` the rows of a case are written together and in offset order.
+    With ``key`` the rows of a case stand in offset order, over several files where a case is large.
     """
     checked.persist()
     try:
         loaded = valid_rows(checked, fields, keep).withColumn("loaded_at", F.current_timestamp())
         if key:
-            loaded = order_in_key(loaded, key, keep["offset"])
+            loaded = in_key_order(loaded, key, keep["offset"])
         write_batch(loaded, batch_id, sinks["valid"])
         write_batch(dead_letters(checked), batch_id, sinks["dead"])
         counts = batch_metrics(checked, topic, group, lag, time.monotonic() - started, uri=sinks["valid"])
@@ -167,14 +168,6 @@ def route(checked: DataFrame, batch_id: str, sinks: Mapping[str, str], fields: S
         checked.unpersist()
 
 
-def order_in_key(df: DataFrame, key: str, offset: str) -> DataFrame:
-    """Rows of one key in one partition and in offset order.
-
-    That is one task per key: the batch bounds its size, so set ``max_per_trigger`` where a key can be hot.
-    """
-    return df.repartition(key).sortWithinPartitions(key, offset)
-
-
 def intake_batch(sinks: Mapping[str, str], fields: Sequence[str], required: Sequence[str],
                  rules: Sequence[tuple[Column, str]], schema: str = EVENT_SCHEMA, topic: str = "intake",
                  group: str = "loader", prefix: str = "batch",

@@ -69,7 +69,7 @@ def brute_terms(texts, aliases, word):
         for alias, product in aliases:
             if text is not None and re.search(f"(^|[^{word}]){re.escape(alias)}([^{word}]|$)", text.upper()):
                 found[key, product] = max(found.get((key, product), 0), len(alias))
-    return sorted((k, p, n) for (k, p), n in found.items())
+    return sorted(((k, p, n) for (k, p), n in found.items()), key=repr)
 
 
 @pytest.mark.parametrize("word", ["A-Z0-9", "A-Z"])
@@ -100,10 +100,41 @@ def test_exists_substring(spark):
         [("P1", "Multiple Sclerosis Relapse"), ("P1", "Headache"), ("P2", "Multiple Sclerosis"), (None, "x"), ("P1", "Asthma")],
         "p STRING, r STRING")
     known = spark.createDataFrame([("P1", "multiple sclerosis"), ("P1", "ASTHMA"), (None, "x")], "p STRING, term STRING")
-    for size in (1, 1000):
-        out = terms.exists_substring(pairs, known, "p", "term", "r", list_size=size)
-        assert rows(out) == sorted([("P1", "Multiple Sclerosis Relapse", True), ("P1", "Headache", False),
-                                    ("P2", "Multiple Sclerosis", False), (None, "x", False), ("P1", "Asthma", True)], key=repr)
+    out = terms.exists_substring(pairs, known, "p", "term", "r")
+    assert rows(out) == sorted([("P1", "Multiple Sclerosis Relapse", True), ("P1", "Headache", False),
+                                ("P2", "Multiple Sclerosis", False), (None, "x", False), ("P1", "Asthma", True)], key=repr)
+
+
+@pytest.mark.parametrize("shortest", [0, 1, 2, 3, 4])
+def test_exists_substring_equals_brute_force(spark, shortest):
+    rng = random.Random(shortest)
+    draw = lambda low, high: "".join(rng.choice("abAÉ x") for _ in range(rng.randint(low, high)))
+    pairs = [(rng.choice(["P", "Q", None]), draw(0, 12)) for _ in range(300)] + [("P", None), ("P", "aba"), ("P", "aba")]
+    known = [(rng.choice(["P", "Q", "R"]), draw(shortest, shortest + 3)) for _ in range(12)] + [("P", None)]
+    found = terms.exists_substring(
+        spark.createDataFrame(pairs, "p STRING, r STRING"), spark.createDataFrame(known, "p STRING, term STRING"),
+        "p", "term", "r")
+    want = [(p, r, any(k == p and t is not None and r is not None and t.lower() in r.lower() for k, t in known))
+            for p, r in pairs]
+    assert rows(found) == sorted(want, key=repr)
+
+
+def test_no_text_meets_all_terms(spark):
+    """A text meets the terms that share a rare stretch with it, not the others of its key."""
+    texts = spark.createDataFrame([("P", f"word {i} tail") for i in range(200)], "p STRING, r STRING")
+    known = spark.createDataFrame([("P", f"{i} tail") for i in range(200)], "p STRING, term STRING")
+    out = terms.exists_substring(texts, known, "p", "term", "r").where("is_related")
+    assert out.count() == 200
+
+
+def test_terms_of_several_words_are_verified_where_they_stand(spark):
+    aliases = [("OF THE SEA", "P1"), ("THE SEA", "P2"), ("SEA", "P3"), ("THE  SEA", "P4"), ("THE THE", "P5"), ("OF-THE.SEA", "P6"),
+               ("SEA OF THE", "P7"), ("GONE WORD", "P8")]
+    texts = [(1, "of the sea"), (2, "the the sea"), (3, "of the  sea"), (4, "sea of the sea of the"), (5, "OF-THE.SEA!"),
+             (6, "of the"), (7, "the the the"), (8, ""), (None, "the sea")]
+    got = terms.match_terms(spark.createDataFrame(texts, "id INT, t STRING"), "id", "t",
+                            spark.createDataFrame(aliases, "alias STRING, product_id STRING"))
+    assert rows(got) == sorted(brute_terms(texts, aliases, "A-Z0-9"), key=repr)
 
 
 def test_overlap_equals_self_join(spark):

@@ -8,7 +8,7 @@ import pytest
 from pyspark.errors import AnalysisException
 
 from tallyward.session import clear_layers, shared_folder
-from tallyward.sources import delimited, documents, lake, runlog
+from tallyward.sources import delimited, documents, lake, runlog, versions
 
 
 def rows(df):
@@ -95,12 +95,48 @@ def test_a_partition_is_missing_if_one_table_lacks_it(spark, tmp_path):
 def test_a_table_may_be_refreshed_from_itself(spark, tmp_path):
     path = str(tmp_path / "t")
     lake.write_table(spark.range(6), path)
-    lake.write_table(spark.read.parquet(path).where("id % 2 = 0"), path)
-    assert rows(spark.read.parquet(path)) == [(0,), (2,), (4,)]
+    lake.write_table(lake.read_table(spark, path).where("id % 2 = 0"), path)
+    assert rows(lake.read_table(spark, path)) == [(0,), (2,), (4,)]
     with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
-        lake.write_table(spark.read.parquet(path).selectExpr("1 div (id - 2) AS id"), path)
+        lake.write_table(lake.read_table(spark, path).selectExpr("1 div (id - 2) AS id"), path)
+    assert rows(lake.read_table(spark, path)) == [(0,), (2,), (4,)]
     lake.write_table(spark.range(4, 5), path, "append")
-    assert spark.read.parquet(path).count() == 4 and len(list(tmp_path.glob("t"))) == 1
+    assert lake.read_table(spark, path).count() == 4
+
+
+@pytest.mark.parametrize("step", ["publish", "forget"])
+def test_a_refresh_that_dies_leaves_a_whole_table(spark, tmp_path, monkeypatch, step):
+    path = str(tmp_path / "t")
+    lake.write_table(spark.range(3), path)
+    before = lake.read_table(spark, path)
+
+    def die(*_):
+        raise RuntimeError("gone")
+
+    monkeypatch.setattr(versions, step, die)
+    with pytest.raises(RuntimeError):
+        lake.write_table(spark.range(10), path)
+    assert lake.read_table(spark, path).count() == (3 if step == "publish" else 10)
+    assert before.count() == 3  # who has begun to read goes on
+    monkeypatch.undo()
+    lake.write_table(spark.range(4), path)
+    assert lake.read_table(spark, path).count() == 4
+
+
+def test_old_versions_go(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n in range(4):
+        lake.write_table(spark.range(n), path)
+    assert len(list(tmp_path.glob("t/version-*"))) == len(list(tmp_path.glob("t/_commits/0*"))) == versions.KEPT
+    assert versions.current_folder(spark, str(tmp_path / "none")) is None
+
+
+def test_headers_are_sent_not_lines(spark, tmp_path):
+    folder = landed(tmp_path, a=["ALPHA$beta$gamma", "1$2$3"], b=["gamma$alpha", "6$4"])
+    read = delimited.read_fixed(spark, folder, COLUMNS)
+    assert rows(read.rows) == [("1", "2", "3"), ("4", None, "6")]
+    plan = read.rows._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "BuildRight" in plan and "SortMergeJoin" not in plan
 
 
 # -- documents -----------------------------------------------------------------------------------------------------

@@ -8,7 +8,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tallyward.streaming import intake
+from tallyward.operators import sequence
+from tallyward.streaming import intake, seen
 
 MESSAGE = "topic STRING, partition BIGINT, offset BIGINT, key STRING, value STRING"
 LOADED = ["event_id", "source_quarter", "received_at", *intake.CASE_FIELDS, "patient", "drugs", "reactions", "outcomes"]
@@ -152,12 +153,95 @@ def test_the_table_can_be_staged_and_enriched_as_it_is(spark, chain):
 
 
 def test_rows_of_a_key_stay_in_order(spark):
-    df = spark.range(300).selectExpr("concat('k', id % 7) AS k", "(id * 101) % 300 AS o")
-    placed = intake.order_in_key(df, "k", "o").select(
+    """Read by partition, each key is in order; a key that has nearly all rows is in several partitions."""
+    df = spark.range(4000).selectExpr("CASE WHEN id % 10 = 0 THEN concat('k', id % 7) ELSE 'hot' END AS k", "(id * 101) % 4000 AS o")
+    placed = sequence.in_key_order(df, "k", "o").select(
         "k", "o", F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("i")).collect()
     for key in {r.k for r in placed}:
         mine = sorted((r.i, r.o, r.p) for r in placed if r.k == key)
-        assert [o for _, o, _ in mine] == sorted(o for _, o, _ in mine) and len({p for *_, p in mine}) == 1
+        assert [o for _, o, _ in mine] == sorted(o for _, o, _ in mine)
+    with_aqe = {r.p for r in placed if r.k == "hot"}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        spread = sequence.in_key_order(df, "k", "o").where("k = 'hot'").select(F.spark_partition_id()).distinct().count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert spread > 4 and with_aqe
+
+
+def test_places_in_a_key(spark):
+    rows = [("a", o) for o in (5, -3, 12, 12, 99, 1000, None)] + [("b", 1), (None, 7), (None, 2), (None, None)]
+    df = spark.createDataFrame(rows, "k STRING, o BIGINT").withColumn("at", F.monotonically_increasing_id())
+    for span in (1, 10, 1_000_000):
+        got = sequence.number_in_key(df, "k", "o", ties=["at"], span=span)
+        assert got.columns == ["k", "o", "at", "place"]
+        want = []
+        for key in ("a", "b", None):
+            mine = sorted([r for r in df.collect() if r.k == key], key=lambda r: (r.o is not None, r.o or 0, r.at))
+            want += [(r.k, r.o, r.at, i + 1) for i, r in enumerate(mine)]
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+class Loads:
+    """Batches loaded once per id, as a stream with a checkpoint of its own would send them."""
+
+    def __init__(self, spark, folder, **options):
+        self.spark, self.table, self.seen = spark, f"{folder}/table", f"{folder}/seen"
+        self.work = seen.unique_batch(self.table, self.seen, "id", ["at"], buckets=4, **options)
+
+    def send(self, rows, number, query="direct"):
+        self.spark.sparkContext.setLocalProperty("sql.streaming.queryId", query)
+        try:
+            self.work(self.spark.createDataFrame(rows, "id STRING, at BIGINT"), number)
+        finally:
+            self.spark.sparkContext.setLocalProperty("sql.streaming.queryId", None)
+
+    def rows(self):
+        return sorted(((r.id, r.at) for r in self.spark.read.parquet(self.table).collect()), key=repr)
+
+
+def test_an_id_is_loaded_once_for_good(spark, tmp_path):
+    loads = Loads(spark, tmp_path, compact_every=0)
+    loads.send([("x", 1), ("y", 2), ("x", 3), (None, 4), (None, 5)], 0)
+    loads.send([("y", 6), ("z", 7)], 1)
+    loads.send([("x", 8), ("z", 9), ("w", 10)], 0, "another checkpoint")
+    want = sorted([("x", 1), ("y", 2), (None, 4), (None, 5), ("z", 7), ("w", 10)], key=repr)
+    assert loads.rows() == want
+    for _ in range(2):  # a batch that runs again replaces itself
+        loads.send([("y", 6), ("z", 7)], 1)
+    assert loads.rows() == want
+    seen.compact(spark, loads.seen)
+    ids = seen.seen_ids(spark, loads.seen)
+    assert sorted(r.id for r in ids.collect()) == ["w", "x", "y", "z"]
+    loads.send([("w", 11), ("v", 12)], 2)
+    assert loads.rows() == sorted([*want, ("v", 12)], key=repr)
+
+
+def test_a_load_that_dies_before_its_ids_are_kept(spark, tmp_path, monkeypatch):
+    loads = Loads(spark, tmp_path)
+    loads.send([("x", 1)], 0)
+    remember = seen.remember
+
+    def die(*_):
+        raise RuntimeError("gone")
+
+    monkeypatch.setattr(seen, "remember", die)
+    with pytest.raises(RuntimeError):
+        loads.send([("x", 2), ("y", 3)], 1)
+    monkeypatch.setattr(seen, "remember", remember)
+    loads.send([("x", 2), ("y", 3)], 1)
+    loads.send([("y", 4)], 2)
+    assert loads.rows() == [("x", 1), ("y", 3)]
+
+
+def test_compaction_comes_with_the_batches(spark, tmp_path):
+    loads = Loads(spark, tmp_path, compact_every=2)
+    for n in range(6):
+        loads.send([("same", n), (f"id{n}", n)], n)
+    assert loads.rows() == sorted([("same", 0), *((f"id{n}", n) for n in range(6))])
+    assert len(seen.seen_ids(spark, loads.seen).inputFiles()) <= 4
 
 
 @pytest.mark.parametrize("horizon,kept", [("2 hours", 4), ("40 days", 3)])
