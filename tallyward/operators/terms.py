@@ -1,9 +1,9 @@
 """Whole-word search of many aliases in many texts, and search for parts of words.
 
 ``match_terms`` turns the theta join into one equi join on words: every alias is indexed by its rarest word and that
-word's place in it, every text is exploded once, into its words, each with the few runs around it that an alias can
-cover. A word that meets an alias is verified where it stands. Aliases that start or end with a symbol find candidates
-in the same way and are then tested on the text itself, so the result equals the regex form for every alias.
+word's place in it, every text is exploded once, into its words with their places. An alias of one word is found by
+that; one of several words is verified where its word stands; one that starts or ends with a symbol is tested on the
+text itself, so the result equals the regex form for every alias.
 """
 
 from __future__ import annotations
@@ -32,79 +32,74 @@ def boundary_pattern_column(alias, word: str = "A-Z0-9") -> Column:
     return F.concat(F.lit(f"(^|[^{word}])\\Q"), quoted, F.lit(f"\\E([^{word}]|$)"))
 
 
-def _alias_table(aliases: DataFrame, word: str) -> DataFrame:
-    """Distinct aliases as runs, and whether both ends are word characters."""
-    return (
-        aliases.where(F.col("alias") != "").select("alias", "product_id").distinct()
-        .withColumn("__whole", F.col("alias").rlike(f"^[{word}](.*[{word}])?$"))
-        .withColumn("__runs", _runs("alias", word))
-    )
+def _words(text: str | Column, word: str) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"[{word}]+"), F.lit(0))
+
 
+def _indexed(aliases: DataFrame, word: str, counts: DataFrame | None) -> DataFrame:
+    """``(alias, product_id, whole, n, term, left)``: aliases by their rarest word.
+
+    ``n`` counts an alias's words, ``left`` those before ``term``, and ``whole`` says that it begins and ends with one.
+    The rarest word has the smallest number in ``counts`` (term, seen); where it has none, the longest is taken for it.
+    """
+    names = aliases.where(F.col("alias") != "").select("alias", "product_id").distinct()
+    places = names.select(
+        "alias", "product_id", F.col("alias").rlike(f"^[{word}](.*[{word}])?$").alias("whole"),
+        F.size(_words("alias", word)).alias("n"), F.posexplode(_words("alias", word)).alias("left", "term"))
+    if counts is None:
+        places = places.withColumn("seen", F.lit(0))
+    else:
+        places = places.join(counts.select("term", "seen"), "term", "left").withColumn("seen", F.coalesce("seen", F.lit(0)))
+    rarest = F.min(F.struct("seen", (-F.length("term")).alias("short"), "term", "left")).alias("at")
+    return places.groupBy("alias", "product_id", "whole", "n").agg(rarest).select(
+        "alias", "product_id", "whole", "n", "at.term", "at.left")
 
-def _indexed(names: DataFrame, words: DataFrame, word: str) -> DataFrame:
-    """Aliases with their rarest word (fewest occurrences in the texts, then the word itself) as ``__term``, and the
-    number of runs before and behind it. An alias with a word that no text holds is left out."""
-    places = names.select("*", F.posexplode("__runs").alias("__left", "__term")).where(
-        F.col("__term").rlike(f"^[{word}]"))
-    several = places.groupBy("alias", "product_id").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(
-        "alias", "product_id")
-    wanted = places.join(several, ["alias", "product_id"], "left_semi").select("__term").distinct()
-    counts = words.join(wanted, "__term", "left_semi").groupBy("__term").agg(F.count(F.lit(1)).alias("__count"))
-    ranked = places.join(several.withColumn("__several", F.lit(True)), ["alias", "product_id"], "left").join(
-        counts, "__term", "left").withColumn("__count", F.when(F.col("__several"), F.coalesce("__count", F.lit(0))))
-    choice = F.min_by(F.struct("__term", "__left"), F.struct("__count", "__term", "__left")).alias("__at")
-    return ranked.groupBy("alias", "product_id", "__whole", "__runs").agg(
-        choice, F.min("__count").alias("__least")).where("__least IS NULL OR __least > 0").select(
-        "alias", "product_id", "__whole", F.col("__at.__term").alias("__term"), F.col("__at.__left").alias("__left"),
-        F.size("__runs").alias("__size"))
-
-
-def match_terms(df: DataFrame, key: str, text: str, aliases: DataFrame, word: str = "A-Z0-9") -> DataFrame:
+
+def word_counts(df: DataFrame, text: str, word: str = "A-Z0-9") -> DataFrame:
+    """``(term, seen)``: every word of the upper-cased texts with its occurrences, for ``match_terms`` to choose by."""
+    return df.select(F.explode(_words(F.upper(F.col(text)), word)).alias("term")).groupBy("term").agg(
+        F.count(F.lit(1)).alias("seen"))
+
+
+def match_terms(df: DataFrame, key: str, text: str, aliases: DataFrame, word: str = "A-Z0-9",
+                counts: DataFrame | None = None) -> DataFrame:
     """Rows ``(key, product_id, best_alias_length)`` for each alias found in ``text``.
 
-    The text is upper-cased; aliases are upper case already. One row about the alias table is read first: how many runs
-    an alias has (that much of its surroundings goes with every word), whether some alias has several words (only then
-    are words counted) and whether the second path, with the texts themselves, is needed.
+    The text is upper-cased; aliases are upper case already. What the words of a key find is gathered (at most one entry
+    per alias, with the places), and only the texts of keys with something to verify are joined to it. ``counts`` (see
+    ``word_counts``) tells which word of an alias is rarest. One row about the aliases is read first: whether there are
+    any without a word.
     """
-    names = _alias_table(aliases, word)
-    n_words = F.size(F.filter("__runs", lambda r: r.rlike(f"^[{word}]")))
-    facts = names.agg(
-        F.max(F.when(F.col("__whole"), F.size("__runs"))).alias("reach"), F.max(n_words).alias("words"),
-        F.bool_or(~F.col("__whole")).alias("odd"), F.bool_or(n_words == 0).alias("symbols")).first()
-    reach = (facts["reach"] or 1) - 1
+    size = F.size(_words("alias", word))
+    bare = aliases.where((F.col("alias") != "") & (size == 0))
     texts = df.where(F.col(text).isNotNull()).select(F.col(key), F.upper(F.col(text)).alias("__text"))
-    runs = texts.select(key, _runs("__text", word).alias("__all"))
-
-    def around(_, i: Column) -> Column:
-        # Runs before the first one are empty, so that the word's own place in ``near`` is the same for every word.
-        first = F.greatest(i + 1 - reach, F.lit(1))
-        near = F.slice(F.col("__all"), first, i + 1 + reach - first + 1)
-        short = F.array_repeat(F.lit(""), F.greatest(F.lit(reach) - i, F.lit(0)))
-        return F.struct(F.get(F.col("__all"), i).alias("term"), (F.concat(short, near) if reach else F.array(F.lit(""))).alias("near"))
-
-    cut = runs.select(key, F.explode(F.filter(F.transform("__all", around), lambda w: w["term"].rlike(f"^[{word}]"))).alias("__w"))
-    words = cut.select(key, F.col("__w.term").alias("__term"), F.col("__w.near").alias("__near"))
-    if (facts["words"] or 0) > 1:
-        index = _indexed(names, words.select("__term"), word)
-    else:
-        index = names.select("alias", "product_id", "__whole", F.posexplode("__runs").alias("__left", "__term")).where(
-            F.col("__term").rlike(f"^[{word}]")).withColumn("__size", F.lit(1))
-    hits = words.join(index, "__term")
-    here = F.array_join(F.slice("__near", F.lit(reach + 1) - F.col("__left"), F.col("__size")), "")
-    stands = (F.col("__size") == 1) | (here == F.col("alias")) if reach else F.lit(True)
-    found = hits.where(F.col("__whole") & stands).select(key, "product_id", "alias")
-    if facts["odd"]:
-        candidates = hits.where("NOT __whole").select(key, "product_id", "alias")
-        if facts["symbols"]:
-            signs = texts.select(key, F.explode(F.array_distinct(F.regexp_extract_all(
-                "__text", F.lit(f"[^{word}]"), F.lit(0)))).alias("__sign"))
-            bare = names.where(n_words == 0).select("alias", "product_id", F.substring("alias", 1, 1).alias("__sign"))
-            candidates = candidates.unionByName(signs.join(bare, "__sign").select(key, "product_id", "alias"))
-        found = found.unionByName(
-            candidates.distinct().join(texts, key, "inner")
-            .where(F.rlike("__text", boundary_pattern_column("alias", word)))
-            .select(key, "product_id", "alias"))
-    return longest_match(found, [key, "product_id"], "alias")
+    words = texts.select(key, F.posexplode(_words("__text", word)).alias("place", "term"))
+    index = _indexed(aliases, word, counts)
+    found = ["alias", "product_id", "whole", "n"]
+    many = F.when(F.col("whole") & (F.col("n") > 1), F.col("place") - F.col("left"))
+    hits = words.join(index, "term").select(key, *found, many.alias("start"))
+    if not bare.isEmpty():
+        sign = F.explode(F.array_distinct(F.regexp_extract_all("__text", F.lit(f"[^{word}]"), F.lit(0)))).alias("sign")
+        bare = bare.select(
+            "alias", "product_id", F.lit(False).alias("whole"), F.lit(0).alias("n"), F.substring("alias", 1, 1).alias("sign"))
+        hits = hits.unionByName(texts.select(key, sign).join(bare, "sign").select(
+            key, *found, F.lit(None).cast("int").alias("start")))
+    once = hits.groupBy(key, *found).agg(F.collect_set("start").alias("starts"))
+    sure = F.col("whole") & (F.col("n") == 1)
+    by_key = once.groupBy(F.col(key).alias("__key")).agg(
+        F.collect_list(F.struct(*found, "starts")).alias("__found"), F.bool_or(~sure).alias("__open"))
+    placed = by_key.join(texts, F.col("__open") & F.col("__key").eqNullSafe(F.col(key)), "left").withColumn(
+        "__runs", F.when(F.col("__open"), _runs("__text", word)))
+    first = F.when(F.get("__runs", F.lit(0)).rlike(f"^[{word}]"), 1).otherwise(2)
+
+    def stands(alias: Column) -> Column:
+        at = F.exists(alias["starts"], lambda i: (i >= 0) & (F.array_join(
+            F.slice("__runs", 2 * i + first, 2 * alias["n"] - 1), "") == alias["alias"]))
+        inside = F.rlike("__text", boundary_pattern_column(alias["alias"], word))
+        return F.when(alias["whole"], (alias["n"] == 1) | at).otherwise(inside)
+
+    kept = placed.select(F.col("__key").alias(key), F.inline(F.filter("__found", stands)))
+    return longest_match(kept, [key, "product_id"], "alias")
 
 
 def match_terms_regex(df: DataFrame, key: str, text: str, aliases: Sequence[tuple[str, str]],

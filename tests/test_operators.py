@@ -132,9 +132,11 @@ def test_terms_of_several_words_are_verified_where_they_stand(spark):
                ("SEA OF THE", "P7"), ("GONE WORD", "P8")]
     texts = [(1, "of the sea"), (2, "the the sea"), (3, "of the  sea"), (4, "sea of the sea of the"), (5, "OF-THE.SEA!"),
              (6, "of the"), (7, "the the the"), (8, ""), (None, "the sea")]
-    got = terms.match_terms(spark.createDataFrame(texts, "id INT, t STRING"), "id", "t",
-                            spark.createDataFrame(aliases, "alias STRING, product_id STRING"))
-    assert rows(got) == sorted(brute_terms(texts, aliases, "A-Z0-9"), key=repr)
+    df = spark.createDataFrame(texts, "id INT, t STRING")
+    table = spark.createDataFrame(aliases, "alias STRING, product_id STRING")
+    for counts in (None, terms.word_counts(df, "t")):
+        got = terms.match_terms(df, "id", "t", table, counts=counts)
+        assert rows(got) == sorted(brute_terms(texts, aliases, "A-Z0-9"), key=repr)
 
 
 def test_overlap_equals_self_join(spark):
