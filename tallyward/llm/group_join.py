@@ -22,6 +22,7 @@ from tallyward.llm.common import mix, partitions, pick, release, slices, stage,
 from tallyward.llm.components import Forest, components
 
 GROUP = 256
+SLICE = 32 << 20
 QUERIES_AT_ONCE = 512
 
 _U8 = np.dtype("<u8")
@@ -77,7 +78,8 @@ def _deal(batches: Iterator[pa.RecordBatch], width: int, n_slices: int) -> Itera
         _, first = np.unique(np.stack([one, two, sizes]), axis=1, return_index=True)
         sends = np.zeros(len(sizes), bool)
         sends[first] = True
-        info = np.stack([sizes, one, two]).astype("<i8").tobytes()
+        named = batch.column(2).to_numpy(zero_copy_only=False)
+        info = np.stack([sizes, one, two, named]).astype("<i8").tobytes()
         rows = [(1, block % n_slices, block, b"", b"", info, batch.column(0).to_pylist())]
         owner = np.repeat(np.arange(len(sizes), dtype=np.uint32), sizes)
         sent = sends[owner]
@@ -136,7 +138,7 @@ def _shared(table: pa.Table) -> pa.Table:
     return _table(out, _DEALT)
 
 
-_SETS = "gid long, doc_id long, n long, one long, two long, home long, n_prefix int, tokens binary"
+_SETS = "gid long, doc_id long, text_hash long, n long, one long, two long, home long, n_prefix int, tokens binary"
 
 
 def _assemble(percent: int):
@@ -144,7 +146,7 @@ def _assemble(percent: int):
         """Of one block: its documents, those that may have a link with their shared tokens by rising frequency."""
         rows = table.to_pylist()
         head = next(r for r in rows if r["kind"] == 1)
-        sizes, one, two = np.frombuffer(head["extra"], "<i8").reshape(3, -1)
+        sizes, one, two, named = np.frombuffer(head["extra"], "<i8").reshape(4, -1)
         rows = [r for r in rows if r["kind"] == 0]
         tokens = np.concatenate([np.frombuffer(r["tokens"], _U8) for r in rows] or [np.zeros(0, _U8)])
         owner = np.concatenate([np.frombuffer(r["places"], np.uint32) for r in rows] or [np.zeros(0, np.uint32)])
@@ -166,7 +168,8 @@ def _assemble(percent: int):
                 home = int(tokens[a + np.searchsorted(counts[a:b], 2 * usual, "right") - 1].astype(np.int64))
                 n_prefix = int((b - a) - -(-percent * int(sizes[i]) // 100) + 1)
                 own = tokens[a:b].tobytes()
-            out.append((head["block"] << 20 | i, doc_id, int(sizes[i]), int(one[i]), int(two[i]), home, n_prefix, own))
+            out.append((head["block"] << 20 | i, doc_id, int(named[i]), int(sizes[i]), int(one[i]), int(two[i]), home,
+                        n_prefix, own))
         return _table(out, _SETS)
 
     return work
@@ -245,15 +248,24 @@ def _labels(reps: DataFrame, links: DataFrame) -> DataFrame:
 def _across(reps: DataFrame, prefixes: DataFrame, links: DataFrame, percent: int, narrow: bool) -> DataFrame:
     """Links between sets of different components.
 
-    Only tokens of two components or more matter any longer. In the full search every set asks each group of another
-    component with which it shares a token of their prefixes (the sets of the smaller component ask the groups of the
-    larger one), which finds every link. The narrow search goes before it: per token, one set of each component asks
-    one group of the largest. It joins most of what belongs together, so that the full search has few pairs left.
+    Two sets of sizes n and m link when (100 + percent) * overlap >= percent * (n + m). At their first common token, in
+    the order of all prefixes, the overlap is at most what either set has left from there (``rest``). So a row of a
+    token stays only if, by the largest rest and the smallest size of the token's rows, some other row could link with
+    it there; what texts share a passage and still cannot link goes before any join. Then only tokens of two components
+    or more matter. In the full search every set asks each group of another component with which it shares a token of
+    their prefixes and whose bound allows a link (the sets of the smaller component ask the groups of the larger one),
+    which finds every link. The narrow search goes before it: per token, one set of each component asks one group of the
+    largest. It joins most of what belongs together, so that the full search has few pairs left.
     """
     labels = _labels(reps.select("gid"), links)
     sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("n_label"))
     labels = stage(labels.join(sizes, "label"), "jaccard-labels")
-    rows = prefixes.join(labels, "gid")
+    # What is left of a row's bound for the size of a partner.
+    spare = (100 + percent) * F.col("rest") - percent * F.col("n")
+    rows = prefixes.join(labels, "gid").withColumn("spare", spare)
+    reach = rows.groupBy("token").agg(F.max("spare").alias("most"), F.min("n").alias("least"))
+    rows = rows.join(reach, "token").where((percent * F.col("n") <= F.col("most")) & (percent * F.col("least") <= F.col("spare")))
+    rows = stage(rows.drop("most", "least"), "jaccard-bounded")
     several = rows.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
     rows = stage(rows.join(several.select("token"), "token", "left_semi"), "jaccard-across")
     if narrow:
@@ -261,11 +273,12 @@ def _across(reps: DataFrame, prefixes: DataFrame, links: DataFrame, percent: int
         asking = rows.groupBy("token", "label").agg(F.min("gid").alias("gid")).join(largest, "token")
         asked = asking.where(F.col("label") != F.col("to.label")).select("gid", "to.home", "to.part")
     else:
-        groups = rows.select("token", "home", "part", F.col("label").alias("to_label"),
-                             F.col("n_label").alias("to_size")).distinct()
+        groups = rows.groupBy("token", "home", "part", F.col("label").alias("to_label"), F.col("n_label").alias("to_size")).agg(
+            F.max("rest").alias("to_rest"), F.min("n").alias("to_n"))
         smaller = F.struct("n_label", "label") < F.struct("to_size", "to_label")
-        asked = rows.select("token", "gid", "label", "n_label").join(groups, "token").where(smaller).select(
-            "gid", "home", "part")
+        could = (100 + percent) * F.least("rest", "to_rest") >= percent * (F.col("n") + F.col("to_n"))
+        asked = rows.select("token", "gid", "label", "n_label", "n", "rest").join(groups, "token").where(
+            smaller & could).select("gid", "home", "part")
     asked = stage(asked.distinct(), "jaccard-asked")
 
     turns = asked.groupBy("home", "part").agg(F.expr(
@@ -282,18 +295,21 @@ def _across(reps: DataFrame, prefixes: DataFrame, links: DataFrame, percent: int
 
 
 def jaccard_classes(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """``(doc_id, n_shingles, class_id, component_id, first)``, one row per row of ``documents``.
+    """``(doc_id, text_hash, n_shingles, class_id, component_id, first)``, one row per row of ``documents``.
 
     Words are runs of anything but ASCII white space, with A-Z lower-cased; a text's set holds its distinct shingles of
     ``width`` words (with fewer words the whole sequence). Two texts link when ``100 * intersection >= percent *
     union``. ``class_id`` is equal exactly for equal sets; ``component_id`` is the smallest doc_id reachable by links,
-    itself included; ``first`` marks one row of each component. A null or empty text, or one without words, has an
+    itself included; ``first`` marks one row of each component, and ``text_hash`` is ``xxhash64`` of its text. A null or empty text, or one without words, has an
     empty set and is alone. Null ids take part but are never the smallest unless all of a component are null; repeated
     rows are equal sets. An empty table has no result.
     """
     spark = documents.sparkSession
-    n_slices = partitions(spark)
-    rows = pick(documents, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
+    rows = pick(documents, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text",
+                                                    F.xxhash64("text").alias("text_hash"))
+    # A slice of tokens is one group of a task: about SLICE bytes of text, twice that in tokens and places.
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("size")).first()["size"]
+    n_slices = max(partitions(spark), -(-size // SLICE))
     dealt = rows.mapInArrow(lambda batches: _deal(batches, width, n_slices), _DEALT)
     shared = dealt.groupBy("slice").applyInArrow(_shared, _DEALT)
     sets = stage(shared.groupBy("block").applyInArrow(_assemble(percent), _SETS), "jaccard-sets")
@@ -314,26 +330,33 @@ def jaccard_classes(documents: DataFrame, width: int = 5, percent: int = 80) ->
         pivots.where("to <> part").select("home", F.col("to").alias("part"), "gid", "n", "tokens"))
     inside = stage(members.groupBy("home", "part").applyInArrow(_inside(percent), _LINKS), "jaccard-inside")
 
-    token = F.explode(F.expr("transform(sequence(1, n_prefix), i -> substring(tokens, i * 8 - 7, 8))"))
-    prefixes = stage(reps.select("gid", "home", "part", token.alias("token")), "jaccard-prefixes")
+    token = F.explode(F.expr("transform(sequence(1, n_prefix), i -> struct(substring(tokens, i * 8 - 7, 8) AS token, "
+                             "length(tokens) div 8 - i + 1 AS rest))"))
+    prefixes = stage(reps.select("gid", "home", "part", "n", token.alias("one")).select(
+        "gid", "home", "part", "n", "one.token", "one.rest"), "jaccard-prefixes")
     links = inside
     for narrow in (True, False):
         links = links.unionAll(_across(reps, prefixes, links, percent, narrow))
     final = _labels(reps.select("gid"), links).withColumnRenamed("gid", "rep")
     found = classes.join(final, "rep", "left").select(
         *same, "rep", F.coalesce("label", "rep").alias("label"))
-    placed = sets.select("gid", "doc_id", *same).join(found, same, "left")
+    placed = sets.select("gid", "doc_id", "text_hash", *same).join(found, same, "left")
     placed = placed.withColumn("label", F.coalesce("label", "gid"))
     least = placed.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "gid")).alias("least"))
     return placed.join(least, "label").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("rep", "gid").alias("class_id"),
+        "doc_id", "text_hash", F.col("n").alias("n_shingles"), F.coalesce("rep", "gid").alias("class_id"),
         F.col("least.doc_id").alias("component_id"), (F.col("gid") == F.col("least.gid")).alias("first"))
 
 
 def keep_first(documents: DataFrame, columns: tuple[str, ...], **options) -> DataFrame:
-    """The named columns of one document of each component (the one of smallest doc_id)."""
-    kept = jaccard_classes(documents, **options).where("first").select(F.col("doc_id").alias("__id")).distinct()
-    rows = pick(documents, *dict.fromkeys(("doc_id", "text", *columns))).join(kept, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    # Rows that repeat an id and its text are one document.
-    again = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(1))
+    """The named columns of one document of each component (the one of smallest doc_id, null ids last).
+
+    A document is an id and a text: rows that repeat both are one document, rows of one id (or without an id) with other
+    texts are others, and the text that was chosen is the one that stays.
+    """
+    kept = jaccard_classes(documents, **options).where("first").select(
+        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    rows = pick(documents, *dict.fromkeys(("doc_id", "text", *columns))).withColumn("__text", F.xxhash64("text"))
+    rows = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__hash")), "left_semi")
+    again = Window.partitionBy("doc_id", "__text").orderBy(F.lit(1))
     return rows.withColumn("__again", F.row_number().over(again)).where("__again = 1").select(*columns)
