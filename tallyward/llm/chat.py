@@ -102,10 +102,27 @@ def format_chats(rows: DataFrame) -> DataFrame:
                       F.coalesce(recovered == source, F.lit(False)).alias("round_trip"))
 
 
+def under_mask(formatted: str, runs: str):
+    """The stretches of a formatted text that a loss mask covers, each as it stands there."""
+    begin = F.struct(F.lit(1).alias("at"), F.array().cast("array<string>").alias("pieces"))
+
+    def step(held, run):
+        piece = F.array(F.substring(F.col(formatted), held["at"] + run["without"], run["within"]))
+        return F.struct((held["at"] + run["without"] + run["within"] + run["after"]).alias("at"),
+                        F.when(run["within"] > 0, F.concat(held["pieces"], piece)).otherwise(held["pieces"]).alias("pieces"))
+
+    return F.aggregate(runs, begin, step, lambda held: held["pieces"])
+
+
 def read_back(formatted: DataFrame) -> DataFrame:
-    """``(conv_id, turns, loss_text, formatted_chars)`` recovered from the formatted text alone."""
-    parsed = formatted.select("conv_id", parse(F.col("formatted")).alias("turns"),
-                              F.length("formatted").cast("long").alias("formatted_chars"))
-    trained = F.filter("turns", lambda t: t["role"] == "assistant")
-    return parsed.select("conv_id", "turns", F.array_join(F.transform(trained, lambda t: t["text"]), "")
-                         .alias("loss_text"), "formatted_chars")
+    """``(conv_id, turns, loss_text, formatted_chars)`` recovered from (conv_id, formatted, loss_runs, round_trip).
+
+    The turns are parsed from the text. The loss text is cut out of it by the mask, piece by piece, and unescaped: it does
+    not look at roles. A conversation whose text did not parse back to its source fails the query.
+    """
+    proved = F.when(F.col("round_trip"), F.col("formatted")).otherwise(
+        F.raise_error(F.lit("a formatted conversation does not parse back to its source")).cast("string"))
+    cut = F.transform(under_mask("formatted", "loss_runs"), _unguard)
+    return formatted.withColumn("formatted", proved).select(
+        "conv_id", parse(F.col("formatted")).alias("turns"), F.array_join(cut, "").alias("loss_text"),
+        F.length("formatted").cast("long").alias("formatted_chars"))
