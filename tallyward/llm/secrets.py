@@ -29,6 +29,8 @@ UNICODE = re.compile(
     r"(?:\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&\#[0-9]{1,7};|&\#[xX][0-9A-Fa-f]{1,6};)+")
 ONE_UNICODE = re.compile(r"\\u\{[0-9A-Fa-f]+\}|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&\#[^;]+;")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+# What the first bytes of every gzip stream are in base64.
+GZIP = re.compile(r"H4sI")
 # Base64 over several lines: a run up to the end of its line, and lines of such characters alone up to the last.
 WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:[\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/_-]++)+={0,2}")
 LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
@@ -152,14 +154,37 @@ def _inflate(data: bytes, most: int) -> Iterator[str]:
 
 def _base64(body: str) -> bytes | None:
     body = body.rstrip("=").translate({45: 43, 95: 47})
-    if len(body) % 4 == 1:
-        return None
+    if len(body) % 4 == 1:  # one character too many is not of the encoded text
+        body = body[:-1]
     try:
         return base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
     except binascii.Error:
         return None
 
 
+def _starts(run: re.Match) -> Iterator[re.Match]:
+    """The run and the parts of it that may be the encoded text, where other characters of the alphabet stand before it.
+
+    From each of four places in a row the rest is read: one of them is in step with encoded text that begins anywhere, and
+    what stands before it becomes a few odd bytes. A compressed stream has to begin where reading does, so the parts
+    between slashes, dashes and the like are read as well, and what follows the letters that every gzip stream has first.
+    """
+    yield run
+    text, start, end = run.string, run.start(), run.end()
+    places = {start + k for k in (1, 2, 3)} | {m.start() for m in GZIP.finditer(text, start + 1, end)}
+    for place in sorted(places):
+        part = BASE64.match(text, place, end)
+        if part:
+            yield part
+    for separators in (r"[/]", r"[-_]", r"[/_+-]"):
+        if re.search(separators, run[0]):
+            for part in re.compile(rf"[A-Za-z0-9+/_=-]+?(?={separators}|\Z)").finditer(text, start, end):
+                body = part.start() + len(part[0]) - len(part[0].lstrip("/_+-="))
+                piece = BASE64.match(text, body, part.end())
+                if piece and (piece.start(), piece.end()) != (start, end):
+                    yield piece
+
+
 def _worth(text: str) -> bool:
     return bool(PERCENT.search(text) or UNICODE.search(text) or BASE64.search(text) or scan(text))
 
@@ -193,7 +218,7 @@ def _encoded(layer: Layer, most: int) -> Iterator[Layer]:
     """Layers inside base64 runs, on one line or wrapped: text, or the text of a compressed stream."""
     runs = list(_joined(layer.text))
     whole = {x.start() for lines, _, good in runs if good for x in lines}
-    single = ([m] for m in BASE64.finditer(layer.text) if m.start() not in whole)
+    single = ([part] for m in BASE64.finditer(layer.text) if m.start() not in whole for part in _starts(m))
     for lines, data in [*((x, y) for x, y, _ in runs), *((x, _base64(x[0][0])) for x in single)]:
         if data is None:
             continue

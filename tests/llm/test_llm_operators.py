@@ -417,10 +417,36 @@ def test_chat_round_trip(spark):
             trained += r.formatted[at + run.without:at + run.without + run.within]
             at += run.without + run.within + run.after
         assert at == len(r.formatted) == got[r.conv_id].formatted_chars
-        assert re.sub(r"<\\(\\*)\|", r"<\1|", trained).replace("\\", "") == got[r.conv_id].loss_text.replace("\\", "")
     assert chat.format_chats(df.limit(0)).count() == 0
 
 
+def test_the_loss_is_what_the_mask_covers(spark):
+    rows = [(1, 0, "user", "ask <|im_end|>"), (1, 1, "assistant", "say <\\|x"), (1, 2, "assistant", "more <|im_start|>")]
+    formatted = chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    assert chat.read_back(formatted).first().loss_text == "say <\\|xmore <|im_start|>"
+    later = F.transform("loss_runs", lambda r: r.withField("without", r["without"] + 1).withField("after", r["after"] - 1))
+    assert chat.read_back(formatted.withColumn("loss_runs", later)).first().loss_text != "say <\\|xmore <|im_start|>"
+    with pytest.raises(Exception, match="parse back"):
+        chat.read_back(formatted.withColumn("round_trip", F.lit(False))).collect()
+
+
+@pytest.mark.parametrize("before", ["", "/api/", "https://h.net/v1/", "x-", "abc", "a_b-", "abcde", "ab/c", "abcdef"])
+@pytest.mark.parametrize("behind", ["", "/x", "-tail", "/x/yz", "a", "abc."])
+def test_encoded_text_beside_its_alphabet(before, behind):
+    plain = "id=7 token=abcdefgh1 end"
+    for data in (plain.encode(), gzip.compress(plain.encode())):
+        if data[:1] == b"\x1f" and (behind == "a" or behind[:1] in ("-", "a")):
+            continue  # what follows a stream at once is still read as its trailer
+        for blob in (base64.b64encode(data).decode().rstrip("="), base64.urlsafe_b64encode(data).decode()):
+            text = f"see {before}{blob}{behind} there"
+            base, spans = secrets.find(text)
+            found = [s for s in spans if s not in base and s[1] == 0]
+            assert found, text
+            start, end = text.index(blob), text.index(blob) + len(blob)
+            assert all(a < end and start < b for a, _, b in found)
+            assert data[:1] == b"\x1f" or any(start <= a < b <= end for a, _, b in found)
+
+
 def test_broken_grammar_has_no_turns(spark):
     bad = ["x", "<|im_start|>user", "<|im_start|>user\nx<|im_end|>", "<|im_start|>u\nx<|im_end|>y<|im_end|>\n",
            "z<|im_start|>u\nx<|im_end|>\n"]
@@ -473,9 +499,44 @@ def test_jaccard_classes(spark, corpus, monkeypatch):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == want
     assert sum(r.first for r in got) == len(members)
     assert group_join.jaccard_classes(df.limit(0)).count() == 0
-    kept = group_join.keep_first(df, ("doc_id", "text")).collect()
-    assert len({r.doc_id for r in kept}) <= len(members) and len(kept) >= len({min(
-        (rows[i][0] for i in own if rows[i][0] is not None), default=None) for own in members.values()})
+    kept = Counter((r.doc_id, r.text) for r in group_join.keep_first(df, ("doc_id", "text")).collect())
+    assert sum(kept.values()) == len(members) and all(any((rows[i][0], rows[i][1]) in kept for i in own) for own in members.values())
+
+
+def test_one_document_of_each_group_stays(spark):
+    """Null and repeated ids: a document is its id and its text."""
+    base = [f"w{i}" for i in range(60)]
+    near = " ".join(["new", *base[1:]])
+    other = " ".join(f"x{i}" for i in range(60))
+    rows = [(None, " ".join(base)), (None, near), (None, other), (1, other + " y"), (2, near + " z"), (2, " ".join(base)),
+            (2, " ".join(base)), (3, ""), (3, None), (4, None), (None, ""), (5, "alone here")]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS).repartition(4)
+    kept = Counter((r.doc_id, r.text) for r in group_join.keep_first(df, ("doc_id", "text")).collect())
+    assert sum(kept.values()) == 8 and kept[1, other + " y"] == 1 and (None, other) not in kept
+    assert kept[3, ""] == kept[3, None] == kept[4, None] == kept[None, ""] == kept[5, "alone here"] == 1
+    assert sum(kept[x] for x in [(2, near + " z"), (2, " ".join(base))]) == 1 and not {(None, " ".join(base)), (None, near)} & set(kept)
+
+
+def test_shared_passages_do_not_meet(spark, monkeypatch):
+    """Texts that share most of a passage and cannot link are gone before the join of tokens; those that can are found."""
+    passage = [f"p{i}" for i in range(84)]
+    apart = [" ".join([*passage, *(f"u{i}_{j}" for j in range(20))]) for i in range(200)]
+    close = [" ".join([*passage, *(f"v{i}_{j}" for j in range(6))]) for i in range(30)]
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(apart + close)]
+    pairs = []
+    asked = group_join.stage
+
+    def watch(df, name):
+        out = asked(df, name)
+        if name == "jaccard-asked":
+            pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(group_join, "stage", watch)
+    got = {r.doc_id: r.component_id for r in group_join.jaccard_classes(spark.createDataFrame(rows, DOCS)).collect()}
+    sets, place = plain_jaccard(rows)
+    assert all((got[a] == got[b]) == (place[a] == place[b]) for a in got for b in got)
+    assert max(pairs) < 500
 
 
 # -- 9 -----------------------------------------------------------------------------------------------------------
