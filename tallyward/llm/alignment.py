@@ -6,6 +6,7 @@ import hashlib
 import os
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from tallyward.llm.common import pick, ramp, slices, span_codes, stage, text_bytes
 
 CACHE_ENTRIES = 400_000
-SLICE, BLOCK = 2 << 20, 16 << 20  # bytes of text
+SLICE, BLOCK = 512 << 10, 8 << 20  # bytes of text
 _BLANK = "▁"
 
 
@@ -33,6 +34,12 @@ class _Bytes:
         return self.flat[np.repeat(self.begins[ids], sizes) + ramp(sizes)]
 
 
+@cache
+def _decimal(size: int) -> _Bytes:
+    """Numbers below ``size`` as text, each with a comma behind it."""
+    return _Bytes([str(i).encode() + b"," for i in range(size)])
+
+
 def _byte_level() -> dict[str, int]:
     """The byte of every stand-in letter: printable Latin-1 stands for itself, the others follow from 256 on."""
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -140,7 +147,7 @@ class Pair:
                 found = side.encode(chunks)
                 size = np.fromiter(map(len, found), np.int64, len(found))
                 starts_, sizes_, ids = self.kept[i]
-                fresh = np.fromiter((x for f in found for x in f), np.int32, int(size.sum()))
+                fresh = np.fromiter(chain.from_iterable(found), np.int32, int(size.sum()))
                 self.kept[i] = (np.r_[starts_, len(ids) + np.cumsum(size) - size][order], np.r_[sizes_, size][order],
                                 np.r_[ids, fresh])
             self.codes = merged[order]
@@ -225,7 +232,7 @@ class Aligned:
         ids, last = self.ids, len(self.ids)
         if not last:
             return [b""] * self.n_texts
-        names = _Bytes([str(i).encode() + b"," for i in range(int(ids.max()) + 1)])
+        names = _decimal(1 << int(ids.max()).bit_length())
         size = names.sizes[ids]
         out = names.spell(ids)
         stops = np.cumsum(size) - 1
@@ -349,8 +356,8 @@ def alignment_report(documents: DataFrame, first: str, second: str) -> DataFrame
     is the most frequent one of its second id (ties included). ``groups_sha256`` is the digest of the groups written as
     ``a1,a2|b1;a3|b2,b3``, or empty without tokens. Cases as in ``align``.
 
-    Texts are encoded once, in slices of about 2 MB (a longer text is a slice of its own), into a written table of one row
-    per block of about 16 MB: what its documents hold, its distinct pairs with their numbers, and its links as places
+    Texts are encoded once, in slices of about half a MB (a longer text is a slice of its own), into a written table of one row
+    per block of about 8 MB: what its documents hold, its distinct pairs with their numbers, and its links as places
     among these. Only distinct pairs of blocks are shuffled by pair; their counts come back to the block, not to the
     driver.
     """
