@@ -142,6 +142,20 @@ def clustered_table(t: Tables) -> DataFrame:
     return view.where("l_suppkey BETWEEN 3 AND 40").groupBy("l_suppkey").agg(F.count("*").alias("n"))
 
 
+@query("clustered_by_three", """SELECT l_returnflag, count(*) AS n, min(l_orderkey) AS first_order FROM lineitem
+WHERE l_suppkey BETWEEN 3 AND 9 AND l_shipdate >= TIMESTAMP '1999-01-01' AND l_shipdate < TIMESTAMP '1999-07-01' GROUP BY 1
+UNION ALL SELECT 'by flag', count(*), min(l_orderkey) FROM lineitem WHERE l_returnflag = 'R' AND l_suppkey = 7""")
+def clustered_by_three(t: Tables) -> DataFrame:
+    """Filters on two of three columns that share one layout."""
+    lines = lake.materialise(t.lineitem.select("l_suppkey", "l_shipdate", "l_returnflag", "l_orderkey"), "lines",
+                             cluster_by=["l_suppkey", "l_shipdate", "l_returnflag"])
+    count = [F.count("*").alias("n"), F.min("l_orderkey").alias("first_order")]
+    dated = lines.where("l_suppkey BETWEEN 3 AND 9 AND l_shipdate >= TIMESTAMP_NTZ '1999-01-01' "
+                        "AND l_shipdate < TIMESTAMP_NTZ '1999-07-01'").groupBy("l_returnflag").agg(*count)
+    flagged = lines.where("l_returnflag = 'R' AND l_suppkey = 7").agg(*count)
+    return dated.unionByName(flagged.select(F.lit("by flag").alias("l_returnflag"), "n", "first_order"))
+
+
 @query("run_log", """SELECT 'orders' AS source, 'success' AS status, count(*) AS rows_loaded, CAST(NULL AS VARCHAR)
   AS error_message FROM orders
 UNION ALL SELECT 'broken', 'failed', 0, 'no such quarter'""")

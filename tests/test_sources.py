@@ -4,8 +4,10 @@ import gzip
 import json
 import logging
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from tallyward.session import clear_layers, shared_folder
 from tallyward.sources import delimited, documents, lake, runlog, versions
@@ -131,6 +133,42 @@ def test_old_versions_go(spark, tmp_path):
     assert versions.current_folder(spark, str(tmp_path / "none")) is None
 
 
+def touched(folder, **ranges):
+    """Files whose ranges meet the filter, and all files, by the Parquet footers."""
+    files = sorted(folder.glob("part-*.parquet"))
+    hit = 0
+    for file in files:
+        meta = pq.ParquetFile(file).metadata
+        place = {meta.schema.column(i).name: i for i in range(meta.num_columns)}
+        groups = [meta.row_group(g) for g in range(meta.num_row_groups)]
+        hit += any(all((st := g.column(place[c]).statistics) and st.min <= high and st.max >= low
+                       for c, (low, high) in ranges.items()) for g in groups)
+    return hit, len(files)
+
+
+def test_layout_by_several_columns_skips_files(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        df = spark.range(40_000).selectExpr("(id * 7919) % 1000 AS a", "(id * 104729) % 997 AS b", "concat('n', id % 50) AS c",
+                                            "CASE WHEN id % 3 = 0 THEN 5 ELSE id END AS hot", "id")
+        lake.materialise(df, "z", cluster_by=["a", "b"], path=str(tmp_path / "z"))
+        lake.materialise(df, "one", cluster_by=["hot"], path=str(tmp_path / "one"))
+        lake.materialise(df.withColumn("a", F.when(F.col("a") > 10, F.col("a"))), "text", cluster_by=["c", "a"], path=str(tmp_path / "text"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    for folder in ("z", "one", "text"):
+        assert sorted(r.id for r in spark.read.parquet(str(tmp_path / folder)).select("id").collect()) == list(range(40_000))
+    for ranges in ({"a": (100, 120)}, {"b": (500, 520)}):
+        hit, files = touched(tmp_path / "z", **ranges)
+        assert files > 40 and hit <= files / 3
+    assert touched(tmp_path / "z", a=(100, 120), b=(500, 520))[0] <= 6
+    assert touched(tmp_path / "text", c=("n7", "n7"))[0] <= 64 / 3
+    # A value that a third of the rows have stands in many files, so no task wrote all of it.
+    assert touched(tmp_path / "one", hot=(5, 5))[0] > 15 and touched(tmp_path / "one", hot=(30_000, 31_000))[0] <= 4
+
+
 def test_headers_are_sent_not_lines(spark, tmp_path):
     folder = landed(tmp_path, a=["ALPHA$beta$gamma", "1$2$3"], b=["gamma$alpha", "6$4"])
     read = delimited.read_fixed(spark, folder, COLUMNS)
