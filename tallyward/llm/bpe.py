@@ -206,9 +206,9 @@ def encoder(path: str) -> Encoder:
     return Encoder(load(path))
 
 
-def encode_batches(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    """Batches with a text column become batches with ``ids`` (list of int32) in its place, last."""
-    for batch in slices(batches, "text", 8 << 20):
+def encode_batches(batches: Iterator[pa.RecordBatch], path: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches with a text column become batches of about ``most`` bytes with ``ids`` (list of int32) in its place, last."""
+    for batch in slices(batches, "text", most):
         place = batch.schema.get_field_index("text")
         ids, counts = encoder(path).encode(*text_bytes(batch.column(place)))
         lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)], pa.int32()), pa.array(ids, pa.int32()))
@@ -235,12 +235,12 @@ def encode(documents: DataFrame, vocabulary: str, *keep: str) -> DataFrame:
     A null or empty text, or one of white space only, has no ids. A special token written out in a text is its id.
     Repeated rows stay; a null id stays null; an empty table has no result. ``keep`` names further columns to carry.
     ``vocabulary`` is the path of the tokenizer file, which every executor must have. Each task works on slices of
-    8 MB of text (a longer text is a slice of its own) and remembers at most ``CACHE_ENTRIES`` chunks.
+    2 MB of text (a longer text is a slice of its own) and remembers at most ``CACHE_ENTRIES`` chunks.
     """
     rows = pick(documents, "doc_id", *keep, "text")
     kinds = dict(rows.dtypes)
     schema = ", ".join([f"`{c}` {kinds[c]}" for c in ("doc_id", *keep)]) + ", ids array<int>"
-    return rows.mapInArrow(lambda batches: encode_batches(batches, vocabulary), schema)
+    return rows.mapInArrow(lambda batches: encode_batches(batches, vocabulary, 2 << 20), schema)
 
 
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:

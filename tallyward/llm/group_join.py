@@ -70,7 +70,7 @@ _DEALT = "kind int, slice int, block long, tokens binary, places binary, extra b
 
 def _deal(batches: Iterator[pa.RecordBatch], width: int, n_slices: int) -> Iterator[pa.RecordBatch]:
     part = TaskContext.get().partitionId()
-    for seq, batch in enumerate(slices(batches, "text")):
+    for seq, batch in enumerate(slices(batches, "text", 2 << 20)):
         block = part << 24 | seq
         tokens, bounds = shingle_sets(*text_bytes(batch.column(1)), width)
         one, two = _signatures(tokens, bounds)
