@@ -46,7 +46,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality rules", quality_rules), ("n-gram Jaccard join", near_duplicates), ("secret scans", mask_secrets),
           ("mixing sources", mix_sources), ("BPE encoding", encode)]
 
-# Hash draws, divergences and merge rounds have no SQL form; tests/llm compares each stage with a plain version.
+# Hash draws, divergences and merge rounds have no SQL form; tests/llm compares the operators of the stages with plain versions.
 ORACLE_SQL = None
 
 
