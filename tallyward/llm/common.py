@@ -24,10 +24,10 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
         *[F.col(f"__{i}").alias(name) for i, name in zip(places, names)])
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, **options: str) -> DataFrame:
     """The frame as a Parquet table in the shared folder: cuts the lineage and survives lost executors."""
     path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -13,16 +13,22 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyward.llm.common import (
-    _SPACE, FOLD, mix, partitions, pick, ramp, release, slices, span_codes, stage, text_bytes, words_of)
+    _SPACE, FOLD, mix, partitions, pick, release, slices, stage, text_bytes, words_of)
 
 DEPTH = 5
-BLOCK = 2 << 20  # bytes of text in a block
+PIECE = 2 << 20  # bytes of text worked on at once
+PIECES = 8  # pieces in a block
+SLICE = 64 << 20  # bytes of text for each slice of the codes
+UNIT = 2.0 ** -36  # log10 probabilities are sent as multiples of this
+WORD = -1  # ``b`` of a word
 PRIOR = 2.0  # weight of the next shorter context in a smoothed distribution, in observations
 DIVERGENCE = 2.0  # a state gains this many nats for each symbol it predicts
 
@@ -244,41 +250,61 @@ def _symbols(flat: np.ndarray, starts: np.ndarray, end: np.ndarray) -> tuple[np.
 
 def _grams(symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """``a`` and ``b`` of the gram of every symbol; START stands in every place before the text."""
-    place = ramp(sizes)
-    packed = [symbols.copy(), np.zeros(len(symbols), np.int64)]
-    for k in range(1, DEPTH + 1):
-        before = np.full(len(symbols), START, np.int64)
-        before[k:] = symbols[:max(0, len(symbols) - k)]
-        before[place < k] = START
-        packed[k > 2] |= before << _BITS * (k % 3)
-    return packed[0], packed[1]
+    padded = np.insert(symbols, np.repeat(np.cumsum(sizes) - sizes, DEPTH), START)
+    near = padded.copy()
+    near[1:] |= padded[:-1] << _BITS
+    near[2:] |= padded[:-2] << 2 * _BITS
+    far = np.zeros_like(near)
+    far[3:] = near[:-3]
+    own = padded != START
+    return near[own], far[own]
 
 
 def _gram_codes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix(a.view(np.uint64) * np.uint64(_BASE) + mix(b.view(np.uint64) + np.uint64(77)))
 
 
-def gram_counts(documents: DataFrame) -> DataFrame:
-    """``(a, b, n)``: every gram of (text, held_out) with its number in texts that are not held out (may be 0)."""
+def _distinct(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each entry's code among the distinct codes, and these, by first appearance (a hash table, no sort)."""
+    place, distinct = pd.factorize(code)
+    return place.astype(np.int32), distinct
+
+
+def text_counts(documents: DataFrame) -> DataFrame:
+    """``(a, b, n)``: every gram of (text, held_out) with its number in texts that are not held out (may be 0).
+
+    Rows whose ``b`` is ``WORD`` count words instead; their ``a`` is the word's 64-bit hash.
+    """
     names = ["a", "b", "n"]
 
-    def merged(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
-        _, at, inverse = np.unique(_gram_codes(a, b), return_index=True, return_inverse=True)
-        return a[at], b[at], np.bincount(inverse, n).astype(np.int64)
+    def merged(code: np.ndarray, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+        place, distinct = _distinct(code)
+        at = np.empty(len(distinct), np.int64)
+        at[place[::-1]] = np.arange(len(place) - 1, -1, -1)
+        return distinct, a[at], b[at], np.bincount(place, n, minlength=len(distinct)).astype(np.int64)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = tuple(np.zeros(0, np.int64) for _ in names)
-        for batch in slices(batches, "text", BLOCK):
+        held: list[tuple[np.ndarray, ...]] = []
+        n_held = 0
+        for batch in slices(batches, "text", PIECE):
             flat, starts = text_bytes(batch.column(0))
-            symbols, sizes = _symbols(flat, starts, words_of(flat, starts)[1])
-            train = np.repeat(~batch.column(1).to_numpy(zero_copy_only=False), sizes)
-            new = merged(*_grams(symbols, sizes), train)
-            held = merged(*[np.r_[x, y] for x, y in zip(held, new, strict=True)])
-            if len(held[0]) > 2_000_000:  # bounded memory: what has gathered so far goes on to Spark's aggregation
-                yield pa.RecordBatch.from_arrays([*map(pa.array, held)], names=names)
-                held = tuple(np.zeros(0, np.int64) for _ in names)
-        if len(held[0]):
-            yield pa.RecordBatch.from_arrays([*map(pa.array, held)], names=names)
+            _, end, code, first = words_of(flat, starts, fold=True)
+            train = ~batch.column(1).to_numpy(zero_copy_only=False)
+            symbols, sizes = _symbols(flat, starts, end)
+            a, b = _grams(symbols, sizes)
+            held.append(merged(_gram_codes(a, b), a, b, np.repeat(train, sizes)))
+            held.append(merged(code, code.view(np.int64), np.full(len(code), WORD), np.repeat(train, np.diff(first))))
+            n_held += len(held[-1][0]) + len(held[-2][0])
+            if n_held > 3_000_000:
+                held = [merged(*map(np.concatenate, zip(*held, strict=True)))]
+                n_held = len(held[0][0])
+                if n_held > 2_000_000:  # bounded memory: what has gathered so far goes on to Spark's aggregation
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, held[0][1:])], names=names)
+                    held, n_held = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays(
+                [*map(pa.array, merged(*map(np.concatenate, zip(*held, strict=True)))[1:])], names=names)
+        release()
 
     return documents.select("text", "held_out").mapInArrow(work, "a long, b long, n long").groupBy("a", "b").agg(
         F.sum("n").alias("n"))
@@ -323,7 +349,8 @@ def _fit_part(divergence: float, prior: float):
     return work
 
 
-def fit_texts(grams: DataFrame, divergence: float = DIVERGENCE, prior: float = PRIOR) -> DataFrame:
+def fit_texts(grams: DataFrame, divergence: float = DIVERGENCE, prior: float = PRIOR,
+              n_parts: int | None = None) -> DataFrame:
     """``(a, b, log)``: the log10 probability of the symbol of every gram, of training or not.
 
     A context is a state when coding what follows it by its own distribution instead of its suffix's saves at least
@@ -344,9 +371,9 @@ def fit_texts(grams: DataFrame, divergence: float = DIVERGENCE, prior: float = P
         "pair", "last", "n1", "t1", "n0", F.coalesce("kept", F.lit(False)).alias("kept")), "tree-pairs")
     near = pairs.select("pair", "n1", "t1")
     parts = grams.withColumn("pair", F.col("a").bitwiseAND(_TWO)).join(near, "pair").withColumn(
-        "part", F.expr(f"pmod(xxhash64(shiftright(a, {_BITS})), {4 * partitions(spark)})"))
+        "part", F.expr(f"pmod(xxhash64(shiftright(a, {_BITS})), {n_parts or 4 * partitions(spark)})"))
     fitted = stage(parts.select("part", "a", "b", "n", "n1", "t1").groupBy("part").applyInArrow(
-        _fit_part(divergence, prior), "a long, b long, alpha double, beta double, state boolean"), "tree-parts")
+        _fit_part(divergence, prior), "a long, b long, alpha double, beta double, state boolean"), "tree-parts", compression="zstd")
     suffixes = fitted.where("state").select(F.shiftright(F.col("a").bitwiseAND(_TWO), _BITS).alias("last")).distinct()
     p0 = F.when(F.col("n0") > 0, (F.col("n0") + 1) / F.lit(size)).otherwise(1 / size / N_CODE_POINTS)
     p1 = F.when(F.col("kept") | F.col("deeper"), (F.col("n1") + prior * p0) / (F.col("t1") + prior)).otherwise(p0)
@@ -358,9 +385,10 @@ def fit_texts(grams: DataFrame, divergence: float = DIVERGENCE, prior: float = P
 
 # -- scores of texts ---------------------------------------------------------------------------------------------
 
-# Kind 0: codes of words and grams that a block asks of a slice, or the values of them; kind 1: the documents of a
-# block; kind 2: codes and their values.
-_ASKED = "kind int, slice int, block long, codes binary, numbers binary, held binary, doc_ids array<long>"
+# Kind 0: codes of words and grams that a block asks of a slice, or the values of them; kind 1: some documents of a
+# block; kind 2: codes and their values. ``check`` is the CRC of the
+# block's texts, of kind 1 the place of the piece.
+_ASKED = "kind int, slice int, block long, check long, codes binary, numbers binary, held binary, doc_ids array<long>"
 _ARROW = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()),
           "double": pa.float64(), "boolean": pa.bool_()}
 
@@ -372,77 +400,101 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
                                       names=[n for n, _ in fields])
 
 
-def _cuts(code: np.ndarray, n_slices: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order of the codes by slice, and where each slice begins in it."""
-    to = ((code >> np.uint64(40)) % np.uint64(n_slices)).astype(np.int32)
-    order = np.argsort(to, kind="stable")
-    return order, np.searchsorted(to[order], np.arange(n_slices + 1))
+def _pack(numbers: np.ndarray) -> bytes:
+    """64-bit numbers, compressed by planes of bytes: small ones and such of similar size become short."""
+    return zstandard.compress(numbers.view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def _unpack(data: bytes, dtype: str = "<u8") -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, -1).T).view(dtype).ravel()
+
+
+def _by_slice(code: np.ndarray, n_slices: int) -> list[tuple[int, int, int]]:
+    """(slice, begin, end) of the sorted codes; slices are ranges of codes, empty ones are left out."""
+    to = ((code >> np.uint64(40)) * np.uint64(n_slices)) >> np.uint64(24)
+    cuts = np.searchsorted(to, np.arange(n_slices + 1, dtype=np.uint64)).tolist()
+    return [(i, a, b) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if a < b]
+
+
+def _gaps(code: np.ndarray) -> bytes:
+    return _pack(np.diff(code, prepend=np.uint64(0)))
+
+
+def _codes(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpack(data), dtype=np.uint64)
 
 
 def _asked(flat: np.ndarray, starts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Of the words and of the grams: the distinct codes, the place of each one's code, and how many each text has."""
+    """Of the words and of the grams: the place of each one's code, the distinct codes, and how many each text has."""
     _, end, code, first = words_of(flat, starts, fold=True)
     symbols, sizes = _symbols(flat, starts, end)
-    return [(*np.unique(x, return_inverse=True), n) for x, n in (
+    return [(*_distinct(x), n) for x, n in (
         (code, np.diff(first)), (_gram_codes(*_grams(symbols, sizes)), sizes))]
 
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bool, pa.RecordBatch]]:
+    """(block, is its last piece, piece): both readers of the documents cut them into the same pieces and blocks."""
+    last = None
+    for seq, piece in enumerate(slices(batches, "text", PIECE)):
+        if last is not None:
+            yield part << 32 | (seq - 1) // PIECES, seq % PIECES == 0, last
+        last, part = piece, piece.column(3)[0].as_py()
+    if last is not None:
+        yield part << 32 | seq // PIECES, True, last
+
+
 def _ask(n_slices: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        part = TaskContext.get().partitionId()
-        for seq, batch in enumerate(slices(batches, "text", BLOCK)):
-            block = part << 32 | seq
-            flat, starts = text_bytes(batch.column(2))
-            held = batch.column(1).to_numpy(zero_copy_only=False)
-            rows = [(1, block % n_slices, block, zlib.compress(flat.tobytes(), 1), starts.astype("<i8").tobytes(),
-                     held.astype("u1").tobytes(), batch.column(0).to_pylist())]
-            code = np.concatenate([x[0] for x in _asked(flat, starts)])
-            order, cuts = _cuts(code, n_slices)
-            code = code[order]
-            rows += [(0, i, block, code[cuts[i]:cuts[i + 1]].tobytes(), b"", b"", None)
-                     for i in range(n_slices) if cuts[i] < cuts[i + 1]]
-            yield _batch(rows, _ASKED)
+        held, check = [], 0
+        for block, ends, piece in _blocks(batches):
+            flat, starts = text_bytes(piece.column(2))
+            check = zlib.crc32(flat, check)
+            held += [x[1] for x in _asked(flat, starts)]
+            if ends:
+                code = np.unique(np.concatenate(held))
+                yield _batch([(0, i, block, check, _gaps(code[a:b]), b"", b"", None)
+                              for i, a, b in _by_slice(code, n_slices)], _ASKED)
+                held, check = [], 0
 
     return work
 
 
+def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for seq, (block, _, piece) in enumerate(_blocks(batches)):
+        flat, starts = text_bytes(piece.column(2))
+        held = piece.column(1).to_numpy(zero_copy_only=False)
+        yield _batch([(1, 0, block, seq, zstandard.compress(flat.tobytes(), 5), _pack(starts.astype("<i8")),
+                       held.astype("u1").tobytes(), piece.column(0).to_pylist())], _ASKED)
+
+
 def _tell(n_slices: int, words: bool):
-    """Codes and values by slice: numbers of words, or log10 probabilities of grams."""
+    """Codes and values by slice: numbers of words, or log10 probabilities of grams, negative and in ``UNIT``."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            if words:
-                flat, starts = text_bytes(batch.column(0))
-                code, value = span_codes(flat, starts[:-1], starts[1:]), batch.column(1).to_numpy().astype(float)
-            else:
-                code = _gram_codes(batch.column(0).to_numpy(), batch.column(1).to_numpy())
-                value = batch.column(2).to_numpy()
-            order, cuts = _cuts(code, n_slices)
+            a, b, value = [batch.column(i).to_numpy() for i in range(3)]
+            code = a.view(np.uint64) if words else _gram_codes(a, b)
+            value = value if words else np.rint(-value / UNIT).astype(np.int64)
+            order = np.argsort(code)
             code, value = code[order], value[order]
-            yield _batch([(2, i, 0, code[cuts[i]:cuts[i + 1]].tobytes(), value[cuts[i]:cuts[i + 1]].tobytes(), b"", None)
-                          for i in range(n_slices) if cuts[i] < cuts[i + 1]], _ASKED)
+            yield _batch([(2, i, 0, 0, _gaps(code[a:b]), _pack(value[a:b]), b"", None)
+                          for i, a, b in _by_slice(code, n_slices)], _ASKED)
 
     return work
 
 
 def _answer(table: pa.Table) -> pa.Table:
     """Of one slice: the values of the codes that each block asks for, in its order."""
-    rows = table.to_pylist()
+    rows = table.select(["kind", "slice", "block", "check", "codes", "numbers"]).to_pylist()
     told = [r for r in rows if r["kind"] == 2]
-    code = np.concatenate([np.frombuffer(r["codes"], "<u8") for r in told] or [np.zeros(0, "<u8")])
+    code = np.concatenate([_codes(r["codes"]) for r in told] or [np.zeros(0, "<u8")])
     order = np.argsort(code)
     code = code[order]
-    value = np.concatenate([np.frombuffer(r["numbers"], "<f8") for r in told] or [np.zeros(0)])[order]
-    out = []
-    for r in rows:
-        if r["kind"] == 1:
-            out.append(tuple(r.values()))
-        elif r["kind"] == 0:
-            found = value[np.searchsorted(code, np.frombuffer(r["codes"], "<u8"))]
-            out.append((0, r["slice"], r["block"], b"", found.tobytes(), b"", None))
+    value = np.concatenate([_unpack(r["numbers"], "<i8") for r in told] or [np.zeros(0, "<i8")])[order]
+    out = [(0, r["slice"], r["block"], r["check"], b"", _pack(value[np.searchsorted(code, _codes(r["codes"]))]), b"", None)
+           for r in rows if r["kind"] == 0]
     release()
     return pa.Table.from_batches([_batch(out, _ASKED)])
 
@@ -450,27 +502,31 @@ def _answer(table: pa.Table) -> pa.Table:
 _SCORED = "doc_id long, held_out boolean, n_words long, known long, base double, logs double"
 
 
-def _sum_block(n_slices: int):
-    def work(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        head = next(r for r in rows if r["kind"] == 1)
-        flat, starts = np.frombuffer(zlib.decompress(head["codes"]), np.uint8), np.frombuffer(head["numbers"], "<i8")
-        (words, word, n_words), (grams, gram, n_grams) = _asked(flat, starts)
-        order, _ = _cuts(np.concatenate([words, grams]), n_slices)
-        value = np.empty(len(order))
-        answers = sorted((r for r in rows if r["kind"] == 0), key=lambda r: r["slice"])
-        value[order] = np.concatenate([np.frombuffer(r["numbers"], "<f8") for r in answers] or [np.zeros(0)])
-        counts, logs = value[:len(words)][word], value[len(words):][gram]
+def _sum_block(table: pa.Table) -> pa.Table:
+    rows = table.to_pylist()
+    heads = sorted((r for r in rows if r["kind"] == 1), key=lambda r: r["check"])
+    answers = sorted((r for r in rows if r["kind"] == 0), key=lambda r: r["slice"])
+    pieces, check = [], 0
+    for r in heads:
+        flat = np.frombuffer(zstandard.decompress(r["codes"]), np.uint8)
+        check = zlib.crc32(flat, check)
+        pieces.append(_asked(flat, _unpack(r["numbers"], "<i8")))
+    code = np.unique(np.concatenate([x[1] for piece in pieces for x in piece] or [np.zeros(0, "<u8")]))
+    value = np.concatenate([_unpack(r["numbers"], "<i8") for r in answers] or [np.zeros(0, "<i8")])
+    if len(code) != len(value) or any(r["check"] != check for r in answers):
+        raise RuntimeError("the documents came in another order when they were read again; write them to a table first")
+    out: list[tuple] = []
+    for head, ((word, words, n_words), (gram, grams, n_grams)) in zip(heads, pieces, strict=True):
+        counts = value[np.searchsorted(code, words)][word]
+        logs = value[np.searchsorted(code, grams)][gram]
         n = len(n_words)
         of_word, of_gram = np.repeat(np.arange(n), n_words), np.repeat(np.arange(n), n_grams)
         known = np.bincount(of_word, counts > 0, minlength=n).astype(np.int64)
-        out = zip(head["doc_ids"], (np.frombuffer(head["held"], "u1") > 0).tolist(), n_words.tolist(), known.tolist(),
-                  np.bincount(of_word, np.log10(counts + 1), minlength=n).tolist(),
-                  np.bincount(of_gram, logs, minlength=n).tolist(), strict=True)
-        release()
-        return pa.Table.from_batches([_batch(list(out), _SCORED)])
-
-    return work
+        out += zip(head["doc_ids"], (np.frombuffer(head["held"], "u1") > 0).tolist(), n_words.tolist(), known.tolist(),
+                   np.bincount(of_word, np.log10(counts + 1), minlength=n).tolist(),
+                   (-UNIT * np.bincount(of_gram, logs, minlength=n)).tolist(), strict=True)
+    release()
+    return pa.Table.from_batches([_batch(out, _SCORED)])
 
 
 def score(documents: DataFrame, fold: int = 7, held: int = 2) -> DataFrame:
@@ -483,25 +539,29 @@ def score(documents: DataFrame, fold: int = 7, held: int = 2) -> DataFrame:
     texts; an empty table has no result; without training texts every symbol is unknown.
 
     Words and grams (a symbol and its context) are counted once over the corpus, and every distinct gram is scored once,
-    in written tables. A block of documents asks slices of a 64-bit hash for the values of its distinct words and grams,
-    so no vocabulary and no tree is held whole by any task, nor by the driver.
+    in written tables. A block of documents asks ranges of a 64-bit hash for the values of its distinct words and grams,
+    so no vocabulary and no tree is held whole by any task, nor by the driver. A symbol's log10 probability is rounded to
+    ``UNIT``. The documents are read three times and have to come in the same order, as from a table of files.
     """
     spark = documents.sparkSession
-    n_slices = partitions(spark)
     rows = pick(documents, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     text_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     rows = rows.select("doc_id", (F.crc32(text_id) % fold == held).alias("held_out"), "text")
-    words = stage(word_counts(rows), "tree-words")
-    totals = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
-    n_texts = rows.where("NOT held_out").count()
+    n_texts, n_bytes = rows.agg(F.count(F.when(~F.col("held_out"), 1)),
+                                F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    n_slices = max(partitions(spark), -(-n_bytes // SLICE))
+    counts = stage(text_counts(rows), "tree-counts", compression="zstd")
+    words, grams = counts.where(F.col("b") == WORD), counts.where(F.col("b") != WORD)
+    totals = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
     n_train = totals[0] + n_texts
     size = n_train + totals[1] + (n_texts > 0) + 1
-    grams = fit_texts(stage(gram_counts(rows), "tree-grams"))
 
-    asked = rows.mapInArrow(_ask(n_slices), _ASKED)
-    told = words.mapInArrow(_tell(n_slices, True), _ASKED).unionAll(grams.mapInArrow(_tell(n_slices, False), _ASKED))
+    parted = rows.withColumn("part", F.spark_partition_id())
+    asked = parted.mapInArrow(_ask(n_slices), _ASKED)
+    told = words.mapInArrow(_tell(n_slices, True), _ASKED).unionAll(
+        fit_texts(grams, n_parts=4 * n_slices).mapInArrow(_tell(n_slices, False), _ASKED))
     answers = asked.unionAll(told).groupBy("slice").applyInArrow(_answer, _ASKED)
-    sums = answers.groupBy("block").applyInArrow(_sum_block(n_slices), _SCORED)
+    sums = answers.unionAll(parted.mapInArrow(_heads, _ASKED)).groupBy("block").applyInArrow(_sum_block, _SCORED)
     n_tokens = F.col("n_words") + 1
     return sums.select(
         "doc_id", "held_out", n_tokens.alias("n_tokens"),
