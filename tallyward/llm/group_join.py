@@ -110,30 +110,36 @@ def _table(rows: list[tuple], schema: str) -> pa.Table:
     return pa.Table.from_batches([_batch(rows, schema)])
 
 
+def _numbers(column: pa.ChunkedArray, i: int, dtype: np.dtype) -> np.ndarray:
+    """The numbers in a binary value, read where they lie."""
+    data = column[i].as_buffer()
+    return np.frombuffer(data, dtype) if data.size else np.zeros(0, dtype)
+
+
 def _shared(table: pa.Table) -> pa.Table:
     """Of one slice: the tokens found in two sets or more, back by block, with the number of sets that have each."""
-    rows = table.to_pylist()
-    out = [(1, r["slice"], r["block"], b"", b"", r["extra"], r["doc_ids"]) for r in rows if r["kind"] == 1]
-    rows = [r for r in rows if r["kind"] == 0]
-    if rows:
-        tokens = np.concatenate([np.frombuffer(r["tokens"], _U8) for r in rows])
-        sizes = [len(r["tokens"]) // 8 for r in rows]
-        ordered = np.sort(tokens)
-        cut = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-        counts = np.diff(np.r_[cut, len(ordered)])
-        common, counts = ordered[cut][counts > 1], counts[counts > 1]
-        at = 0
-        for r, size in zip(rows, sizes, strict=True):
-            own = tokens[at:at + size]
-            at += size
-            if not len(common):
-                continue
+    kinds, blocks = table.column("kind").to_numpy(), table.column("block").to_numpy()
+    slice_ = table.column("slice")[0].as_py()
+    dealt, places = table.column("tokens"), table.column("places")
+    heads = table.select(["block", "extra", "doc_ids"]).filter(pa.array(kinds == 1)).to_pylist()
+    out = [(1, slice_, r["block"], b"", b"", r["extra"], r["doc_ids"]) for r in heads]
+    at = np.flatnonzero(kinds == 0).tolist()
+    if at:
+        # Only the dealt tokens and one sorted copy of them are in memory at a time.
+        ordered = np.concatenate([_numbers(dealt, i, _U8) for i in at])
+        ordered.sort()
+        same = ordered[1:] == ordered[:-1]
+        begins = np.flatnonzero(same & np.r_[True, ~same[:-1]]) if len(same) else np.zeros(0, np.int64)
+        ends = np.flatnonzero(same & np.r_[~same[1:], True]) if len(same) else begins
+        common, counts = ordered[begins], (ends - begins + 2).astype("<u4")
+        del ordered, same, begins, ends
+        for i in at if len(common) else []:
+            own = _numbers(dealt, i, _U8)
             place = np.minimum(np.searchsorted(common, own), len(common) - 1)
             hit = common[place] == own
             if hit.any():
-                who = np.frombuffer(r["places"], np.uint32)[hit]
-                out.append((0, r["slice"], r["block"], own[hit].tobytes(), who.tobytes(),
-                            counts[place[hit]].astype("<u4").tobytes(), None))
+                out.append((0, slice_, int(blocks[i]), own[hit].tobytes(), _numbers(places, i, np.uint32)[hit].tobytes(),
+                            counts[place[hit]].tobytes(), None))
     release()
     return _table(out, _DEALT)
 
