@@ -68,10 +68,11 @@ def _power(base: int, n: int) -> np.ndarray:
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit numbers (the finaliser of a public hash)."""
     x = x ^ (x >> np.uint64(33))
-    x = x * np.uint64(0xFF51AFD7ED558CCD)
-    x = x ^ (x >> np.uint64(33))
-    x = x * np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> np.uint64(33))
+    x *= np.uint64(0xFF51AFD7ED558CCD)
+    x ^= x >> np.uint64(33)
+    x *= np.uint64(0xC4CEB9FE1A85EC53)
+    x ^= x >> np.uint64(33)
+    return x
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

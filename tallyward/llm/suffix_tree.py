@@ -24,8 +24,8 @@ from tallyward.llm.common import (
     _SPACE, FOLD, mix, partitions, pick, release, slices, stage, text_bytes, words_of)
 
 DEPTH = 5
-PIECE = 2 << 20  # bytes of text worked on at once
-PIECES = 8  # pieces in a block
+PIECE = 1 << 20  # bytes of text worked on at once
+PIECES = 16  # pieces in a block
 SLICE = 64 << 20  # bytes of text for each slice of the codes
 UNIT = 2.0 ** -36  # log10 probabilities are sent as multiples of this
 WORD = -1  # ``b`` of a word
@@ -261,7 +261,9 @@ def _grams(symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _gram_codes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return mix(a.view(np.uint64) * np.uint64(_BASE) + mix(b.view(np.uint64) + np.uint64(77)))
+    code = mix(b.view(np.uint64) + np.uint64(77))
+    code += a.view(np.uint64) * np.uint64(_BASE)
+    return mix(code)
 
 
 def _distinct(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -277,33 +279,39 @@ def text_counts(documents: DataFrame) -> DataFrame:
     """
     names = ["a", "b", "n"]
 
-    def merged(code: np.ndarray, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
-        place, distinct = _distinct(code)
-        at = np.empty(len(distinct), np.int64)
-        at[place[::-1]] = np.arange(len(place) - 1, -1, -1)
-        return distinct, a[at], b[at], np.bincount(place, n, minlength=len(distinct)).astype(np.int64)
+    def merged(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+        place, distinct = _distinct(_gram_codes(a, b))
+        at = np.empty(len(distinct), np.int32)
+        at[place[::-1]] = np.arange(len(place) - 1, -1, -1, dtype=np.int32)
+        return a[at], b[at], np.bincount(place, n, minlength=len(distinct)).astype(np.int64)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
-        n_held = 0
+        n_held = n_merged = 0
+
+        def merge() -> None:
+            nonlocal held, n_held, n_merged
+            rows = tuple(map(np.concatenate, zip(*held, strict=True)))
+            held.clear()
+            held.append(merged(*rows))
+            n_held = n_merged = len(held[0][0])
+
         for batch in slices(batches, "text", PIECE):
             flat, starts = text_bytes(batch.column(0))
             _, end, code, first = words_of(flat, starts, fold=True)
             train = ~batch.column(1).to_numpy(zero_copy_only=False)
             symbols, sizes = _symbols(flat, starts, end)
-            a, b = _grams(symbols, sizes)
-            held.append(merged(_gram_codes(a, b), a, b, np.repeat(train, sizes)))
-            held.append(merged(code, code.view(np.int64), np.full(len(code), WORD), np.repeat(train, np.diff(first))))
+            held.append(merged(*_grams(symbols, sizes), np.repeat(train, sizes)))
+            held.append(merged(code.view(np.int64), np.full(len(code), WORD), np.repeat(train, np.diff(first))))
             n_held += len(held[-1][0]) + len(held[-2][0])
-            if n_held > 3_000_000:
-                held = [merged(*map(np.concatenate, zip(*held, strict=True)))]
-                n_held = len(held[0][0])
-                if n_held > 2_000_000:  # bounded memory: what has gathered so far goes on to Spark's aggregation
-                    yield pa.RecordBatch.from_arrays([*map(pa.array, held[0][1:])], names=names)
-                    held, n_held = [], 0
+            if n_held > n_merged + 800_000:
+                merge()
+                if n_held > 1_200_000:  # bounded memory: what has gathered so far goes on to Spark's aggregation
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, held[0])], names=names)
+                    held, n_held, n_merged = [], 0, 0
         if held:
-            yield pa.RecordBatch.from_arrays(
-                [*map(pa.array, merged(*map(np.concatenate, zip(*held, strict=True)))[1:])], names=names)
+            merge()
+            yield pa.RecordBatch.from_arrays([*map(pa.array, held[0])], names=names)
         release()
 
     return documents.select("text", "held_out").mapInArrow(work, "a long, b long, n long").groupBy("a", "b").agg(
@@ -425,12 +433,16 @@ def _codes(data: bytes) -> np.ndarray:
     return np.cumsum(_unpack(data), dtype=np.uint64)
 
 
-def _asked(flat: np.ndarray, starts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Of the words and of the grams: the place of each one's code, the distinct codes, and how many each text has."""
+def _coded(flat: np.ndarray, starts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of the words and of the grams: the code of each one, and how many each text has."""
     _, end, code, first = words_of(flat, starts, fold=True)
     symbols, sizes = _symbols(flat, starts, end)
-    return [(*_distinct(x), n) for x, n in (
-        (code, np.diff(first)), (_gram_codes(*_grams(symbols, sizes)), sizes))]
+    return [(code, np.diff(first)), (_gram_codes(*_grams(symbols, sizes)), sizes)]
+
+
+def _asked(flat: np.ndarray, starts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of the words and of the grams: the place of each one's code, the distinct codes, and how many each text has."""
+    return [(*_distinct(code), n) for code, n in _coded(flat, starts)]
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bool, pa.RecordBatch]]:
@@ -450,7 +462,7 @@ def _ask(n_slices: int):
         for block, ends, piece in _blocks(batches):
             flat, starts = text_bytes(piece.column(2))
             check = zlib.crc32(flat, check)
-            held += [x[1] for x in _asked(flat, starts)]
+            held += [pd.unique(x) for x, _ in _coded(flat, starts)]
             if ends:
                 code = np.unique(np.concatenate(held))
                 yield _batch([(0, i, block, check, _gaps(code[a:b]), b"", b"", None)
@@ -464,7 +476,7 @@ def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for seq, (block, _, piece) in enumerate(_blocks(batches)):
         flat, starts = text_bytes(piece.column(2))
         held = piece.column(1).to_numpy(zero_copy_only=False)
-        yield _batch([(1, 0, block, seq, zstandard.compress(flat.tobytes(), 5), _pack(starts.astype("<i8")),
+        yield _batch([(1, 0, block, seq, zstandard.compress(flat.tobytes(), 1), _pack(starts.astype("<i8")),
                        held.astype("u1").tobytes(), piece.column(0).to_pylist())], _ASKED)
 
 
