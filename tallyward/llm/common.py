@@ -75,6 +75,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def distinct_sorted(codes: list[np.ndarray]) -> np.ndarray:
+    """The distinct ones of many 64-bit numbers in order, by sorting in place (``np.unique`` fills a hash table first)."""
+    code = np.concatenate([*codes, np.zeros(0, np.uint64)])
+    code.sort()
+    first = np.ones(len(code), bool)
+    np.not_equal(code[1:], code[:-1], out=first[1:])
+    return code[first]
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column joined, and where each text starts (one more entry than texts); null: empty."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column

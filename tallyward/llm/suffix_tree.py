@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyward.llm.common import (
-    _SPACE, FOLD, mix, partitions, pick, release, slices, stage, text_bytes, words_of)
+    _SPACE, FOLD, distinct_sorted, mix, partitions, pick, release, slices, stage, text_bytes, words_of)
 
 DEPTH = 5
 PIECE = 1 << 20  # bytes of text worked on at once
@@ -418,6 +418,14 @@ def _unpack(data: bytes, dtype: str = "<u8") -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(8, -1).T).view(dtype).ravel()
 
 
+def _values(code: np.ndarray, value: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Values of the wanted codes, all of them in the sorted ``code``; asked in order, so that the search stays in cache."""
+    order = np.argsort(wanted)
+    out = np.empty(len(wanted), value.dtype)
+    out[order] = value[np.searchsorted(code, wanted[order])]
+    return out
+
+
 def _by_slice(code: np.ndarray, n_slices: int) -> list[tuple[int, int, int]]:
     """(slice, begin, end) of the sorted codes; slices are ranges of codes, empty ones are left out."""
     to = ((code >> np.uint64(40)) * np.uint64(n_slices)) >> np.uint64(24)
@@ -464,7 +472,7 @@ def _ask(n_slices: int):
             check = zlib.crc32(flat, check)
             held += [pd.unique(x) for x, _ in _coded(flat, starts)]
             if ends:
-                code = np.unique(np.concatenate(held))
+                code = distinct_sorted(held)
                 yield _batch([(0, i, block, check, _gaps(code[a:b]), b"", b"", None)
                               for i, a, b in _by_slice(code, n_slices)], _ASKED)
                 held, check = [], 0
@@ -523,14 +531,13 @@ def _sum_block(table: pa.Table) -> pa.Table:
         flat = np.frombuffer(zstandard.decompress(r["codes"]), np.uint8)
         check = zlib.crc32(flat, check)
         pieces.append(_asked(flat, _unpack(r["numbers"], "<i8")))
-    code = np.unique(np.concatenate([x[1] for piece in pieces for x in piece] or [np.zeros(0, "<u8")]))
+    code = distinct_sorted([x[1] for piece in pieces for x in piece])
     value = np.concatenate([_unpack(r["numbers"], "<i8") for r in answers] or [np.zeros(0, "<i8")])
     if len(code) != len(value) or any(r["check"] != check for r in answers):
         raise RuntimeError("the documents came in another order when they were read again; write them to a table first")
     out: list[tuple] = []
     for head, ((word, words, n_words), (gram, grams, n_grams)) in zip(heads, pieces, strict=True):
-        counts = value[np.searchsorted(code, words)][word]
-        logs = value[np.searchsorted(code, grams)][gram]
+        counts, logs = _values(code, value, words)[word], _values(code, value, grams)[gram]
         n = len(n_words)
         of_word, of_gram = np.repeat(np.arange(n), n_words), np.repeat(np.arange(n), n_grams)
         known = np.bincount(of_word, counts > 0, minlength=n).astype(np.int64)
