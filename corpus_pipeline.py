@@ -11,24 +11,29 @@ from pyspark.sql import functions as F
 
 from tallyward.llm import bpe, group_join, mixing, quality, secrets
 from tallyward.llm.common import stage
-from tallyward.llm.queries import ship, table, vocabulary
+from tallyward.llm.queries import ship, small_batches, table, vocabulary
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def prepare(spark: SparkSession) -> None:
     ship(spark)
+    small_batches(spark)
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
     return quality.keep_good(docs, quality.fit_references(docs), COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
+    prepare(spark)
     return group_join.keep_first(docs, COLUMNS)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every span found, in whatever layer, is masked; ``n_chars`` follows the text."""
-    ship(spark)
+    prepare(spark)
     masked = secrets.scan_documents(docs, ("lang", "source"), redacted=True)
     return masked.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
@@ -38,7 +43,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
+    prepare(spark)
     encoded = bpe.encode(docs, vocabulary(), "lang", "source")
     return encoded.withColumn("n_tokens", F.size("ids").cast("long"))
 

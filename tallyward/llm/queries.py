@@ -36,6 +36,17 @@ def ship(spark: SparkSession) -> None:
         spark.sparkContext.addPyFile(_archive())
 
 
+BATCH = 4 << 20  # bytes
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Rows go to Python tasks of the session in batches of about ``BATCH`` bytes (Spark: 10,000 rows or 64 MB).
+
+    Spark holds a batch outside its heap, in buffers that double as they grow, and the worker holds it once more.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH)
+
+
 def query(name: str, sql: str | None = None):
     def add(work):
         def run(spark: SparkSession, folder: str) -> DataFrame:

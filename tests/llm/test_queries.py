@@ -51,3 +51,16 @@ def test_pipeline(spark):
     for _, work in corpus_pipeline.STAGES[1:]:
         empty = work(spark, stage(empty, "test-empty"), FOLDER)
     assert empty.count() == 0
+
+
+def test_batches_are_bounded_in_bytes(spark):
+    """Documents reach the pipeline's Python tasks in batches of a few MB, however long they are."""
+    def sizes(batches):
+        for batch in batches:
+            yield bpe.pa.RecordBatch.from_arrays([bpe.pa.array([batch.num_rows]), bpe.pa.array([batch.nbytes])],
+                                                 names=["n", "size"])
+
+    corpus_pipeline.prepare(spark)
+    rows = spark.range(3000, numPartitions=1).selectExpr("id", "repeat('some text ', 2000) AS text")
+    got = rows.mapInArrow(sizes, "n long, size long").collect()
+    assert sum(r.n for r in got) == 3000 and max(r.size for r in got) < 2 * queries.BATCH
