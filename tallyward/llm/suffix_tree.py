@@ -266,6 +266,113 @@ def _gram_codes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix(code)
 
 
+_BLANK = bytes(32 if _SPACE[i] else int(FOLD[i]) for i in range(256))
+
+
+class Alphabet:
+    """Numbers for the symbols of some texts, so that a gram is one number of six digits; START has number 0."""
+
+    DIGIT = 10  # bits
+
+    def __init__(self):
+        letters = [i for i in range(33, 127) if FOLD[i] == i]
+        self.symbols = [START, WORD_END, TEXT_END, *letters]
+        self.number = np.zeros(N_CODE_POINTS, np.uint16)  # of letters; 0: none yet
+        self.number[letters] = np.arange(3, len(self.symbols))
+        self.number[32] = 1  # the space behind a word stands for its end
+
+    def digits(self, flat: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """The symbols of joined texts by number, DEPTH times START before each text, and how many others each has.
+
+        None, and nothing changes, when there are too many different letters.
+        """
+        folded = np.frombuffer(flat.tobytes().translate(_BLANK), np.uint8)
+        space = folded == 32
+        keep = ~space
+        keep[1:] |= space[1:] & ~space[:-1]  # the first space after a word
+        inner = starts[(starts > 0) & (starts < len(flat))]
+        keep[inner] = ~space[inner]
+        data = folded[keep]
+        if len(data) and data.max() > 127:
+            data = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), "<u4")
+            keep &= (flat & 0xC0) != 0x80
+        number = self.number[data]
+        if not number.all():
+            new = np.array(sorted(set(data[number == 0].tolist())))
+            if len(self.symbols) + len(new) > 1 << self.DIGIT:
+                return None
+            self.number[new] = np.arange(len(self.symbols), len(self.symbols) + len(new))
+            self.symbols += new.tolist()
+            number = self.number[data]
+        # After the letters of a text: the end of a word that no space follows, the end of the text.
+        bounds = np.r_[0, np.cumsum(keep, dtype=np.int32)][starts].astype(np.int64)
+        open_ = np.diff(starts) > 0
+        open_[open_] = ~space[starts[1:][open_] - 1]
+        values = np.tile(np.array([0] * DEPTH + [1, 2], np.uint16), (len(open_), 1))
+        there = np.ones(values.shape, bool)
+        there[:, DEPTH] = open_
+        at = np.repeat(np.stack([bounds[:-1], bounds[1:]], 1), [DEPTH, 2], axis=1)
+        return np.insert(number, at[there], values[there]).astype(np.int32), np.diff(bounds) + open_ + 1
+
+    @staticmethod
+    def pack(digit: np.ndarray, bits: int = DIGIT) -> np.ndarray:
+        """The gram of every symbol."""
+        near = digit.copy()
+        near[1:] |= digit[:-1] << bits
+        near[2:] |= digit[:-2] << 2 * bits
+        gram = near.astype(np.int64)
+        gram[3:] |= near[:-3].astype(np.int64) << 3 * bits
+        return gram[digit > 0]
+
+    def grams(self, packed: np.ndarray, bits: int = DIGIT) -> tuple[np.ndarray, np.ndarray]:
+        """``a`` and ``b`` of packed grams."""
+        symbols, mask = np.array(self.symbols), (1 << bits) - 1
+        digits = [symbols[packed >> i * bits & mask] for i in range(DEPTH + 1)]
+        return tuple(x | y << _BITS | z << 2 * _BITS for x, y, z in (digits[:3], digits[3:]))
+
+
+class Counter:
+    """Counts of packed grams, gathered by sorting."""
+
+    RAW, MOST, ROWS = 4_000_000, 2_000_000, 500_000
+
+    def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
+        self.alphabet = Alphabet()
+        self.raw: list[np.ndarray] = []
+        self.gram = self.n = np.zeros(0, np.int64)
+
+    def add(self, gram: np.ndarray, held_out: np.ndarray) -> None:
+        self.raw.append(gram << 1 | held_out)
+        if sum(map(len, self.raw)) > self.RAW:
+            self._gather()
+
+    def _gather(self) -> None:
+        key = np.concatenate([*self.raw, np.zeros(0, np.int64)])
+        self.raw.clear()
+        key.sort()
+        n = ~key & 1
+        key >>= 1
+        gram, n = self._sums(key, n)
+        gram, n = np.concatenate([self.gram, gram]), np.concatenate([self.n, n])
+        order = np.argsort(gram, kind="stable")  # two sorted runs: they are merged
+        self.gram, self.n = self._sums(gram[order], n[order])
+
+    @staticmethod
+    def _sums(gram: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        first = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]]) if len(gram) else np.zeros(0, np.int64)
+        return gram[first], np.add.reduceat(n, first) if len(first) else n
+
+    def rows(self) -> Iterator[tuple[np.ndarray, ...]]:
+        """All that has gathered, as ``a``, ``b`` and ``n``; it starts anew."""
+        self._gather()
+        for i in range(0, len(self.gram), self.ROWS):
+            yield (*self.alphabet.grams(self.gram[i:i + self.ROWS]), self.n[i:i + self.ROWS])
+        self.clear()
+
+
 def _distinct(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Place of each entry's code among the distinct codes, and these, by first appearance (a hash table, no sort)."""
     place, distinct = pd.factorize(code)
@@ -286,8 +393,13 @@ def text_counts(documents: DataFrame) -> DataFrame:
         return a[at], b[at], np.bincount(place, n, minlength=len(distinct)).astype(np.int64)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, ...]] = []
+        held: list[tuple[np.ndarray, ...]] = []  # words, and grams of pieces with too many different letters
         n_held = n_merged = 0
+        counter = Counter()
+
+        def packed() -> Iterator[pa.RecordBatch]:
+            for columns in counter.rows():
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=names)
 
         def merge() -> None:
             nonlocal held, n_held, n_merged
@@ -300,18 +412,29 @@ def text_counts(documents: DataFrame) -> DataFrame:
             flat, starts = text_bytes(batch.column(0))
             _, end, code, first = words_of(flat, starts, fold=True)
             train = ~batch.column(1).to_numpy(zero_copy_only=False)
-            symbols, sizes = _symbols(flat, starts, end)
-            held.append(merged(*_grams(symbols, sizes), np.repeat(train, sizes)))
+            digits = counter.alphabet.digits(flat, starts)
+            if digits is None:
+                yield from packed()
+                digits = counter.alphabet.digits(flat, starts)
+            if digits is not None:
+                counter.add(Alphabet.pack(digits[0]), np.repeat(~train, digits[1]))
+                if len(counter.gram) > Counter.MOST:  # bounded memory: this goes on to Spark's aggregation
+                    yield from packed()
+            else:
+                symbols, sizes = _symbols(flat, starts, end)
+                held.append(merged(*_grams(symbols, sizes), np.repeat(train, sizes)))
+                n_held += len(held[-1][0])
             held.append(merged(code.view(np.int64), np.full(len(code), WORD), np.repeat(train, np.diff(first))))
-            n_held += len(held[-1][0]) + len(held[-2][0])
+            n_held += len(held[-1][0])
             if n_held > n_merged + 800_000:
                 merge()
-                if n_held > 1_200_000:  # bounded memory: what has gathered so far goes on to Spark's aggregation
+                if n_held > 1_200_000:
                     yield pa.RecordBatch.from_arrays([*map(pa.array, held[0])], names=names)
                     held, n_held, n_merged = [], 0, 0
         if held:
             merge()
             yield pa.RecordBatch.from_arrays([*map(pa.array, held[0])], names=names)
+        yield from packed()
         release()
 
     return documents.select("text", "held_out").mapInArrow(work, "a long, b long, n long").groupBy("a", "b").agg(
@@ -441,16 +564,45 @@ def _codes(data: bytes) -> np.ndarray:
     return np.cumsum(_unpack(data), dtype=np.uint64)
 
 
-def _coded(flat: np.ndarray, starts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Of the words and of the grams: the code of each one, and how many each text has."""
-    _, end, code, first = words_of(flat, starts, fold=True)
-    symbols, sizes = _symbols(flat, starts, end)
-    return [(code, np.diff(first)), (_gram_codes(*_grams(symbols, sizes)), sizes)]
+def _gram_set(flat: np.ndarray, starts: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The distinct codes of all grams."""
+    alphabet = Alphabet()
+    digits = alphabet.digits(flat, starts)
+    if digits is None:
+        return pd.unique(_gram_codes(*_grams(*_symbols(flat, starts, end))))
+    packed = distinct_sorted([Alphabet.pack(digits[0]).view(np.uint64)])
+    return _gram_codes(*alphabet.grams(packed.view(np.int64)))
+
+
+def _gram_places(flat: np.ndarray, starts: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The place of each gram's code, the distinct codes, and how many grams each text has."""
+    alphabet = Alphabet()
+    digits = alphabet.digits(flat, starts)
+    if digits is None:
+        symbols, sizes = _symbols(flat, starts, end)
+        return (*_distinct(_gram_codes(*_grams(symbols, sizes))), sizes)
+    digit, sizes = digits
+    bits, low = (len(alphabet.symbols) - 1).bit_length(), len(digit).bit_length()
+    packed = Alphabet.pack(digit, bits)
+    if (DEPTH + 1) * bits + low > 63:
+        place, distinct = _distinct(packed)
+    else:  # a gram and its place are one number to sort
+        packed <<= low
+        packed |= np.arange(len(packed))
+        packed.sort()
+        order = packed & ((1 << low) - 1)
+        packed >>= low
+        fresh = np.ones(len(packed), bool)
+        np.not_equal(packed[1:], packed[:-1], out=fresh[1:])
+        place, distinct = np.empty(len(packed), np.int32), packed[fresh]
+        place[order] = np.cumsum(fresh, dtype=np.int32) - 1
+    return place, _gram_codes(*alphabet.grams(distinct, bits)), sizes
 
 
 def _asked(flat: np.ndarray, starts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Of the words and of the grams: the place of each one's code, the distinct codes, and how many each text has."""
-    return [(*_distinct(code), n) for code, n in _coded(flat, starts)]
+    _, end, code, first = words_of(flat, starts, fold=True)
+    return [(*_distinct(code), np.diff(first)), _gram_places(flat, starts, end)]
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bool, pa.RecordBatch]]:
@@ -470,7 +622,8 @@ def _ask(n_slices: int):
         for block, ends, piece in _blocks(batches):
             flat, starts = text_bytes(piece.column(2))
             check = zlib.crc32(flat, check)
-            held += [pd.unique(x) for x, _ in _coded(flat, starts)]
+            _, end, code, _ = words_of(flat, starts, fold=True)
+            held += [pd.unique(code), _gram_set(flat, starts, end)]
             if ends:
                 code = distinct_sorted(held)
                 yield _batch([(0, i, block, check, _gaps(code[a:b]), b"", b"", None)

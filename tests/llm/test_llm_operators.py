@@ -704,3 +704,45 @@ def test_good_documents_are_drawn_more_often(spark):
     got = [r for r in mixing.mix(spark.createDataFrame(rows, DOCS), labels).collect() if r.source == "s"]
     drawn = Counter(r.doc_id % 2 for r in got if r.epochs > min(x.epochs for x in got))
     assert drawn[1] > 1.5 * drawn[0] > 0
+
+
+@pytest.mark.parametrize("texts", [
+    [], [""], [None, "", " ", "a", " a", "a ", "  A  b\t", "\n", "é É", "x\x00y \x85 \x1c", "漢字 b", "😀", "", "end"],
+    ["".join(chr(0x4E00 + i) for i in range(900)), "b c"], ["".join(chr(0x4E00 + i) for i in range(1500)), "b c"]])
+def test_packed_grams(texts):
+    """Grams by numbered symbols are those of the symbols, also where there are too many letters to number."""
+    flat, starts = suffix_tree.text_bytes(bpe.pa.array(texts, bpe.pa.string()))
+    end = suffix_tree.words_of(flat, starts, fold=True)[1]
+    symbols, sizes = suffix_tree._symbols(flat, starts, end)
+    a, b = suffix_tree._grams(symbols, sizes)
+    alphabet = suffix_tree.Alphabet()
+    digits = alphabet.digits(flat, starts)
+    if digits is not None:
+        packed = alphabet.grams(alphabet.pack(digits[0]))
+        assert packed[0].tolist() == a.tolist() and packed[1].tolist() == b.tolist()
+        assert digits[1].tolist() == sizes.tolist()
+    place, distinct, counts = suffix_tree._gram_places(flat, starts, end)
+    codes = suffix_tree._gram_codes(a, b).tolist()
+    assert distinct[place].tolist() == codes and len(distinct) == len(set(codes)) and counts.tolist() == sizes.tolist()
+    assert sorted(suffix_tree._gram_set(flat, starts, end).tolist()) == sorted(set(codes))
+
+
+def test_text_counts_over_alphabets(spark):
+    """One task meets more letters than an alphabet holds, in one text and over several, and hands its counts on."""
+    texts = ["ab ab", "".join(chr(0x4E00 + i) for i in range(700)), "ab", "".join(chr(0x5E00 + i) for i in range(700)),
+             "".join(chr(0x6E00 + i) for i in range(1500)), "ab Ab", ""]
+    rows = [(t * 3, i % 3 == 2) for i, t in enumerate(texts * 2)]
+    size, want = 1 << 20, Counter()
+    for text, held_out in rows:
+        symbols = [suffix_tree.START] * suffix_tree.DEPTH
+        for word in words(text.translate(FOLD)):
+            symbols += [*map(ord, word), suffix_tree.WORD_END]
+            want["word"] += not held_out
+        symbols.append(suffix_tree.TEXT_END)
+        for i in range(suffix_tree.DEPTH, len(symbols)):
+            a, b = (sum(symbols[i - j - k] << 21 * k for k in range(3)) for j in (0, 3))
+            want[a, b] += not held_out
+    padded = [(t + " " * size, h) for t, h in rows]  # each text is a piece of its own
+    got = suffix_tree.text_counts(spark.createDataFrame(padded, "text string, held_out boolean").coalesce(1)).collect()
+    assert {(r.a, r.b): r.n for r in got if r.b != suffix_tree.WORD} == {k: n for k, n in want.items() if k != "word"}
+    assert sum(r.n for r in got if r.b == suffix_tree.WORD) == want["word"]
