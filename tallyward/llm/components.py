@@ -13,19 +13,21 @@ from tallyward.llm.common import stage
 def components(links: DataFrame) -> DataFrame:
     """``(node, label)`` for every node of ``links`` (a, b: long): equal labels exactly for connected nodes.
 
-    Each round moves every node to the first of itself and its neighbours in a random but repeatable order, and keeps
-    the links between different places; a constant share of the nodes goes in each round. Nulls and links of a node
-    with itself add nothing. All tables are written to the shared folder; only a row count of links comes back.
+    Each round moves every node to the first, in a random but repeatable order, of all that it reaches by two links, and
+    keeps the links between different places: a star is one place after a round, however many links its centre has, and
+    a constant share of the nodes goes in each round. Nulls and links of a node with itself add nothing. All tables are
+    written to the shared folder; only a row count of links comes back.
     """
     edges = stage(links.select("a", "b").where("a <> b").select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
     moves: list[DataFrame] = []
     while not edges.isEmpty():
-        order = F.xxhash64("b", F.lit(len(moves)))
         both = edges.unionAll(edges.select("b", "a"))
-        near = both.groupBy("a").agg(F.min(F.struct(order.alias("o"), "b")).alias("near"))
-        own = F.struct(F.xxhash64("a", F.lit(len(moves))).alias("o"), F.col("a").alias("b"))
-        move = stage(near.select(F.col("a").alias("node"), F.least("near", own)["b"].alias("place")), "moves")
+        # The first of a node and its neighbours; then the least of what the neighbours have, to which each adds the node.
+        own, other = (F.struct(F.xxhash64(c, F.lit(len(moves))).alias("o"), F.col(c).alias("b")) for c in ("a", "b"))
+        near = both.groupBy("a").agg(F.min(other).alias("near")).select(F.col("a").alias("node"), F.least("near", own).alias("near"))
+        reached = both.join(near, F.col("b") == F.col("node")).groupBy("a").agg(F.min("near").alias("near"))
+        move = stage(reached.select(F.col("a").alias("node"), F.col("near.b").alias("place")), "moves")
         moves.append(move)
         moved = edges.join(move, F.col("a") == F.col("node")).select(F.col("place").alias("a"), "b")
         moved = moved.join(move, F.col("b") == F.col("node")).select("a", F.col("place").alias("b"))

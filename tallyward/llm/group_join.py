@@ -205,73 +205,81 @@ class Group:
         return np.flatnonzero((100 * common >= self.percent * (self.sizes + size - common)) & (common > 0))
 
 
-_LINKS = "a long, b long"
+_LABELS, _LINKS = "gid long, label long", "a long, b long"
 
 
 def _inside(percent: int):
     def work(table: pa.Table) -> pa.Table:
-        """A spanning forest of the links inside one group. Sets linked with its pivot need no further search:
-        a link between them adds nothing, and all other sets look for theirs."""
+        """The smallest gid that each set reaches by links inside one group, where it is another. The pivot is the smallest
+        of its home and the only set in several groups, so these are the components of the links inside all groups.
+        Sets linked with the pivot need no further search: a link between them adds nothing, and all other sets look
+        for theirs."""
         gids = table.column("gid").to_pylist()
         sets = [np.frombuffer(x, _U8) for x in table.column("tokens").to_pylist()]
         order = sorted(range(len(gids)), key=gids.__getitem__)
         gids, sets = [gids[i] for i in order], [sets[i] for i in order]
         sizes = [table.column("n")[i].as_py() for i in order]
-        group, forest, out = Group(sets, sizes, percent), Forest(len(gids)), []
+        group, forest = Group(sets, sizes, percent), Forest(len(gids))
         for i in range(len(gids)):
             if i and forest.find(i) == 0:
                 continue
             for j in group.linked(sets[i], sizes[i]).tolist():
-                if forest.join(i, j):
-                    out.append((gids[i], gids[j]))
-        return _table(out, _LINKS)
+                forest.join(i, j)
+        roots = map(forest.find, range(len(gids)))
+        return _table([(gids[i], gids[root]) for i, root in enumerate(roots) if i != root], _LABELS)
 
     return work
 
 
 def _opened(percent: int):
     def work(table: pa.Table) -> pa.Table:
-        """Links of the queries of one group, one per query and component."""
-        rows = table.select(["gid", "n", "label", "is_query", "tokens"]).to_pylist()
+        """Links between the components of the queries and those of one group's members."""
+        rows = table.select(["n", "label", "is_query", "tokens"]).to_pylist()
         members = [r for r in rows if not r["is_query"]]
         group = Group([np.frombuffer(r["tokens"], _U8) for r in members], [r["n"] for r in members], percent)
-        out = []
+        out = set()
         for r in rows:
             if r["is_query"]:
-                found = {members[j]["label"]: members[j]["gid"]
-                         for j in group.linked(np.frombuffer(r["tokens"], _U8), r["n"]).tolist()}
-                out += [(r["gid"], gid) for label, gid in found.items() if label != r["label"]]
-        return _table(out, _LINKS)
+                linked = group.linked(np.frombuffer(r["tokens"], _U8), r["n"]).tolist()
+                out |= {(r["label"], members[j]["label"]) for j in linked if members[j]["label"] != r["label"]}
+        return _table(sorted(out), _LINKS)
 
     return work
 
 
-def _labels(reps: DataFrame, links: DataFrame) -> DataFrame:
-    found = components(links).select(F.col("node").alias("gid"), "label")
-    return reps.join(found, "gid", "left").withColumn("label", F.coalesce("label", "gid"))
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after links between them."""
+    found = components(links).select(F.col("node").alias("label"), F.col("label").alias("place"))
+    return labels.join(found, "label", "left").select("gid", F.coalesce("place", "label").alias("label"))
 
 
-def _across(reps: DataFrame, prefixes: DataFrame, links: DataFrame, percent: int, narrow: bool) -> DataFrame:
-    """Links between sets of different components.
+def _bounded(prefixes: DataFrame, percent: int) -> DataFrame:
+    """The rows of a token at which their set could link with another.
 
     Two sets of sizes n and m link when (100 + percent) * overlap >= percent * (n + m). At their first common token, in
     the order of all prefixes, the overlap is at most what either set has left from there (``rest``). So a row of a
     token stays only if, by the largest rest and the smallest size of the token's rows, some other row could link with
-    it there; what texts share a passage and still cannot link goes before any join. Then only tokens of two components
-    or more matter. In the full search every set asks each group of another component with which it shares a token of
+    it there; what texts share a passage and still cannot link goes before any join.
+    """
+    # What is left of a row's bound for the size of a partner.
+    spare = (100 + percent) * F.col("rest") - percent * F.col("n")
+    reach = prefixes.groupBy("token").agg(F.max(spare).alias("most"), F.min("n").alias("least"))
+    return stage(prefixes.join(reach, "token").where(
+        (percent * F.col("n") <= F.col("most")) & (percent * F.col("least") <= spare)).drop("most", "least"), "jaccard-bounded")
+
+
+def _across(reps: DataFrame, rows: DataFrame, labels: DataFrame, percent: int, narrow: bool) -> tuple[DataFrame, ...]:
+    """The rows whose tokens are in two components or more (labels only join, so no later search needs the others), the
+    labels as a table, and links between labels.
+
+    In the full search every set asks each group of another component with which it shares a token of
     their prefixes and whose bound allows a link (the sets of the smaller component ask the groups of the larger one),
     which finds every link. The narrow search goes before it: per token, one set of each component asks one group of the
     largest. It joins most of what belongs together, so that the full search has few pairs left.
     """
-    labels = _labels(reps.select("gid"), links)
     sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("n_label"))
     labels = stage(labels.join(sizes, "label"), "jaccard-labels")
-    # What is left of a row's bound for the size of a partner.
-    spare = (100 + percent) * F.col("rest") - percent * F.col("n")
-    rows = prefixes.join(labels, "gid").withColumn("spare", spare)
-    reach = rows.groupBy("token").agg(F.max("spare").alias("most"), F.min("n").alias("least"))
-    rows = rows.join(reach, "token").where((percent * F.col("n") <= F.col("most")) & (percent * F.col("least") <= F.col("spare")))
-    rows = stage(rows.drop("most", "least"), "jaccard-bounded")
+    rows = rows.join(labels, "gid")
     several = rows.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
     rows = stage(rows.join(several.select("token"), "token", "left_semi"), "jaccard-across")
     if narrow:
@@ -297,7 +305,7 @@ def _across(reps: DataFrame, prefixes: DataFrame, links: DataFrame, percent: int
         "home", "part", F.explode(F.expr("sequence(0, n_turns - 1)")).alias("turn"), "gid", "n", "label",
         F.lit(False).alias("is_query"), "tokens")
     found = asking.unionAll(answering).groupBy("home", "part", "turn").applyInArrow(_opened(percent), _LINKS)
-    return stage(found, "jaccard-found")
+    return rows.drop("label", "n_label"), labels.select("gid", "label"), stage(found, "jaccard-found")
 
 
 def jaccard_classes(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -334,16 +342,18 @@ def jaccard_classes(documents: DataFrame, width: int = 5, percent: int = 80) ->
         "home", F.explode(F.expr("sequence(0, n_groups - 1)")).alias("to"), "part", "gid", "n", "tokens")
     members = alike.select("home", "part", "gid", "n", "tokens").unionAll(
         pivots.where("to <> part").select("home", F.col("to").alias("part"), "gid", "n", "tokens"))
-    inside = stage(members.groupBy("home", "part").applyInArrow(_inside(percent), _LINKS), "jaccard-inside")
+    inside = stage(members.groupBy("home", "part").applyInArrow(_inside(percent), _LABELS), "jaccard-inside")
 
     token = F.explode(F.expr("transform(sequence(1, n_prefix), i -> struct(substring(tokens, i * 8 - 7, 8) AS token, "
                              "length(tokens) div 8 - i + 1 AS rest))"))
     prefixes = stage(reps.select("gid", "home", "part", "n", token.alias("one")).select(
         "gid", "home", "part", "n", "one.token", "one.rest"), "jaccard-prefixes")
-    links = inside
+    rows = _bounded(prefixes, percent)
+    labels = reps.select("gid").join(inside, "gid", "left").select("gid", F.coalesce("label", "gid").alias("label"))
     for narrow in (True, False):
-        links = links.unionAll(_across(reps, prefixes, links, percent, narrow))
-    final = _labels(reps.select("gid"), links).withColumnRenamed("gid", "rep")
+        rows, labels, links = _across(reps, rows, labels, percent, narrow)
+        labels = _joined(labels, links)
+    final = labels.withColumnRenamed("gid", "rep")
     found = classes.join(final, "rep", "left").select(
         *same, "rep", F.coalesce("label", "rep").alias("label"))
     placed = sets.select("gid", "doc_id", "text_hash", *same).join(found, same, "left")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tallyward.llm import (
     bpe, chat, embedding_join, group_join, mixing, quality, queries, secrets, suffix_tree, token_shards, url_rules)
+from tallyward.llm import components as components_module
 from tallyward.llm.components import components
 
 FOLDER = "/root/testdata/sf0.001"
@@ -539,6 +540,31 @@ def test_shared_passages_do_not_meet(spark, monkeypatch):
     assert max(pairs) < 500
 
 
+def test_large_classes_take_few_rounds(spark, monkeypatch):
+    """Rounds of components do not grow with a group of near copies or the links of one centre; a round is a pass of the cluster."""
+    names = []
+    asked = group_join.stage
+
+    def watch(df, name):
+        names.append(name)
+        return asked(df, name)
+
+    monkeypatch.setattr(components_module, "stage", watch)
+    star = [(3 * i, 1) for i in range(2, 3000)]
+    got = components(spark.createDataFrame(star, "a long, b long")).collect()
+    assert len(got) == 2999 and len({r.label for r in got}) == 1 and names.count("moves") == 1
+    names.clear()
+    monkeypatch.setattr(group_join, "stage", watch)
+    monkeypatch.setattr(group_join, "GROUP", 8)
+    base = [f"b{x}" for x in range(300)]
+    near = [" ".join([*base[:i], f"c{i}", *base[i + 1:]]) for i in range(300)]
+    apart = [" ".join([*base[:60], *(f"d{i}_{j}" for j in range(240))]) for i in range(5)]
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(near + apart + near[:2])]
+    got = {r.doc_id: r.component_id for r in group_join.jaccard_classes(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got == {i: i if 300 <= i < 305 else 0 for i in range(len(rows))}
+    assert names.count("moves") <= 3 and names.count("jaccard-bounded") == 1
+
+
 # -- 9 -----------------------------------------------------------------------------------------------------------
 
 def test_suffix_tree_scores(spark, corpus):
