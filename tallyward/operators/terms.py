@@ -1,14 +1,15 @@
 """Whole-word search of many aliases in many texts, and search for parts of words.
 
-``match_terms`` turns the theta join into one equi join on words: every alias is indexed by its rarest word and that
-word's place in it, every text is exploded once, into its words with their places. An alias of one word is found by
-that; one of several words is verified where its word stands; one that starts or ends with a symbol is tested on the
-text itself, so the result equals the regex form for every alias.
+``match_terms`` turns the theta join into one equi join: every text is exploded once, into its stretches of as many words
+as the aliases have, and a stretch that equals an alias is a find. Aliases of many words are indexed by their rarest word
+and its place, and verified where this word stands; one that starts or ends with a symbol is tested on the text itself, so
+the result equals the regex form for every alias.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,23 +37,29 @@ def _words(text: str | Column, word: str) -> Column:
     return F.regexp_extract_all(text, F.lit(f"[{word}]+"), F.lit(0))
 
 
+def _stretches(text: str | Column, word: str, n: int) -> Column:
+    """Every stretch of ``n`` words in a row with what stands between them."""
+    if n == 1:
+        return _words(text, word)
+    one = f"[{word}]++"
+    rest = f"(?:[^{word}]++{one}){{{n - 1}}}"
+    return F.regexp_extract_all(text, F.lit(f"(?<![{word}])(?=({one}{rest})){one}"), F.lit(1))
+
+
 def _indexed(aliases: DataFrame, word: str, counts: DataFrame | None) -> DataFrame:
     """``(alias, product_id, whole, n, term, left)``: aliases by their rarest word.
 
-    ``n`` counts an alias's words, ``left`` those before ``term``, and ``whole`` says that it begins and ends with one.
-    The rarest word has the smallest number in ``counts`` (term, seen); where it has none, the longest is taken for it.
+    ``left`` counts an alias's words before ``term``. The rarest word has the smallest number in ``counts`` (term, seen);
+    where it has none, the longest is taken for it.
     """
-    names = aliases.where(F.col("alias") != "").select("alias", "product_id").distinct()
-    places = names.select(
-        "alias", "product_id", F.col("alias").rlike(f"^[{word}](.*[{word}])?$").alias("whole"),
-        F.size(_words("alias", word)).alias("n"), F.posexplode(_words("alias", word)).alias("left", "term"))
+    names = ["alias", "product_id", "whole", "n"]
+    places = aliases.select(*names, F.posexplode(_words("alias", word)).alias("left", "term"))
     if counts is None:
         places = places.withColumn("seen", F.lit(0))
     else:
         places = places.join(counts.select("term", "seen"), "term", "left").withColumn("seen", F.coalesce("seen", F.lit(0)))
     rarest = F.min(F.struct("seen", (-F.length("term")).alias("short"), "term", "left")).alias("at")
-    return places.groupBy("alias", "product_id", "whole", "n").agg(rarest).select(
-        "alias", "product_id", "whole", "n", "at.term", "at.left")
+    return places.groupBy(*names).agg(rarest).select(*names, "at.term", "at.left")
 
 
 def word_counts(df: DataFrame, text: str, word: str = "A-Z0-9") -> DataFrame:
@@ -61,45 +68,69 @@ def word_counts(df: DataFrame, text: str, word: str = "A-Z0-9") -> DataFrame:
         F.count(F.lit(1)).alias("seen"))
 
 
+# Aliases of up to so many words are looked up whole.
+STRETCH = 4
+
+
 def match_terms(df: DataFrame, key: str, text: str, aliases: DataFrame, word: str = "A-Z0-9",
                 counts: DataFrame | None = None) -> DataFrame:
     """Rows ``(key, product_id, best_alias_length)`` for each alias found in ``text``.
 
-    The text is upper-cased; aliases are upper case already. What the words of a key find is gathered (at most one entry
-    per alias, with the places), and only the texts of keys with something to verify are joined to it. ``counts`` (see
-    ``word_counts``) tells which word of an alias is rarest. One row about the aliases is read first: whether there are
-    any without a word.
+    The text is upper-cased; aliases are upper case already. Aliases that begin and end with a word and have at most
+    ``STRETCH`` of them are joined to the stretches of as many words of each text: what is equal is found, and only that
+    is shuffled. ``df`` is read a second time only if there are other aliases (see ``_verified``). One row about the
+    aliases is read first: which of these there are. ``counts`` (see ``word_counts``) tells which word of another alias
+    is rarest.
     """
-    size = F.size(_words("alias", word))
-    bare = aliases.where((F.col("alias") != "") & (size == 0))
+    names = aliases.where(F.col("alias") != "").select("alias", "product_id").distinct().select(
+        "alias", "product_id", F.col("alias").rlike(rf"(?s)\A[{word}](.*[{word}])?\z").alias("whole"),
+        F.size(_words("alias", word)).alias("n"))
+    short = F.col("whole") & (F.col("n") <= STRETCH)
+    there = names.agg(
+        F.collect_set(F.when(short, F.col("n"))).alias("sizes"), F.bool_or(~short & (F.col("n") > 0)).alias("open"),
+        F.bool_or(F.col("n") == 0).alias("bare")).first()
     texts = df.where(F.col(text).isNotNull()).select(F.col(key), F.upper(F.col(text)).alias("__text"))
-    words = texts.select(key, F.posexplode(_words("__text", word)).alias("place", "term"))
-    index = _indexed(aliases, word, counts)
+    lists = [_stretches("__text", word, n) for n in sorted(there["sizes"])] or [F.array().cast("array<string>")]
+    # A filter on the aliases would be tried on every stretch as well, as the two are equal; so others have a null here.
+    index = names.select(F.when(short, F.col("alias")).alias("__stretch"), "alias", "product_id")
+    kept = texts.select(key, F.explode(F.concat(*lists)).alias("__stretch")).join(index, "__stretch").select(
+        key, "product_id", "alias")
+    if there["open"] or there["bare"]:
+        kept = kept.unionByName(_verified(texts, key, names.where(~short), word, counts, there["open"], there["bare"]))
+    return longest_match(kept, [key, "product_id"], "alias")
+
+
+def _verified(texts: DataFrame, key: str, names: DataFrame, word: str, counts: DataFrame | None, some_words: bool,
+              bare: bool) -> DataFrame:
+    """``(key, product_id, alias)`` found for aliases of many words, or with a symbol at an end, or without a word.
+
+    What the rarest words of aliases (or the first sign of those without any, ``bare``) find is gathered by key, at most
+    one entry per alias with the places, and verified on the texts of these keys only.
+    """
     found = ["alias", "product_id", "whole", "n"]
-    many = F.when(F.col("whole") & (F.col("n") > 1), F.col("place") - F.col("left"))
-    hits = words.join(index, "term").select(key, *found, many.alias("start"))
-    if not bare.isEmpty():
+    hits = []
+    if some_words:
+        words = texts.select(key, F.posexplode(_words("__text", word)).alias("place", "term"))
+        start = F.when(F.col("whole"), F.col("place") - F.col("left")).alias("start")
+        hits.append(words.join(_indexed(names.where("n > 0"), word, counts), "term").select(key, *found, start))
+    if bare:
         sign = F.explode(F.array_distinct(F.regexp_extract_all("__text", F.lit(f"[^{word}]"), F.lit(0)))).alias("sign")
-        bare = bare.select(
-            "alias", "product_id", F.lit(False).alias("whole"), F.lit(0).alias("n"), F.substring("alias", 1, 1).alias("sign"))
-        hits = hits.unionByName(texts.select(key, sign).join(bare, "sign").select(
+        first_sign = names.where("n = 0").withColumn("sign", F.substring("alias", 1, 1))
+        hits.append(texts.select(key, sign).join(first_sign, "sign").select(
             key, *found, F.lit(None).cast("int").alias("start")))
-    once = hits.groupBy(key, *found).agg(F.collect_set("start").alias("starts"))
-    sure = F.col("whole") & (F.col("n") == 1)
-    by_key = once.groupBy(F.col(key).alias("__key")).agg(
-        F.collect_list(F.struct(*found, "starts")).alias("__found"), F.bool_or(~sure).alias("__open"))
-    placed = by_key.join(texts, F.col("__open") & F.col("__key").eqNullSafe(F.col(key)), "left").withColumn(
-        "__runs", F.when(F.col("__open"), _runs("__text", word)))
+    once = reduce(DataFrame.unionByName, hits).groupBy(key, *found).agg(F.collect_set("start").alias("starts"))
+    by_key = once.groupBy(F.col(key).alias("__key")).agg(F.collect_list(F.struct(*found, "starts")).alias("__found"))
+    placed = by_key.join(texts, F.col("__key").eqNullSafe(F.col(key))).withColumn("__runs", _runs("__text", word))
     first = F.when(F.get("__runs", F.lit(0)).rlike(f"^[{word}]"), 1).otherwise(2)
 
     def stands(alias: Column) -> Column:
         at = F.exists(alias["starts"], lambda i: (i >= 0) & (F.array_join(
             F.slice("__runs", 2 * i + first, 2 * alias["n"] - 1), "") == alias["alias"]))
         inside = F.rlike("__text", boundary_pattern_column(alias["alias"], word))
-        return F.when(alias["whole"], (alias["n"] == 1) | at).otherwise(inside)
+        return F.when(alias["whole"], at).otherwise(inside)
 
-    kept = placed.select(F.col("__key").alias(key), F.inline(F.filter("__found", stands)))
-    return longest_match(kept, [key, "product_id"], "alias")
+    return placed.select(F.col("__key").alias(key), F.inline(F.filter("__found", stands))).select(
+        key, "product_id", "alias")
 
 
 def match_terms_regex(df: DataFrame, key: str, text: str, aliases: Sequence[tuple[str, str]],

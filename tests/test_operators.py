@@ -139,6 +139,31 @@ def test_terms_of_several_words_are_verified_where_they_stand(spark):
         assert rows(got) == sorted(brute_terms(texts, aliases, "A-Z0-9"), key=repr)
 
 
+def test_plain_aliases_need_one_pass_and_no_text_is_shuffled(spark, tmp_path):
+    """What equals an alias is found while the texts are read; only key, product and alias go on."""
+    path = str(tmp_path / "texts")
+    spark.createDataFrame([(i, f"brand#{i % 30} promo|brand#{i % 7} small") for i in range(300)] + [(1, None), (None, "Brand#3")],
+                          "id INT, t STRING").write.parquet(path)
+    df = spark.read.parquet(path)
+    aliases = [("BRAND#1", "P1"), ("BRAND#3", "P2"), ("PROMO", "P3"), ("SMALL", "P1"), ("BRAND#2 PROMO", "P4")]
+    found = terms.match_terms(df, "id", "t", spark.createDataFrame(aliases, "alias STRING, product_id STRING"))
+    texts = [tuple(r) for r in df.collect()]
+    assert rows(found) == sorted(brute_terms(texts, aliases, "A-Z0-9"), key=repr)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("] parquet") == 1
+    assert "collect_list" not in plan and "collect_set" not in plan
+
+
+def test_aliases_of_many_words_and_line_ends(spark):
+    aliases = [("A B C D E", "P1"), ("B C D E", "P2"), ("A\nB", "P3"), ("AB\n", "P4"), ("E A", "P5")]
+    texts = [(1, "a b c d e"), (2, "a b c d  e"), (3, "a\nb"), (4, "ab"), (5, "ab\nx"), (6, "b c d e a b c d e a"), (6, "x e a"), (7, "")]
+    df = spark.createDataFrame(texts, "id INT, t STRING")
+    table = spark.createDataFrame(aliases, "alias STRING, product_id STRING")
+    assert rows(terms.match_terms(df, "id", "t", table)) == sorted(brute_terms(texts, aliases, "A-Z0-9"), key=repr)
+    none = terms.match_terms(df, "id", "t", table.where("alias = ''"))
+    assert none.collect() == [] and none.columns == ["id", "product_id", "best_alias_length"]
+
+
 def test_overlap_equals_self_join(spark):
     rng = random.Random(3)
     base = dt.datetime(2024, 1, 1)
