@@ -21,9 +21,10 @@ def partial_date(col) -> Column:
 def partial_iso_date(col) -> Column:
     """``YYYY-MM-DD``, ``YYYY-MM`` or ``YYYY`` text to a date; anything else is null."""
     c = _c(col)
-    n = F.length(c)
-    full = F.when(n == 10, c).when(n == 7, F.concat(c, F.lit("-01"))).when(n == 4, F.concat(c, F.lit("-01-01")))
-    return F.try_to_date(full, "yyyy-MM-dd")
+    # What is padded to ten characters has this form only if it had it before, or lacked the day or month. No text gives
+    # no date; a parser would throw an error for each.
+    full = F.regexp_extract(F.rpad(c, 10, "-01-01"), "^[0-9]{4}-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])$", 0)
+    return F.when(F.length(c) <= 10, full.try_cast("date"))
 
 
 def seconds_between(start, end) -> Column:

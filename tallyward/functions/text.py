@@ -52,7 +52,8 @@ def item_count(col, sep: str = "|") -> Column:
 
 def join_distinct(array, sep: str = "|") -> Column:
     """Items in first-seen order without blanks or repeats, joined; no items give null."""
-    kept = F.array_distinct(F.filter(_c(array), lambda x: x.isNotNull() & (x != "")))
+    # Nulls are left out by the join.
+    kept = F.array_distinct(F.array_remove(_c(array), ""))
     return F.nullif(F.array_join(kept, sep), F.lit(""))
 
 

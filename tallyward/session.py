@@ -7,13 +7,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the operators rely on. AQE replans joins from real sizes; the
-# "force" flag lets it split a hot key even when that costs one more shuffle.
+# "force" flag lets it split a hot key even when that costs one more shuffle. Rows that are
+# already sorted by their group are aggregated as they come, without a hash table.
 RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.execution.replaceHashWithSortAgg": "true",
 }
 
 

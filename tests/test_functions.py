@@ -31,6 +31,13 @@ def test_partial_iso_date(spark):
         dt.date(2024, 2, 29), dt.date(2024, 2, 1), dt.date(2024, 1, 1), None, None, None]
 
 
+def test_iso_dates_of_odd_form(spark):
+    items = ["0000-02-29", "2001-13-01", "2001-00-01", "2001-01-00", "2001-04-31", "2001-01-01\n", "2001-01-01-", "2001-01-", "2001-",
+             "20010101", "2001-1-1", "2001-01-01T00", "+2001-01-0", " 2001-01-0", ""]
+    first, *others = values(spark, items, "STRING", fn.partial_iso_date("c").cast("string"))
+    assert first == "0000-02-29" and others == [None] * (len(items) - 1)
+
+
 def test_clean_name(spark):
     items = ["Rituximab.", "x ..", "\ta b\t", "...", "", None, "a.b", " é. ", "x . .", "\xa0x.. .\n", "\u3000"]
     assert values(spark, items, "STRING", fn.clean_name("c")) == [
