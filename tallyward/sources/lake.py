@@ -130,14 +130,24 @@ def interleaved(df: DataFrame, columns: Sequence[str]) -> Column:
     cuts = df.agg(*[F.percentile_approx(p, steps, 10_000).alias(c) for c, p in places.items()]).first()
     out = F.lit(0).cast("bigint")
     for k, (c, place) in enumerate(places.items()):
-        bounds = F.array(*[F.lit(float(x)) for x in cuts[c] or []]).cast("array<double>")
-        bucket = F.size(F.filter(bounds, lambda bound: bound <= place))
-        for bit in range(BITS):
-            one = F.shiftright(bucket, bit).bitwiseAND(1).cast("bigint")
-            out = out + F.shiftleft(one, bit * len(columns) + k)
+        # In Spark's order, where NaN is the highest number.
+        bounds = sorted(map(float, cuts[c] or []), key=lambda x: (x != x, x))
+        spread = [sum((n >> bit & 1) << bit * len(columns) + k for bit in range(BITS)) for n in range(len(bounds) + 1)]
+        out = out + F.transform(F.array(place), _step(bounds, spread))[0]
     return out
 
 
+def _step(bounds: Sequence[float], results: Sequence[int]) -> Callable[[Column], Column]:
+    """``results[n]`` for a number that is not below ``n`` of the sorted bounds, by halving; a null is below all."""
+    def half(place: Column, low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(results[low]).cast("bigint")
+        middle = (low + high) // 2
+        return F.when(place >= F.lit(bounds[middle]), half(place, middle + 1, high)).otherwise(half(place, low, middle))
+
+    return lambda place: half(place, 0, len(bounds))
+
+
 def clustered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows dealt and sorted so that a filter on any of the columns needs few files and row groups.
 

@@ -307,3 +307,24 @@ def test_shared_folder_is_fresh_and_can_be_cleared(spark):
     clear_layers(spark)
     with pytest.raises(AnalysisException):
         spark.read.parquet(first)
+
+
+@pytest.mark.parametrize("kind", ["double", "string", "timestamp_ntz"])
+def test_places_on_the_curve_by_counting_bounds(spark, kind):
+    """Each value is compared with a few bounds once, not with all of them for every bit."""
+    numbers = [None, 5.0, 5.0, -1.5, 0.0, 1e9] + [float(i * i % 97) for i in range(200)]
+    numbers += [float("nan"), float("inf"), float("-inf")] if kind == "double" else []
+    df = spark.createDataFrame([(x, i % 5) for i, x in enumerate(numbers)], "x DOUBLE, y INT")
+    if kind == "string":
+        df = df.withColumn("x", F.col("x").cast("string"))
+    elif kind == "timestamp_ntz":
+        df = df.withColumn("x", F.timestamp_seconds(F.col("x")).cast(kind))
+    columns = ["x", "y"]
+    out = df.withColumn("curve", lake.interleaved(df, columns))
+    places = {c: lake._position(dict(df.dtypes)[c], c) for c in columns}
+    steps = [i / 2 ** lake.BITS for i in range(1, 2 ** lake.BITS)]
+    cuts = df.agg(*[F.percentile_approx(p, steps, 10_000).alias(c) for c, p in places.items()]).first()
+    for r in out.select("curve", *[F.array(*[F.lit(b) <= places[c] for b in cuts[c]]).alias(c) for c in columns]).collect():
+        want = sum((sum(map(bool, r[c])) >> bit & 1) << bit * 2 + k for k, c in enumerate(columns) for bit in range(lake.BITS))
+        assert r.curve == want
+    assert "filter(" not in out._jdf.queryExecution().optimizedPlan().toString()
