@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +13,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tallyward.session import LAYERS, shared_folder
 from tallyward.sources import versions
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def read_bronze(spark: SparkSession, root: str, quarter: str | None = None, columns: Sequence[str] | None = None,
                 partition: str = "quarter") -> DataFrame:
@@ -161,6 +164,17 @@ def clustered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return keyed.repartitionByRange("__curve", "__row").sortWithinPartitions("__curve", *columns).drop("__curve", "__row")
 
 
+@contextmanager
+def dropped_shuffles(spark: SparkSession) -> Iterator[None]:
+    """What is shuffled inside is removed from disk when its write ends, not when the driver collects its garbage."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
 def materialise(df: DataFrame, name: str, kind: str = "table", cluster_by: Sequence[str] = (),
                 path: str | None = None) -> DataFrame:
     """A layer as a lazy view or as a written table that is read back.
@@ -176,7 +190,8 @@ def materialise(df: DataFrame, name: str, kind: str = "table", cluster_by: Seque
     spark = df.sparkSession
     target = path or shared_folder(spark, name)
     out = clustered(df, cluster_by) if cluster_by else df
-    out.write.mode("overwrite").parquet(target)
+    with dropped_shuffles(spark):
+        out.write.mode("overwrite").parquet(target)
     return spark.read.schema(df.schema).parquet(target)
 
 

@@ -3,6 +3,7 @@
 import gzip
 import json
 import logging
+import time
 
 import pyarrow.parquet as pq
 import pytest
@@ -309,6 +310,25 @@ def test_shared_folder_is_fresh_and_can_be_cleared(spark):
         spark.read.parquet(first)
 
 
+def shuffle_files(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {str(f.getName()) for f in spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(blocks)
+            if f.getName().startswith("shuffle_")}
+
+
+def test_a_written_layer_leaves_no_shuffle_files(spark):
+    """They stay for as long as the frame is known to the driver otherwise."""
+    before = shuffle_files(spark)
+    df = spark.range(10_000).repartition(7, "id").groupBy((F.col("id") % 100).alias("k")).count()
+    layer = lake.materialise(df, "counted")
+    wait = time.monotonic() + 20
+    while shuffle_files(spark) - before and time.monotonic() < wait:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert layer.count() == 100 and df.count() == 100
+    assert spark.conf.get(lake.CLEANUP) == "false"
+
+
 @pytest.mark.parametrize("kind", ["double", "string", "timestamp_ntz"])
 def test_places_on_the_curve_by_counting_bounds(spark, kind):
     """Each value is compared with a few bounds once, not with all of them for every bit."""
