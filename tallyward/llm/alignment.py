@@ -14,10 +14,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.llm.common import pick, ramp, slices, span_codes, stage, text_bytes
+from tallyward.llm.common import pick, ramp, release, slices, span_codes, stage, text_bytes
 
 CACHE_ENTRIES = 400_000
-SLICE, BLOCK = 512 << 10, 8 << 20  # bytes of text
+SLICE, BLOCK = 512 << 10, 2 << 20  # bytes of text
 _BLANK = "▁"
 
 
@@ -323,11 +323,13 @@ def _blocks(first: str, second: str):
 
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks with the corpus-wide counts of their pairs become their documents."""
+    pair.cache_clear()  # a worker that has encoded texts holds both tokenizers, which are done with
+    release()
     for batch in batches:
         for i in range(batch.num_rows):
             row = {name: batch.column(name)[i] for name in batch.schema.names}
-            count, best = [np.array(row[c].as_py() or [], np.int64) for c in ("total", "best")]
-            links = np.frombuffer(row["links"].as_py(), "<u2" if len(count) <= 1 << 16 else "<u4")
+            count, best = [row[c].values.to_numpy() if row[c].is_valid else np.zeros(0, np.int64) for c in ("total", "best")]
+            links = np.frombuffer(row["links"].as_buffer(), "<u2" if len(count) <= 1 << 16 else "<u4")
             n_links = row["n_links"].values.to_numpy()
             owner = np.repeat(np.arange(len(n_links)), n_links)
             sums = [np.zeros(len(n_links), np.int64) for _ in range(2)]
@@ -357,7 +359,7 @@ def alignment_report(documents: DataFrame, first: str, second: str) -> DataFrame
     ``a1,a2|b1;a3|b2,b3``, or empty without tokens. Cases as in ``align``.
 
     Texts are encoded once, in slices of about half a MB (a longer text is a slice of its own), into a written table of one row
-    per block of about 8 MB: what its documents hold, its distinct pairs with their numbers, and its links as places
+    per block of about 2 MB: what its documents hold, its distinct pairs with their numbers, and its links as places
     among these. Only distinct pairs of blocks are shuffled by pair; their counts come back to the block, not to the
     driver.
     """

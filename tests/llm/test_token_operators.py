@@ -314,3 +314,19 @@ def test_every_conversation_is_answered(spark):
     talks = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/conversations.parquet").select(
         "conv_id", "turn", "role", "text").collect()]
     assert Counter(map(tuple, queries.QUERIES["op13_turn_repair"](spark, FOLDER).collect())) == plain_report(talks)
+
+
+def test_alignment_holds_little_text_at_a_time(spark, monkeypatch):
+    """Rows of the written table are of about 2 MB of text, batches to Python tasks of a few MB."""
+    files = [queries.vocabulary(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    texts = spark.range(60, numPartitions=1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("the same few words "), 5_000).alias("text"))
+    found = texts.mapInArrow(alignment._blocks(*files), alignment._BLOCK).select(F.size("doc_ids").alias("n")).collect()
+    assert sum(r.n for r in found) == 60 and max(r.n for r in found) * 95_000 < 3 << 20
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(size)
+    monkeypatch.setattr(alignment, "alignment_report", lambda *_: spark.conf.get(size))
+    try:
+        spark.conf.unset(size)
+        assert int(queries.QUERIES["op11_token_alignment"](spark, FOLDER)) == queries.BATCH
+    finally:
+        spark.conf.set(size, before)
