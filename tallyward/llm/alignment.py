@@ -18,6 +18,8 @@ from tallyward.llm.common import pick, ramp, release, slices, span_codes, stage,
 
 CACHE_ENTRIES = 400_000
 SLICE, BLOCK = 512 << 10, 2 << 20  # bytes of text
+# A page is packed and unpacked whole outside the heap; by default a hundred rows are taken before its size is looked at.
+PAGES = {"parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1"}
 _BLANK = "▁"
 
 
@@ -364,7 +366,7 @@ def alignment_report(documents: DataFrame, first: str, second: str) -> DataFrame
     driver.
     """
     rows = pick(documents, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    blocks = stage(rows.mapInArrow(_blocks(first, second), _BLOCK), "align-blocks")
+    blocks = stage(rows.mapInArrow(_blocks(first, second), _BLOCK), "align-blocks", **PAGES)
     known = pair_counts(blocks)
     told = blocks.select("block", F.posexplode("pairs").alias("at", "pair")).join(known, "pair").groupBy("block").agg(
         F.sort_array(F.collect_list(F.struct("at", "total", "best"))).alias("told"))
